@@ -1 +1,131 @@
-"""Placeholder."""
+"""Profiling operators on the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tablehaul.catalog import Tables
+from tablehaul.operators import profile
+from tablehaul.registry import query
+
+PROFILED = {
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
+    "o_totalprice": "decimal(12,2)", "o_orderdate": "date", "o_orderpriority": "string",
+}
+
+
+def _profile_sql(view: str, columns: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, '{kind}' AS data_type, count(*) AS "rows",
+            count({c}) AS non_null, count(DISTINCT {c}) AS distinct_values,
+            CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value
+            FROM {view}"""
+        for c, kind in columns.items()
+    )
+
+
+@query("column_profile", _profile_sql("orders_v", PROFILED))
+def column_profile(t: Tables) -> DataFrame:
+    return profile.column_profile(t.orders(), list(PROFILED))
+
+
+@query("suggest_types", f"""
+    WITH p AS ({_profile_sql("customer_copy", {
+        "c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
+        "c_acctbal": "decimal(12,2)", "c_mktsegment": "string"})})
+    SELECT column_name,
+           CASE WHEN data_type IN ('int', 'bigint') THEN
+                  CASE WHEN TRY_CAST(max_value AS BIGINT) < 256 THEN 'UInt8'
+                       WHEN TRY_CAST(max_value AS BIGINT) < 65536 THEN 'UInt16' ELSE 'UInt32' END
+                WHEN data_type = 'decimal(12,2)' THEN 'Decimal(12,2)'
+                WHEN distinct_values < 10000 THEN 'LowCardinality(String)' ELSE 'String' END
+             AS target_type,
+           non_null < "rows" AS nullable FROM p""")
+def suggest_types(t: Tables) -> DataFrame:
+    customers = t.copied("customer")
+    return profile.suggest_types(profile.column_profile(customers, customers.columns))
+
+
+@query("enum_drift", """
+    SELECT event_type AS value, CAST(count(*) AS BIGINT) AS "rows" FROM events
+    WHERE event_type NOT IN ('view', 'click', 'purchase') GROUP BY event_type""")
+def enum_drift(t: Tables) -> DataFrame:
+    return profile.enum_drift(t.raw("events"), "event_type", ["view", "click", "purchase"])
+
+
+@query("sample_rows", """
+    SELECT o_orderkey, o_custkey, o_orderdate FROM orders_v ORDER BY o_orderkey LIMIT 5""")
+def sample_rows(t: Tables) -> DataFrame:
+    return profile.sample_rows(
+        t.orders().select("o_orderkey", "o_custkey", "o_orderdate"), ["o_orderkey"]
+    )
+
+
+@query("array_homogeneity", """
+    SELECT element_type, CAST(count(*) AS BIGINT) AS elements FROM (
+      SELECT 'BIGINT' AS element_type FROM events
+      UNION ALL SELECT 'STRING' FROM events
+      UNION ALL SELECT CASE WHEN event_type = 'click' THEN 'BOOLEAN' ELSE 'STRING' END
+                FROM events) GROUP BY element_type""")
+def array_homogeneity(t: Tables) -> DataFrame:
+    """Arrays of a number, a text, and a flag that is itself text in most rows."""
+    kind = F.col("event_type")
+    flag = F.when(kind == "click", "true").otherwise('"no"')
+    text = F.concat(
+        F.lit("["), F.col("k"), F.lit(',"'), kind, F.lit('",'), flag, F.lit("]")
+    )
+    return profile.array_homogeneity(t.events(), text)
+
+
+FK_PAIRS = {
+    "orders.o_custkey -> customer.c_custkey": ("orders", "o_custkey", "customer", "c_custkey"),
+    "lineitem.l_orderkey -> orders.o_orderkey": ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    "lineitem.l_partkey -> part.p_partkey": ("lineitem", "l_partkey", "part", "p_partkey"),
+    "lineitem.l_suppkey -> supplier.s_suppkey": ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    "orders.o_orderkey -> customer.c_custkey": ("orders", "o_orderkey", "customer", "c_custkey"),
+    "customer.c_nationkey -> nation.n_nationkey":
+        ("customer", "c_nationkey", "nation", "n_nationkey"),
+}
+
+FK_SQL = " UNION ALL ".join(
+    f"""SELECT '{name}' AS pair, count(*) AS child_keys, count(p.k) AS matched_keys,
+        CAST(sum(n) AS BIGINT) AS child_rows, round(count(p.k)::DOUBLE / count(*), 6) AS share,
+        count(p.k) = count(*) AS is_foreign_key
+        FROM (SELECT {ck} AS k, count(*) AS n FROM {child} GROUP BY 1) c
+        LEFT JOIN (SELECT DISTINCT {pk} AS k FROM {parent}) p ON c.k = p.k"""
+    for name, (child, ck, parent, pk) in FK_PAIRS.items()
+)
+
+
+@query("fk_inclusion", FK_SQL)
+def fk_inclusion(t: Tables) -> DataFrame:
+    return profile.fk_inclusion({
+        name: (t.raw(child), ck, t.raw(parent), pk)
+        for name, (child, ck, parent, pk) in FK_PAIRS.items()
+    })
+
+
+@query("partition_sizes", """
+    SELECT CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS month,
+           CAST(count(*) AS BIGINT) AS "rows",
+           CASE WHEN count(*) OVER () > 100 THEN 'too many' WHEN count(*) OVER () < 10 THEN 'few'
+                ELSE 'ok' END AS partition_count
+    FROM lineitem_v GROUP BY 1""")
+def partition_sizes(t: Tables) -> DataFrame:
+    return profile.partition_sizes(t.lineitem(), "l_shipdate")
+
+
+@query("order_by_key_hint", """
+    WITH d AS (
+      SELECT 'l_returnflag' AS column_name, count(DISTINCT l_returnflag) AS distinct_values
+      FROM lineitem_v
+      UNION ALL SELECT 'l_shipdate', count(DISTINCT l_shipdate) FROM lineitem_v
+      UNION ALL SELECT 'l_partkey', count(DISTINCT l_partkey) FROM lineitem_v
+      UNION ALL SELECT 'l_orderkey', count(DISTINCT l_orderkey) FROM lineitem_v)
+    SELECT CAST(row_number() OVER (ORDER BY distinct_values, column_name) AS INTEGER) AS position,
+           column_name, distinct_values FROM d""")
+def order_by_key_hint(t: Tables) -> DataFrame:
+    return profile.sort_key_hint(
+        t.lineitem(), ["l_orderkey", "l_partkey", "l_shipdate", "l_returnflag"]
+    )
