@@ -26,6 +26,8 @@ UTM_MEDIUMS = ["email", "", "cpc"]
 UTM_CAMPAIGNS = ["spring", "", "launch", "retarget"]
 WAREHOUSES = ["WH-EAST", "WH-WEST", "WH-NORTH", "WH-SOUTH", "WH-CENTRAL"]
 SNAPSHOT_DAYS = 7
+STRATEGIES = ["direct", "s3_stage", "gcs_stage"]
+PHASES = ["unloading", "staged", "loading", "validating"]
 
 
 def ts_lit(value: dt.datetime | dt.date | str):
@@ -301,8 +303,9 @@ class Tables:
                 (F.col("k") * 1000).cast("long").alias("rows"),
                 (F.col("value") / 10).cast("decimal(12,3)").alias("seconds"),
                 (F.col("event_id") * 1000000).alias("bytes_done"),
-                pick(["unloading", "staged", "loading", "validating"],
-                     F.pmod("k", F.lit(4))).alias("phase"),
+                (F.col("event_id") * 1000000 + 500000000).alias("total_bytes"),
+                pick(STRATEGIES, F.pmod("user_id", F.lit(3))).alias("strategy"),
+                pick(PHASES, F.pmod("k", F.lit(4))).alias("phase"),
             )).alias("payload_json"),
         )
 

@@ -141,7 +141,9 @@ VIEWS: dict[str, str] = {
                't' || (user_id % 3) AS "table", CAST(k * 1000 AS BIGINT) AS "rows",
                CAST(value / 10 AS DECIMAL(12,3)) AS seconds,
                event_id * 1000000 AS bytes_done,
-               {_pick(['unloading', 'staged', 'loading', 'validating'], 'k % 4')} AS phase
+               event_id * 1000000 + 500000000 AS total_bytes,
+               {_pick(cat.STRATEGIES, 'user_id % 3')} AS strategy,
+               {_pick(cat.PHASES, 'k % 4')} AS phase
         FROM events_v""",
     "bench_v": """
         SELECT 'run-' || (user_id % 10) AS run_id, event_id AS query_n,

@@ -32,6 +32,23 @@ PHASE_MILESTONES = {
     "validating": ("verify", "info"),
 }
 
+# Milestone wording.
+MILESTONE_TEXTS = {
+    "paused": "Paused at batch boundary",
+    "resumed": "Resumed",
+    "cancelled": "Cancelled",
+    "failed": "Failed",
+    "done": "Run finished",
+    "step_validated": "Step 3 (validate) acknowledged by agent",
+    "step_benchmarked": "Step 4 (benchmark) acknowledged by agent",
+}
+PHASE_TEXTS = {
+    "unloading": "unloading to S3",
+    "staged": "staged",
+    "loading": "loading from S3",
+    "validating": "validating row counts",
+}
+
 # Rows expected after a scale-factor-1 warehouse load.
 SF1_ROWS = {
     "region": 5,

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablehaul.types import spark_type
 
@@ -94,19 +95,21 @@ def row_transform(
     return shaped.mapInPandas(batches, schema) if batches else shaped
 
 
-def append_columns(df: DataFrame, target_schema) -> DataFrame:
+def append_columns(df: DataFrame, target: StructType) -> DataFrame:
     """Select the target's columns from ``df`` by name, ignoring case.
 
-    Unknown source columns are dropped and missing ones become NULL; a source that
-    shares no column with the target is an error.
+    Unknown source columns are dropped. Missing ones become NULL, or the default of their
+    type where the target allows no NULL. A source that shares no column with the target is
+    an error.
     """
     folded = case_fold_columns(df)
     known = set(folded.columns)
-    if not known & {f.name.lower() for f in target_schema.fields}:
+    if not known & {f.name.lower() for f in target.fields}:
         raise ValueError("no source column matches a target column")
-    return folded.select(*[
-        (F.col(f.name.lower()) if f.name.lower() in known else F.lit(None))
-        .cast(f.dataType).alias(f.name)
-        for f in target_schema.fields
-    ])
 
+    def value(f):
+        if f.name.lower() in known:
+            return F.col(f.name.lower())
+        return F.lit(None if f.nullable else TYPE_DEFAULTS.get(f.dataType.simpleString(), 0))
+
+    return folded.select(*[value(f).cast(f.dataType).alias(f.name) for f in target.fields])

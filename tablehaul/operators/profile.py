@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablehaul import fixed_values as fv
@@ -119,13 +119,10 @@ def fk_inclusion(pairs: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> Dat
 def partition_sizes(df: DataFrame, time: str, fewest: int = 10, most: int = 100) -> DataFrame:
     """Rows per month, with a verdict on the number of months."""
     months = df.groupBy(yyyymm(time).alias("month")).agg(F.count(F.lit(1)).alias("rows"))
-    # One row per distinct month carries the total: a few hundred rows at most.
-    totals = df.agg(F.count_distinct(yyyymm(time)).alias("n")).select(
-        F.when(F.col("n") > most, "too many").when(F.col("n") < fewest, "few")
-        .otherwise("ok").alias("partition_count"),
-        F.lit(1).alias("one"),
-    )
-    return months.withColumn("one", F.lit(1)).join(F.broadcast(totals), "one").drop("one")
+    # The window runs over one row per distinct month, a few hundred at most.
+    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
+    verdict = F.when(n > most, "too many").when(n < fewest, "few").otherwise("ok")
+    return months.withColumn("partition_count", verdict)
 
 
 def sort_key_hint(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
