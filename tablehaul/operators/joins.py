@@ -16,6 +16,17 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def left_join_many(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join to a side that may hold very many rows of one key.
+
+    Spark splits a skewed side of an inner join, but not the right side of a left join, so
+    the matches come from an inner join and the rest from an anti join to the distinct keys.
+    """
+    matched = left.join(right, keys)
+    lonely = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(lonely, allowMissingColumns=True)
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     """Join condition under which NULL keys equal each other."""
     condition = F.lit(True)

@@ -1,8 +1,9 @@
 """Ordered calculations that stay parallel inside a hot group.
 
-A plain window sorts each group in one task. Here a group is cut into buckets of its
-ordering column; what a bucket needs from earlier ones is computed from one small row
-per bucket and enters the bucket as an extra row, which is dropped again afterwards.
+A window sorts each group in one task. That is right for ordinary groups; groups with more
+than ``hot_rows`` rows are taken out and cut into slots of about equal size along the
+ordering column. What a slot needs from the other slots is computed from one small row per
+slot and enters it as an extra row, which is dropped again afterwards.
 """
 
 from __future__ import annotations
@@ -10,65 +11,123 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablehaul.operators.joins import BROADCAST_ROWS
 
-def running_total(
-    df: DataFrame, keys: list[str], order: str, value: str, bucket: Column, out: str
-) -> DataFrame:
-    """``SUM(value) OVER (PARTITION BY keys ORDER BY order)``; equal ``order`` values share a total.
+HOT_ROWS = 5_000_000
+SLOTS = 4096
 
-    ``bucket`` must not decrease as ``order`` grows.
-    """
-    cut = df.withColumns({"_bucket": bucket, "_value": F.col(value), "_extra": F.lit(False)})
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
+
+def _same(df: DataFrame, other: DataFrame, columns: list[str]) -> Column:
+    condition = F.lit(True)
+    for c in columns:
+        condition = condition & df[c].eqNullSafe(other[f"_k_{c}"])
+    return condition
+
+
+def _renamed(df: DataFrame, columns: list[str], *rest: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"_k_{c}") for c in columns], *rest)
+
+
+def split_hot(
+    df: DataFrame, keys: list[str], hot_rows: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary groups, and rows of groups too large for one task (or None)."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    n = sizes.count()
+    if n == 0:
+        return df, None
+    hot = _renamed(sizes, keys)
+    if n <= BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    same = _same(df, hot, keys)
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
+
+
+def _with_slots(df: DataFrame, order: str, slots: int) -> DataFrame:
+    """Add ``_slot``, which grows with ``order`` and holds about the same rows everywhere."""
+    from pyspark.ml.feature import Bucketizer
+
+    kind = dict(df.dtypes)[order]
+    c = F.col(order)
+    if kind.startswith(("timestamp", "date")):
+        c = c.cast("timestamp")
+    placed = df.withColumn("_at", F.coalesce(c.cast("double"), F.lit(float("-inf"))))
+    cuts = placed.filter("_at > double('-infinity')").approxQuantile(
+        "_at", [i / slots for i in range(1, slots)], 1 / (4 * slots)
     )
+    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    if len(splits) == 2:
+        return placed.withColumn("_slot", F.lit(0)).drop("_at")
+    marked = Bucketizer(splits=splits, inputCol="_at", outputCol="_slot").transform(placed)
+    return marked.withColumn("_slot", F.col("_slot").cast("int")).drop("_at")
+
+
+def running_total(
+    df: DataFrame, keys: list[str], order: str, value: str, out: str,
+    hot_rows: int = HOT_ROWS, slots: int = SLOTS,
+) -> DataFrame:
+    """``SUM(value) OVER (PARTITION BY keys ORDER BY order)``; equal ``order`` values share a total."""
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    window = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_first())
+    result = ordinary.withColumn(out, F.sum(value).over(window))
+    if hot is None:
+        return result
+    # Rows with the same position share a total, so the totals run over distinct positions.
+    sums = _with_slots(hot.groupBy(*keys, order).agg(F.sum(value).alias("_sum")), order, slots)
+    earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        cut.groupBy(*keys, "_bucket").agg(F.sum("_value").alias("_sum"))
-        .withColumn("_value", F.sum("_sum").over(earlier))
-        .drop("_sum")
-        .filter(F.col("_value").isNotNull())
-        .withColumn("_extra", F.lit(True))
+        sums.groupBy(*keys, "_slot").agg(F.sum("_sum").alias("_slot_sum"))
+        .withColumn("_sum", F.sum("_slot_sum").over(earlier)).drop("_slot_sum")
+        .filter(F.col("_sum").isNotNull()).withColumn("_extra", F.lit(True))
     )
-    # The start row has a NULL ordering value, so it sorts before the rows it precedes.
-    window = Window.partitionBy(*keys, "_bucket").orderBy(F.col(order).asc_nulls_first())
-    return (
-        cut.unionByName(starts, allowMissingColumns=True)
-        .withColumn(out, F.sum("_value").over(window))
-        .filter(~F.col("_extra"))
-        .drop("_bucket", "_value", "_extra")
+    inside = Window.partitionBy(*keys, "_slot").orderBy(
+        F.coalesce("_extra", F.lit(False)).desc(), F.col(order).asc_nulls_first()
+    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = (
+        sums.unionByName(starts, allowMissingColumns=True)
+        .withColumn(out, F.sum("_sum").over(inside)).filter(F.col("_extra").isNull())
     )
+    at = _renamed(totals, [*keys, order], out)
+    placed = hot.join(at, _same(hot, at, [*keys, order])).select(*hot.columns, out)
+    return result.unionByName(placed)
 
 
 def neighbour(
-    df: DataFrame, keys: list[str], order: str, columns: list[str], bucket: Column,
-    step: str = "previous",
+    df: DataFrame, keys: list[str], order: str, columns: list[str], step: str = "previous",
+    hot_rows: int = HOT_ROWS, slots: int = SLOTS,
 ) -> DataFrame:
     """Add ``<step>_<column>``: the value in the previous or next row of the same keys.
 
-    ``order`` is unique within ``keys``, and ``bucket`` does not decrease as it grows.
+    ``order`` is unique within ``keys`` and never NULL.
     """
-    back = step == "previous"
-    wanted = list(dict.fromkeys([order, *columns]))
-    cut = df.withColumns({"_bucket": bucket, "_extra": F.lit(False)})
-    edge = (F.max_by if back else F.min_by)(F.struct(*wanted), F.col(order))
-    shift = F.lag if back else F.lead
+    shift = F.lag if step == "previous" else F.lead
+
+    def with_neighbours(part: DataFrame, by: list[str]) -> DataFrame:
+        window = Window.partitionBy(*by).orderBy(order)
+        return part.withColumns({f"{step}_{c}": shift(c).over(window) for c in columns})
+
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    result = with_neighbours(ordinary, keys)
+    if hot is None:
+        return result
+    cut = _with_slots(hot, order, slots).withColumn("_extra", F.lit(False))
+    # The last (or first) row of a slot is the extra row of the following (or preceding) one.
+    edge = (F.max_by if step == "previous" else F.min_by)(
+        F.struct(*dict.fromkeys([order, *columns])), F.col(order)
+    )
     edges = (
-        cut.groupBy(*keys, "_bucket").agg(edge.alias("_edge"))
-        .withColumn("_edge", shift("_edge").over(Window.partitionBy(*keys).orderBy("_bucket")))
+        cut.groupBy(*keys, "_slot").agg(edge.alias("_edge"))
+        .withColumn("_edge", shift("_edge").over(Window.partitionBy(*keys).orderBy("_slot")))
         .filter(F.col("_edge").isNotNull())
-        .select(*keys, "_bucket", "_edge.*", F.lit(True).alias("_extra"))
-    )
-    window = Window.partitionBy(*keys, "_bucket").orderBy(order)
-    return (
-        cut.unionByName(edges, allowMissingColumns=True)
-        .withColumns({f"{step}_{c}": shift(c).over(window) for c in columns})
-        .filter(~F.col("_extra"))
-        .drop("_bucket", "_extra")
+        .select(*keys, "_slot", "_edge.*", F.lit(True).alias("_extra"))
     )
+    placed = with_neighbours(cut.unionByName(edges, allowMissingColumns=True), [*keys, "_slot"])
+    return result.unionByName(placed.filter(~F.col("_extra")).drop("_slot", "_extra"))
 
 
 def exact_percentiles(
-    df: DataFrame, keys: list[str], value: str, points: dict[str, float], bucket: Column
+    df: DataFrame, keys: list[str], value: str, points: dict[str, float],
+    hot_rows: int = HOT_ROWS, slots: int = SLOTS,
 ) -> DataFrame:
     """Interpolated percentiles per group, from value counts instead of collected values.
 
@@ -80,20 +139,13 @@ def exact_percentiles(
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    # ``bucket`` is an expression over the value column, so it keeps that name here.
-    ranked = running_total(
-        counted.withColumnRenamed("_v", value), keys, value, "_n", bucket, "_upto"
-    )
-    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    right = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    placed = ranked.join(sizes.select(*right, "_total"), same)
+    ranked = running_total(counted, keys, "_v", "_n", "_upto", hot_rows, slots)
+    sizes = _renamed(counted.groupBy(*keys).agg(F.sum("_n").alias("_total")), keys, "_total")
+    placed = ranked.join(sizes, _same(ranked, sizes, keys))
 
     def at(index: Column) -> Column:
         inside = (index < F.col("_upto")) & (index >= F.col("_upto") - F.col("_n"))
-        return F.max(F.when(inside, F.col(value)))
+        return F.max(F.when(inside, F.col("_v")))
 
     parts, result = [], []
     for name, p in points.items():

@@ -1,7 +1,6 @@
 """Run ledger and progress analytics over an append-only event log.
 
-Events have ``id`` (growing), ``run_id``, ``ts``, ``kind`` and ``payload_json``. Ids are
-unique, so a range of ``ID_BUCKET`` of them bounds how many rows one task sorts.
+Events have ``id`` (unique, growing), ``run_id``, ``ts``, ``kind`` and ``payload_json``.
 """
 
 from __future__ import annotations
@@ -13,8 +12,6 @@ from tablehaul import fixed_values as fv
 from tablehaul.operators.change import dedup_latest
 from tablehaul.operators.ordered import neighbour
 
-ID_BUCKET = 1_000_000
-
 PAYLOAD = (
     "table string, rows bigint, seconds double, bytes_done bigint, total_bytes bigint, "
     "strategy string, phase string, total_rows bigint, error string, source_type string, "
@@ -23,10 +20,6 @@ PAYLOAD = (
 STAGED = ["s3_stage", "gcs_stage"]
 
 
-def id_bucket() -> Column:
-    return F.floor(F.col("id") / ID_BUCKET)
-
-
 def parsed(events: DataFrame) -> DataFrame:
     """Events with the payload fields as columns."""
     return events.withColumn("_p", F.from_json("payload_json", PAYLOAD)).select(
@@ -97,7 +90,7 @@ def bytes_rate(events: DataFrame) -> DataFrame:
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
     )
     with_last = neighbour(
-        steps, ["run_id"], "id", ["kind", "table", "bytes_done", "ms"], id_bucket()
+        steps, ["run_id"], "id", ["kind", "table", "bytes_done", "ms"]
     )
     seconds = (F.col("ms") - F.col("previous_ms")) / 1000
     follows = (
@@ -234,7 +227,7 @@ def phase_durations(events: DataFrame) -> DataFrame:
         "run_id", "table", "id", "kind", "phase",
         F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
     )
-    following = neighbour(steps, ["run_id", "table"], "id", ["us"], id_bucket(), step="next")
+    following = neighbour(steps, ["run_id", "table"], "id", ["us"], step="next")
     return following.filter("kind = 'phase_started'").select(
         "run_id", "table", "id", "phase",
         ((F.col("next_us") - F.col("us")) / 1_000_000).alias("seconds"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablehaul.catalog import AS_OF_ORDERS, SNAPSHOT_DAYS, WAREHOUSES, Tables, date_lit
 from tablehaul.functions.scalars import map_text
-from tablehaul.operators.augment import missing_grid, refresh_total
+from tablehaul.operators.augment import hash_sample, missing_grid, refresh_total
 from tablehaul.operators.rollup import rollup_build, rollup_merge
 from tablehaul.plans.specs import ORDER_SUMMARY
 from tablehaul.registry import query
@@ -138,7 +138,7 @@ SESSION_SAMPLE = 50_000
 
 @query("modulo_join", f"""
     WITH sample AS (SELECT session_id, row_number() OVER (ORDER BY session_id) - 1 AS n
-                    FROM (SELECT session_id FROM ec_sessions ORDER BY session_id
+                    FROM (SELECT session_id FROM ec_sessions ORDER BY md5(session_id), session_id
                           LIMIT {SESSION_SAMPLE}))
     SELECT event_id, session_id FROM events JOIN sample
       ON n = event_id % (SELECT count(*) FROM sample)""")
@@ -147,7 +147,7 @@ def modulo_join(t: Tables) -> DataFrame:
 
     The sample size is the operator's own bound, so numbering and broadcasting it is safe.
     """
-    sample = t.ec_sessions().select("session_id").orderBy("session_id").limit(SESSION_SAMPLE)
+    sample = hash_sample(t.ec_sessions().select("session_id"), "session_id", SESSION_SAMPLE)
     numbered = sample.select(
         "session_id", (F.row_number().over(Window.orderBy("session_id")) - 1).alias("n")
     )

@@ -51,9 +51,7 @@ def ec_daily_revenue(t: Tables) -> DataFrame:
     FROM ec_orders WHERE status <> 'cancelled'""")
 def ec_running_total(t: Tables) -> DataFrame:
     kept = t.ec_orders().filter("status <> 'cancelled'")
-    totals = running_total(
-        kept, ["user_id"], "created_at", "total_amount", F.col("order_day"), "running_total"
-    )
+    totals = running_total(kept, ["user_id"], "created_at", "total_amount", "running_total")
     return totals.select(
         "user_id", "order_id", "created_at",
         F.col("total_amount").cast("double").alias("total_amount"),
@@ -110,11 +108,12 @@ def ec_json_filter(t: Tables) -> DataFrame:
     GROUP BY segment, category""")
 def ec_segment_category(t: Tables) -> DataFrame:
     orders = recent_orders(t, 90).filter("status = 'delivered'").select("order_id", "user_id")
+    segments = orders.join(t.ec_countries(), "user_id").select("order_id", "segment")
     # Repeated lines of one product in one order collapse before they meet the product table.
-    lines = t.ec_order_items().join(orders, "order_id").groupBy(
-        "order_id", "user_id", "product_id"
+    lines = t.ec_order_items().join(segments, "order_id").groupBy(
+        "order_id", "segment", "product_id"
     ).agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("revenue"))
-    named = lines.join(t.ec_products(), "product_id").join(t.ec_countries(), "user_id")
+    named = lines.join(t.ec_products(), "product_id")
     return named.groupBy("segment", "category").agg(
         F.count_distinct("order_id").alias("orders"),
         F.sum("revenue").cast("double").alias("gross_revenue"),
@@ -230,7 +229,7 @@ def ec_percentiles(t: Tables) -> DataFrame:
     points = {"p50_sec": 0.5, "p90_sec": 0.9, "p99_sec": 0.99}
     found = exact_percentiles(
         t.ec_sessions().select("referrer_source", "duration_seconds"),
-        ["referrer_source"], "duration_seconds", points, F.floor(F.col("duration_seconds") / 600),
+        ["referrer_source"], "duration_seconds", points,
     )
     return found.select(
         "referrer_source", F.col("n").alias("sessions"), *[F.round(p, 0).alias(p) for p in points]

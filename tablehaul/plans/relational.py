@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablehaul import fixed_values as fv
 from tablehaul.catalog import AS_OF_EVENTS, Tables, date_lit, ts_lit
 from tablehaul.functions.scalars import trunc_to
-from tablehaul.operators.joins import broadcast_checked
+from tablehaul.operators.joins import broadcast_checked, left_join_many
 from tablehaul.operators.ordered import exact_percentiles, running_total
 from tablehaul.operators.series import gap_fill
 from tablehaul.registry import query
@@ -101,8 +101,8 @@ def op_join_inner(t: Tables) -> DataFrame:
       ON s.session_id = c.session_id AND s.project_id = c.project_id""")
 def op_join_left(t: Tables) -> DataFrame:
     goals = t.web_conversions().select("session_id", "project_id", "goal_name")
-    joined = t.web_sessions().join(goals, ["session_id", "project_id"], "left")
-    return joined.select("session_id", "project_id", "goal_name")
+    sessions = t.web_sessions().select("session_id", "project_id")
+    return left_join_many(sessions, goals, ["session_id", "project_id"])
 
 
 @query("op_join_range", """
@@ -135,7 +135,8 @@ def op_join_cross(t: Tables) -> DataFrame:
 def op_join_anti(t: Tables) -> DataFrame:
     recent = t.orders().filter(F.col("o_orderdate") >= date_lit("2001-01-01"))
     return t.customer().select("c_custkey").join(
-        recent, F.col("c_custkey") == F.col("o_custkey"), "left_anti"
+        recent.select("o_custkey").distinct(), F.col("c_custkey") == F.col("o_custkey"),
+        "left_anti",
     )
 
 
@@ -145,7 +146,8 @@ def op_join_anti(t: Tables) -> DataFrame:
 def op_join_semi(t: Tables) -> DataFrame:
     recent = t.orders().filter(F.col("o_orderdate") >= date_lit("2001-01-01"))
     return t.customer().select("c_custkey").join(
-        recent, F.col("c_custkey") == F.col("o_custkey"), "left_semi"
+        recent.select("o_custkey").distinct(), F.col("c_custkey") == F.col("o_custkey"),
+        "left_semi",
     )
 
 
@@ -218,8 +220,7 @@ def op_uniq_approx(t: Tables) -> DataFrame:
 def op_percentile_exact(t: Tables) -> DataFrame:
     points = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
     found = exact_percentiles(
-        t.events().select("event_type", "value"), ["event_type"], "value", points,
-        F.floor(F.col("value")),
+        t.events().select("event_type", "value"), ["event_type"], "value", points
     )
     return found.select("event_type", "n", *[F.round(p, 4).alias(p) for p in points])
 
@@ -298,9 +299,7 @@ def op_string_agg(t: Tables) -> DataFrame:
            CAST(sum(value) OVER (PARTITION BY user_id ORDER BY ts) AS DOUBLE) AS running_value
     FROM events_v""")
 def op_window_running(t: Tables) -> DataFrame:
-    total = running_total(
-        t.events(), ["user_id"], "ts", "value", F.to_date("ts"), "running_value"
-    )
+    total = running_total(t.events(), ["user_id"], "ts", "value", "running_value")
     return total.select(
         "event_id", "user_id", F.col("running_value").cast("double").alias("running_value")
     )

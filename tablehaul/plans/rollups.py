@@ -14,7 +14,7 @@ from tablehaul.operators.rollup import (
 from tablehaul.plans.specs import DAILY_STATS, ORDER_SUMMARY
 from tablehaul.registry import query
 from tablehaul.session import work_path
-from tablehaul.sources.layout import replace_version, current_version
+from tablehaul.sources.layout import current_version, replace_version
 
 SUMMARY_SQL = """
     SELECT order_day, o_orderpriority, CAST(order_count AS BIGINT) AS order_count,
@@ -112,8 +112,8 @@ def rollup_refresh_full(t: Tables) -> DataFrame:
     """Recompute a stale rollup and put the new version in its place."""
     root = work_path(t.spark, "rollup-refresh")
     stale = t.copied("orders").withColumnRenamed("o_orderdate", "order_day")
-    replace_version(build(stale, ORDER_SUMMARY), root)
-    replace_version(build(orders_by_day(t), ORDER_SUMMARY), root)
+    replace_version(build(stale, ORDER_SUMMARY), root, 1)
+    replace_version(build(orders_by_day(t), ORDER_SUMMARY), root, 2)
     return shown(current_version(t.spark, root))
 
 

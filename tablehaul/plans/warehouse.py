@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.catalog import Tables, date_lit
+from tablehaul.catalog import Tables
 from tablehaul.functions.scalars import hour_boundaries, hours_exact, hours_whole, map_text
 from tablehaul.operators.rollup import rollup_build, rollup_merge
 from tablehaul.plans.specs import ORDER_SUMMARY
 from tablehaul.registry import query
 
-YEAR_START, YEAR_END = date_lit("1995-01-01"), date_lit("1996-01-01")
+YEAR_START, YEAR_LAST, YEAR_END = dt.date(1995, 1, 1), dt.date(1995, 12, 31), dt.date(1996, 1, 1)
+QUARTER_END = dt.date(1995, 4, 1)
 
 
 @query("wh_daily_rollup_read", """
@@ -20,7 +23,7 @@ YEAR_START, YEAR_END = date_lit("1995-01-01"), date_lit("1996-01-01")
     FROM daily_order_summary WHERE order_day BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'""")
 def wh_daily_rollup_read(t: Tables) -> DataFrame:
     orders = t.orders().withColumnRenamed("o_orderdate", "order_day")
-    year = orders.filter(F.col("order_day").between(YEAR_START, date_lit("1995-12-31")))
+    year = orders.filter(F.col("order_day").between(YEAR_START, YEAR_LAST))
     merged = rollup_merge(rollup_build(year, ORDER_SUMMARY), ORDER_SUMMARY)
     return merged.select(
         "order_day", "o_orderpriority", "order_count",
@@ -96,7 +99,7 @@ def wh_payment_breakdown_variant(t: Tables) -> DataFrame:
 def delivery_latency(t: Tables, hours) -> DataFrame:
     """Average hours from the ship date to the delivery instant, per ship mode."""
     quarter = t.lineitem_aug().filter(
-        (F.col("l_shipdate") >= YEAR_START) & (F.col("l_shipdate") < date_lit("1995-04-01"))
+        (F.col("l_shipdate") >= YEAR_START) & (F.col("l_shipdate") < QUARTER_END)
     )
     shipped = F.col("l_shipdate").cast("timestamp_ntz")
     return quarter.groupBy("l_shipmode").agg(
@@ -142,7 +145,7 @@ def wh_delivery_latency_boundary(t: Tables) -> DataFrame:
     GROUP BY p_brand, p_type
     ORDER BY sum(l_extendedprice * (1 - l_discount)) DESC, p_brand, p_type LIMIT 50""")
 def wh_part_revenue(t: Tables) -> DataFrame:
-    year = t.lineitem().filter(F.col("l_shipdate").between(YEAR_START, date_lit("1995-12-31")))
+    year = t.lineitem().filter(F.col("l_shipdate").between(YEAR_START, YEAR_LAST))
     # Sum per part first: the join then sees each part once, however hot it is.
     per_part = year.groupBy("l_partkey").agg(
         F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablehaul.catalog import AS_OF_EVENTS, Tables, date_lit, ts_lit
@@ -313,9 +313,8 @@ def web_entry_exit(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("sessions"), average("duration_seconds", 0, "avg_session_sec"),
         bounce_rate(),
     )
-    cohorts = pairs.groupBy("entry_page").agg(F.sum("sessions").alias("cohort"))
-    return (
-        pairs.join(cohorts, "entry_page")
-        .withColumn("exit_pct_from_entry", ratio_pct(F.col("sessions"), F.col("cohort"), 1))
-        .filter("sessions >= 50").drop("cohort")
-    )
+    # One row per pair of pages enters the window, not one per session.
+    cohort = F.sum("sessions").over(Window.partitionBy("entry_page"))
+    return pairs.withColumn(
+        "exit_pct_from_entry", ratio_pct(F.col("sessions"), cohort, 1)
+    ).filter("sessions >= 50")

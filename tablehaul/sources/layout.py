@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +15,13 @@ def write_partition_sorted(df: DataFrame, path: str, time: str, keys: list[str])
     """Month folders with key-sorted files.
 
     Rows are range-partitioned by month and keys, so a large month is spread over several
-    tasks and files, each a narrow key range that min/max statistics can skip.
+    tasks and files, each a narrow key range that min/max statistics can skip. The row hash
+    comes last: it spreads the rows of one hot key, and unlike a random number it puts a row
+    into the same range again when a lost task is repeated.
     """
     (
         df.withColumn("ym", yyyymm(time))
-        .repartitionByRange("ym", *keys)
+        .repartitionByRange("ym", *keys, F.xxhash64(*df.columns))
         .sortWithinPartitions("ym", *keys)
         .write.mode("overwrite").partitionBy("ym").parquet(path)
     )
@@ -60,32 +61,19 @@ def swap_rebuild(
     return spark.table(table)
 
 
-def replace_version(df: DataFrame, root: str) -> None:
-    """Write the next version of a table and then announce it.
+def replace_version(df: DataFrame, root: str, version: int) -> None:
+    """Write a numbered version of a table and then announce it.
 
     Readers follow the announcements, so they keep the old version until the new one is
-    complete, and a failed write is never seen.
+    complete, and a failed write is never seen. Writing a version again replaces it.
     """
-    spark = df.sparkSession
-    path = f"{root}/data-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/data-{version}-{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").parquet(path)
-    nxt = (_newest(spark, root) or (0, None))[0] + 1
-    announced = spark.createDataFrame([(nxt, path)], "version bigint, path string")
-    announced.coalesce(1).write.mode("append").parquet(f"{root}/versions")
+    announced = df.sparkSession.createDataFrame([(version, path)], "version bigint, path string")
+    announced.coalesce(1).write.mode("overwrite").parquet(f"{root}/versions/n={version}")
 
 
 def current_version(spark: SparkSession, root: str) -> DataFrame:
     """The newest announced version of a table written by ``replace_version``."""
-    newest = _newest(spark, root)
-    if newest is None:
-        raise FileNotFoundError(f"no complete version below {root}")
-    return spark.read.parquet(newest[1])
-
-
-def _newest(spark: SparkSession, root: str) -> tuple[int, str] | None:
-    try:
-        versions = spark.read.parquet(f"{root}/versions")
-    except AnalysisException:
-        return None
-    row = versions.orderBy(F.desc("version"), F.desc("path")).first()
-    return (row["version"], row["path"]) if row else None
+    newest = spark.read.parquet(f"{root}/versions").orderBy(F.desc("version")).first()
+    return spark.read.parquet(newest["path"])

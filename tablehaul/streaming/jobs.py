@@ -82,7 +82,7 @@ def stream_refresh_lagged(
     def handle(batch: DataFrame, batch_id: int) -> None:
         _write_batch(rollup_build(batch, spec), f"{root}/states", batch_id)
         merged = read_rollup(batch.sparkSession, f"{root}/states", spec)
-        replace_version(merged, f"{root}/table")
+        replace_version(merged, f"{root}/table", batch_id)
 
     return _start(stream, handle, checkpoint, lag)
 
