@@ -9,6 +9,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablehaul.functions.scalars import money, pick
 from tablehaul.operators import augment
@@ -44,12 +45,16 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A table as stored; its schema is read from the files only once."""
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(self.path(name)).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
 
     # ---- warehouse -----------------------------------------------------
     def region(self) -> DataFrame:

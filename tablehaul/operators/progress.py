@@ -50,18 +50,27 @@ def events_since(events: DataFrame, run_id: str, since: int, page: int = fv.EVEN
     return later.orderBy("id").limit(page)
 
 
+def _loads() -> list[Column]:
+    """Per run and table: the strategy, the rows of all batches, and the last staged total."""
+    load = F.col("kind").isin("batch_done", "table_done")
+    return [
+        F.max_by("strategy", F.when(load, F.col("id"))).alias("strategy"),
+        F.sum(F.when(F.col("kind") == "batch_done", F.col("rows"))).alias("_batches"),
+        F.max_by("rows", F.when(F.col("kind") == "table_done", F.col("id"))).alias("_staged"),
+    ]
+
+
+def _done() -> Column:
+    done = F.when(F.col("strategy").isin(STAGED), F.col("_staged")).otherwise(F.col("_batches"))
+    return F.coalesce(done, F.lit(0)).alias("rows_done")
+
+
 def rows_done(events: DataFrame) -> DataFrame:
     """Rows loaded per run and table: batches add up, a staged load reports one total."""
-    p = parsed(events).filter(F.col("kind").isin("batch_done", "table_done"))
-    sums = p.groupBy("run_id", "table").agg(
-        F.max_by("strategy", "id").alias("strategy"),
-        F.sum(F.when(F.col("kind") == "batch_done", F.col("rows"))).alias("_batches"),
-        F.max_by(
-            "rows", F.when(F.col("kind") == "table_done", F.col("id"))
-        ).alias("_staged"),
+    loads = parsed(events).filter(F.col("kind").isin("batch_done", "table_done"))
+    return loads.groupBy("run_id", "table").agg(*_loads()).select(
+        "run_id", "table", "strategy", _done()
     )
-    done = F.when(F.col("strategy").isin(STAGED), F.col("_staged")).otherwise(F.col("_batches"))
-    return sums.select("run_id", "table", "strategy", F.coalesce(done, F.lit(0)).alias("rows_done"))
 
 
 def _row_rates(events: DataFrame) -> DataFrame:
@@ -107,13 +116,14 @@ def bytes_rate(events: DataFrame) -> DataFrame:
 
 def run_tables(events: DataFrame, totals: DataFrame) -> DataFrame:
     """State of every table of a run; ``totals`` holds ``run_id, table, total_rows``."""
-    last = ledger_latest(events).select(
-        "run_id", "table", F.when(F.col("kind") == "table_done", "done")
-        .otherwise("running").alias("status"),
+    states = parsed(events).filter("table IS NOT NULL").groupBy("run_id", "table").agg(
+        F.max_by("kind", "id").alias("_last"), *_loads()
+    )
+    status = F.when(F.col("_last") == "table_done", "done").otherwise("running")
+    known = states.select("run_id", "table", status.alias("status"), "strategy", _done())
+    return totals.join(known, ["run_id", "table"], "left").fillna(
+        {"rows_done": 0, "status": "pending", "total_rows": 0}
     )
-    return totals.join(last, ["run_id", "table"], "left").join(
-        rows_done(events), ["run_id", "table"], "left"
-    ).fillna({"rows_done": 0, "status": "pending", "total_rows": 0})
 
 
 def kpis(events: DataFrame, tables: DataFrame, runs: DataFrame) -> DataFrame:

@@ -213,7 +213,7 @@ def result_compare_tolerant(
 def row_hash_compare(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Keys whose rows differ between the two sides.
 
-    The rows of a key are folded into a count and a sum of hashes before the join, so
+    The rows of a key are folded into a count and sums of hashes before the join, so
     repeated keys compare as multisets and a hot key is one row per side. NULLs are
     hashed apart from empty values.
     """
@@ -221,8 +221,11 @@ def row_hash_compare(source: DataFrame, target: DataFrame, keys: list[str]) -> D
 
     def folded(df: DataFrame, side: str) -> DataFrame:
         parts = [p for c in columns for p in (F.col(c), F.col(c).isNull())]
-        return df.withColumn("_hash", F.xxhash64(*parts).cast("decimal(38,0)")).groupBy(*keys).agg(
-            F.count(F.lit(1)).alias(f"{side}_rows"), F.sum("_hash").alias(f"{side}_hash")
+        # The two halves of the hash are summed apart: neither sum can overflow.
+        high, low = F.shiftright("_hash", 32), F.col("_hash").bitwiseAND(F.lit(0xFFFFFFFF))
+        return df.select(*keys, F.xxhash64(*parts).alias("_hash")).groupBy(*keys).agg(
+            F.count(F.lit(1)).alias(f"{side}_rows"), F.sum(high).alias(f"{side}_high"),
+            F.sum(low).alias(f"{side}_low"),
         )
 
     s, t = folded(source, "source"), folded(target, "target")
@@ -232,7 +235,8 @@ def row_hash_compare(source: DataFrame, target: DataFrame, keys: list[str]) -> D
         .when(F.col("source_rows").isNull(), "extra")
         .when(
             (F.col("source_rows") != F.col("target_rows"))
-            | (F.col("source_hash") != F.col("target_hash")),
+            | (F.col("source_high") != F.col("target_high"))
+            | (F.col("source_low") != F.col("target_low")),
             "changed",
         )
     )
