@@ -9,20 +9,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablehaul import fixed_values as fv
-from tablehaul.operators.change import dedup_latest
 from tablehaul.operators.ordered import neighbour
 
-PAYLOAD = (
-    "table string, rows bigint, seconds double, bytes_done bigint, total_bytes bigint, "
-    "strategy string, phase string, total_rows bigint, error string, source_type string, "
-    "target_database string"
-)
+PAYLOAD = {
+    "table": "string", "rows": "bigint", "seconds": "double", "bytes_done": "bigint",
+    "total_bytes": "bigint", "strategy": "string", "phase": "string", "total_rows": "bigint",
+    "error": "string", "source_type": "string", "target_database": "string",
+}
 STAGED = ["s3_stage", "gcs_stage"]
 
 
-def parsed(events: DataFrame) -> DataFrame:
-    """Events with the payload fields as columns."""
-    return events.withColumn("_p", F.from_json("payload_json", PAYLOAD)).select(
+def parsed(events: DataFrame, *fields: str) -> DataFrame:
+    """Events with the named payload fields as columns; the parser skips the others."""
+    schema = ", ".join(f"`{f}` {PAYLOAD[f]}" for f in fields)
+    return events.withColumn("_p", F.from_json("payload_json", schema)).select(
         "id", "run_id", "ts", "kind", "_p.*"
     )
 
@@ -40,8 +40,12 @@ def newest(df: DataFrame, n: int) -> DataFrame:
 
 def ledger_latest(events: DataFrame) -> DataFrame:
     """Last event of every run and table."""
-    rows = parsed(events).filter("table IS NOT NULL").select("run_id", "table", "id", "kind", "rows")
-    return dedup_latest(rows, ["run_id", "table"], ["id"])
+    newest_event = F.max_by(F.struct("id", "kind", "rows"), "id").alias("_e")
+    latest = parsed(events, "table", "rows").groupBy("run_id", "table").agg(
+        newest_event, F.count("table").alias("_named")
+    )
+    # Asking the count keeps the check out of the scan, where it would parse every row twice.
+    return latest.filter("_named > 0").select("run_id", "table", "_e.*")
 
 
 def events_since(events: DataFrame, run_id: str, since: int, page: int = fv.EVENT_PAGE) -> DataFrame:
@@ -67,14 +71,15 @@ def _done() -> Column:
 
 def rows_done(events: DataFrame) -> DataFrame:
     """Rows loaded per run and table: batches add up, a staged load reports one total."""
-    loads = parsed(events).filter(F.col("kind").isin("batch_done", "table_done"))
+    loads = events.filter(F.col("kind").isin("batch_done", "table_done"))
+    loads = parsed(loads, "table", "rows", "strategy")
     return loads.groupBy("run_id", "table").agg(*_loads()).select(
         "run_id", "table", "strategy", _done()
     )
 
 
 def _row_rates(events: DataFrame) -> DataFrame:
-    batches = parsed(events).filter("kind = 'batch_done'")
+    batches = parsed(events.filter("kind = 'batch_done'"), "rows", "seconds")
     rate = F.when(F.col("seconds") > 0, F.col("rows") / F.col("seconds")).otherwise(0.0)
     return batches.select("run_id", "id", half_up(rate).alias("rate"))
 
@@ -90,12 +95,12 @@ def bytes_rate(events: DataFrame) -> DataFrame:
     A finished table or a started validation forgets the previous sample, and so does a
     sample of another table; a falling byte count reads as zero.
     """
-    p = parsed(events)
+    p = parsed(events, "table", "phase", "bytes_done")
     clears = (F.col("kind") == "table_done") | (
         (F.col("kind") == "phase_started") & (F.col("phase") == "validating")
     )
     steps = p.filter((F.col("kind") == "bytes_progress") | clears).select(
-        "run_id", "id", "kind", "table", "bytes_done", "total_bytes",
+        "run_id", "id", "kind", "table", "bytes_done",
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
     )
     with_last = neighbour(
@@ -116,7 +121,7 @@ def bytes_rate(events: DataFrame) -> DataFrame:
 
 def run_tables(events: DataFrame, totals: DataFrame) -> DataFrame:
     """State of every table of a run; ``totals`` holds ``run_id, table, total_rows``."""
-    states = parsed(events).filter("table IS NOT NULL").groupBy("run_id", "table").agg(
+    states = parsed(events, "table", "rows", "strategy").groupBy("run_id", "table").agg(
         F.max_by("kind", "id").alias("_last"), *_loads()
     )
     status = F.when(F.col("_last") == "table_done", "done").otherwise("running")
@@ -144,7 +149,7 @@ def kpis(events: DataFrame, tables: DataFrame, runs: DataFrame) -> DataFrame:
     def recent(rates: DataFrame, name: str) -> DataFrame:
         return newest(rates, fv.RECENT_RATES).groupBy("run_id").agg(mean_rate.alias(name))
 
-    samples = parsed(events).filter(
+    samples = parsed(events, "phase", "bytes_done", "total_bytes").filter(
         F.col("kind").isin("bytes_progress", "table_done")
         | ((F.col("kind") == "phase_started") & (F.col("phase") == "validating"))
     ).groupBy("run_id").agg(
@@ -200,7 +205,9 @@ def _ladder(source: Column, pairs: dict[str, str]) -> Column:
 
 def milestones(events: DataFrame, limit: int = fv.MILESTONE_LIMIT) -> DataFrame:
     """Events worth showing, with a tag, a tone and a message; the newest of every run."""
-    p = parsed(events)
+    p = parsed(
+        events, "table", "phase", "rows", "total_rows", "error", "source_type", "target_database"
+    )
     shown = p.filter(
         F.col("kind").isin(list(fv.MILESTONES))
         | ((F.col("kind") == "phase_started") & F.col("phase").isin(list(fv.PHASE_MILESTONES)))
@@ -233,7 +240,8 @@ def milestones(events: DataFrame, limit: int = fv.MILESTONE_LIMIT) -> DataFrame:
 
 def phase_durations(events: DataFrame) -> DataFrame:
     """Seconds from each phase of a table to its next phase or its end."""
-    steps = parsed(events).filter(F.col("kind").isin("phase_started", "table_done")).select(
+    steps = events.filter(F.col("kind").isin("phase_started", "table_done"))
+    steps = parsed(steps, "table", "phase").select(
         "run_id", "table", "id", "kind", "phase",
         F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
     )

@@ -79,11 +79,10 @@ def prog_bytes_rate(t: Tables) -> DataFrame:
 def run_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Events, table states and runs of the ledger fixture; all runs are still going."""
     events = t.ledger_events()
-    p = progress.parsed(events)
-    totals = p.groupBy("run_id", "table").agg(
+    totals = progress.parsed(events, "table").groupBy("run_id", "table").agg(
         (F.count_if(F.col("kind") == "batch_done") * ROWS_PER_BATCH).alias("total_rows")
     )
-    runs = p.groupBy("run_id").agg(F.min("ts").alias("started_at")).select(
+    runs = events.groupBy("run_id").agg(F.min("ts").alias("started_at")).select(
         "run_id", F.lit("running").alias("status"), "started_at",
         ts_lit(AS_OF_EVENTS).alias("ended_at"),
     )
@@ -148,7 +147,7 @@ def prog_kpis(t: Tables) -> DataFrame:
     FROM ledger_v""")
 def prog_status(t: Tables) -> DataFrame:
     """Every event read as the state of its run: errors cancel, staged phases ask for a pause."""
-    p = progress.parsed(t.ledger_events())
+    p = progress.parsed(t.ledger_events(), "phase")
     status = (
         F.when(F.col("kind") == "log", "cancelled").when(F.col("kind") == "table_done", "done")
         .otherwise("running")

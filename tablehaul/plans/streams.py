@@ -72,7 +72,7 @@ def stream_events_tail(t: Tables) -> DataFrame:
 @query("stream_progress_kpis", KPIS_SQL)
 def stream_progress_kpis(t: Tables) -> DataFrame:
     root = work_path(t.spark, "stream-kpis")
-    totals = progress.parsed(t.ledger_events()).groupBy("run_id", "table").agg(
+    totals = progress.parsed(t.ledger_events(), "table").groupBy("run_id", "table").agg(
         (F.count_if(F.col("kind") == "batch_done") * ROWS_PER_BATCH).alias("total_rows")
     )
     jobs.stream_progress_kpis(
