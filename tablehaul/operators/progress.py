@@ -17,6 +17,7 @@ PAYLOAD = {
     "error": "string", "source_type": "string", "target_database": "string",
 }
 STAGED = ["s3_stage", "gcs_stage"]
+TERMINAL = ["done", "failed", "cancelled"]
 
 
 def parsed(events: DataFrame, *fields: str) -> DataFrame:
@@ -60,7 +61,9 @@ def _loads() -> list[Column]:
     return [
         F.max_by("strategy", F.when(load, F.col("id"))).alias("strategy"),
         F.sum(F.when(F.col("kind") == "batch_done", F.col("rows"))).alias("_batches"),
-        F.max_by("rows", F.when(F.col("kind") == "table_done", F.col("id"))).alias("_staged"),
+        F.max_by(
+            F.coalesce("total_rows", "rows"), F.when(F.col("kind") == "table_done", F.col("id"))
+        ).alias("_staged"),
     ]
 
 
@@ -72,7 +75,7 @@ def _done() -> Column:
 def rows_done(events: DataFrame) -> DataFrame:
     """Rows loaded per run and table: batches add up, a staged load reports one total."""
     loads = events.filter(F.col("kind").isin("batch_done", "table_done"))
-    loads = parsed(loads, "table", "rows", "strategy")
+    loads = parsed(loads, "table", "rows", "total_rows", "strategy")
     return loads.groupBy("run_id", "table").agg(*_loads()).select(
         "run_id", "table", "strategy", _done()
     )
@@ -121,7 +124,7 @@ def bytes_rate(events: DataFrame) -> DataFrame:
 
 def run_tables(events: DataFrame, totals: DataFrame) -> DataFrame:
     """State of every table of a run; ``totals`` holds ``run_id, table, total_rows``."""
-    states = parsed(events, "table", "rows", "strategy").groupBy("run_id", "table").agg(
+    states = parsed(events, "table", "rows", "total_rows", "strategy").groupBy("run_id", "table").agg(
         F.max_by("kind", "id").alias("_last"), *_loads()
     )
     status = F.when(F.col("_last") == "table_done", "done").otherwise("running")
@@ -131,11 +134,26 @@ def run_tables(events: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
+def run_states(events: DataFrame, as_of: Column) -> DataFrame:
+    """Status, start and end of every run; a run still going ends at ``as_of``."""
+    decisive = F.col("kind").isin("started", "resumed", "paused", "done", "failed", "cancelled")
+    states = events.groupBy("run_id").agg(
+        F.min("ts").alias("started_at"),
+        F.max_by("kind", F.when(decisive, F.col("id"))).alias("_kind"),
+        F.max(F.when(F.col("kind").isin(TERMINAL), F.col("ts"))).alias("_ended"),
+    )
+    over = F.col("_kind").isin(TERMINAL)
+    status = F.when(over | (F.col("_kind") == "paused"), F.col("_kind")).otherwise("running")
+    return states.select(
+        "run_id", status.alias("status"), "started_at",
+        F.when(over, F.col("_ended")).otherwise(as_of).alias("ended_at"),
+    )
+
+
 def kpis(events: DataFrame, tables: DataFrame, runs: DataFrame) -> DataFrame:
     """Progress of every run.
 
-    ``tables`` is the result of ``run_tables``; ``runs`` holds ``run_id, status, started_at,
-    ended_at``, where ``ended_at`` is the current time for a run still going.
+    ``tables`` is the result of ``run_tables`` and ``runs`` that of ``run_states``.
     """
     running = F.col("status") == "running"
     per_run = tables.groupBy("run_id").agg(

@@ -82,10 +82,7 @@ def run_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     totals = progress.parsed(events, "table").groupBy("run_id", "table").agg(
         (F.count_if(F.col("kind") == "batch_done") * ROWS_PER_BATCH).alias("total_rows")
     )
-    runs = events.groupBy("run_id").agg(F.min("ts").alias("started_at")).select(
-        "run_id", F.lit("running").alias("status"), "started_at",
-        ts_lit(AS_OF_EVENTS).alias("ended_at"),
-    )
+    runs = progress.run_states(events, ts_lit(AS_OF_EVENTS))
     return events, progress.run_tables(events, totals), runs
 
 

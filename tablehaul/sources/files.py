@@ -68,10 +68,13 @@ def append_conformed(df: DataFrame, target: str) -> None:
     append_columns(df, schema).write.mode("append").parquet(target)
 
 
-def stage_load(spark: SparkSession, staged: str, target: str) -> DataFrame:
+def stage_load(
+    spark: SparkSession, staged: str, target: str, file_format: str = "parquet"
+) -> DataFrame:
     """Load staged files into a target; what was loaded is the growth of the target."""
     baseline = spark.read.parquet(target).count()
-    append_conformed(spark.read.parquet(staged), target)
+    files = spark.read.format(file_format).option("header", "true").load(staged)
+    append_conformed(files, target)
     after = spark.read.parquet(target)
     return after.agg(F.count(F.lit(1)).alias("rows_after")).select(
         F.lit(baseline).cast("long").alias("rows_before"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql.types import StructType
 from tablehaul import fixed_values as fv
 from tablehaul.operators.conform import append_columns, row_transform
 from tablehaul.sources.files import stage_export, stage_path
+from tablehaul.sources.ledger import Ledger
 
 RESULT = (
     "table_name string, strategy string, source_rows bigint, target_rows bigint, "
@@ -43,13 +45,17 @@ class Migration:
     """Moves tables into Parquet folders below ``target``; dimensions go first.
 
     Every copy overwrites its folder, so running a migration again repeats no row. A failing
-    table ends the run; the tables after it stay pending.
+    table ends the run; the tables after it stay pending. With a ``ledger`` path the run
+    leaves its events there.
     """
 
-    def __init__(self, spark: SparkSession, run_id: str, target: str, stage: str):
+    def __init__(
+        self, spark: SparkSession, run_id: str, target: str, stage: str, ledger: str | None = None
+    ):
         self.spark, self.run_id = spark, run_id
         self.target, self.stage = target.rstrip("/"), stage
         self.plans: list[TablePlan] = []
+        self.ledger = Ledger(spark, ledger, run_id)
 
     def add_table(self, plan: TablePlan) -> Migration:
         if plan.name in {p.name for p in self.plans}:
@@ -58,16 +64,21 @@ class Migration:
         return self
 
     def run(self) -> DataFrame:
-        rows, failed = [], False
+        rows, error = [], None
+        self.ledger.add("started", source_type="spark", target_database=self.target)
         for plan in sorted(self.plans, key=lambda p: not p.dimension):
-            if failed:
+            if error:
                 rows.append((plan.name, plan.strategy, None, None, False, "pending", None))
                 continue
             try:
                 rows.append(self._move(plan))
+                error = rows[-1][6]
             except Exception as e:  # noqa: BLE001 - the error belongs into the report
-                rows.append((plan.name, plan.strategy, None, None, False, "failed", str(e)))
-            failed = rows[-1][5] == "failed"
+                error = str(e)
+                rows.append((plan.name, plan.strategy, None, None, False, "failed", error))
+            self.ledger.flush()
+        self.ledger.add("failed" if error else "done", error=error)
+        self.ledger.flush()
         return self.spark.createDataFrame(rows, RESULT)
 
     def _move(self, plan: TablePlan) -> tuple:
@@ -75,33 +86,45 @@ class Migration:
         staged = plan.strategy == "staged" or (
             plan.strategy == "auto" and source_rows > fv.STAGE_ROWS_THRESHOLD
         )
-        path = f"{self.target}/{plan.name}"
-        df = plan.source
-        if staged:
-            stage_export(df, self.stage, self.run_id, plan.name)
-            df = self.spark.read.parquet(stage_path(self.stage, self.run_id, plan.name))
-        plan.shaped(df).write.mode("overwrite").parquet(path)
-        target_rows = self.spark.read.parquet(path).count()
+        start = time.monotonic()
+        copy = self._staged_copy if staged else self._direct_copy
+        total_bytes = copy(plan)
+        target_rows = self.spark.read.parquet(self._path(plan)).count()
         matched = source_rows == target_rows
+        done = {
+            "table": plan.name, "total_rows": target_rows, "rows": target_rows,
+            "strategy": "s3_stage" if staged else "direct", "total_bytes": total_bytes,
+            "seconds": round(time.monotonic() - start, 3),
+        }
+        if not staged:
+            self.ledger.add("batch_done", **done)
+        if matched:
+            self.ledger.add("table_done", **done)
         return (
             plan.name, "staged" if staged else "direct", source_rows, target_rows, matched,
             "done" if matched else "failed",
             None if matched else f"{source_rows} source rows, {target_rows} target rows",
         )
 
-
-def write_ledger(spark: SparkSession, path: str, run_id: str, result: DataFrame) -> None:
-    """Append the outcome of a run to an event ledger, one event per table."""
-    kind = F.when(F.col("status") == "done", "table_done").otherwise(F.col("status"))
-    first = F.unix_micros(F.current_timestamp())
-    result.select(
-        (first + F.monotonically_increasing_id()).alias("id"), F.lit(run_id).alias("run_id"),
-        F.current_timestamp().cast("timestamp_ntz").alias("ts"), kind.alias("kind"),
-        F.to_json(F.struct(
-            F.col("table_name").alias("table"), "strategy",
-            F.col("target_rows").alias("total_rows"), "error",
-        )).alias("payload_json"),
-    ).write.mode("append").parquet(path)
+    def _path(self, plan: TablePlan) -> str:
+        return f"{self.target}/{plan.name}"
+
+    def _direct_copy(self, plan: TablePlan) -> None:
+        plan.shaped(plan.source).write.mode("overwrite").parquet(self._path(plan))
+
+    def _staged_copy(self, plan: TablePlan) -> int:
+        def phase(name: str, **more) -> None:
+            self.ledger.add("phase_started", table=plan.name, phase=name, **more)
+
+        phase("unloading")
+        stats = stage_export(plan.source, self.stage, self.run_id, plan.name).first()
+        size = {"total_bytes": stats["total_bytes"]}
+        phase("staged", file_count=stats["file_count"], **size)
+        phase("loading", **size)
+        staged = self.spark.read.parquet(stage_path(self.stage, self.run_id, plan.name))
+        plan.shaped(staged).write.mode("overwrite").parquet(self._path(plan))
+        phase("validating")
+        return stats["total_bytes"]
 
 
 def resume_plan(expected: DataFrame, actual: DataFrame) -> DataFrame:

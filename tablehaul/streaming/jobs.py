@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablehaul.operators.change import cdc_apply, dedup_latest
-from tablehaul.operators.progress import kpis, run_tables
+from tablehaul.operators.progress import kpis, run_states, run_tables
 from tablehaul.operators.rollup import Rollup, rollup_build, rollup_merge
 from tablehaul.sources.layout import current_version, replace_version
 
@@ -115,11 +115,8 @@ def stream_progress_kpis(
         # A repeated batch must not see later ones, or its figures would differ.
         known = spark.read.parquet(log).filter(F.col(BATCH) <= batch_id).drop(BATCH)
         known = known.join(touched, "run_id", "left_semi")
-        runs = known.groupBy("run_id").agg(F.min("ts").alias("started_at")).select(
-            "run_id", F.lit("running").alias("status"), "started_at", as_of.alias("ended_at")
-        )
         tables = run_tables(known, totals.join(touched, "run_id", "left_semi"))
-        _write_batch(kpis(known, tables, runs), out, batch_id)
+        _write_batch(kpis(known, tables, run_states(known, as_of)), out, batch_id)
 
     return _start(events, handle, checkpoint, every)
 

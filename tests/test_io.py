@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablehaul.catalog import ts_lit
+from tablehaul.operators import progress
 from tablehaul.operators.change import cdc_apply
 from tablehaul.operators.rollup import Rollup, rollup_build, rollup_merge
 from tablehaul.session import shared_folder
 from tablehaul.sources import files, layout, slices
-from tablehaul.sources.migrate import Migration, TablePlan, resume_plan, write_ledger
+from tablehaul.sources.ledger import append_rows, read_ledger
+from tablehaul.sources.migrate import Migration, TablePlan, resume_plan
 from tablehaul.streaming import jobs
 
 SPEC = Rollup(["g"], counts={"n": "1"}, sums={"s": "v"}, distincts={"u": "v"})
@@ -45,6 +47,10 @@ def test_stage_export_replaces_an_earlier_try(spark, folder):
 
 def test_csv_stage(spark, folder):
     assert files.stage_export(spark.range(5), folder, "run", "t", "csv").first().file_count >= 1
+    spark.range(2).write.parquet(f"{folder}/target")
+    staged = files.stage_path(folder, "run", "t")
+    loaded = files.stage_load(spark, staged, f"{folder}/target", "csv").first()
+    assert (loaded.rows_before, loaded.rows_done, loaded.rows_after) == (2, 5, 7)
 
 
 def test_key_slices_cover_the_table(spark):
@@ -120,8 +126,25 @@ def test_migration_report_and_rerun(spark, folder):
         ("dims", "direct", True), ("facts", "staged", True)
     ]
     assert spark.read.parquet(f"{folder}/target/facts").agg(F.max("id")).first()[0] == 98
-    write_ledger(spark, f"{folder}/ledger", "r", result)
-    assert {r.kind for r in spark.read.parquet(f"{folder}/ledger").collect()} == {"table_done"}
+
+
+def test_migration_leaves_a_ledger(spark, folder):
+    job = Migration(spark, "r", f"{folder}/target", f"{folder}/stage", f"{folder}/ledger")
+    job.add_table(TablePlan("facts", spark.range(50), strategy="staged"))
+    job.add_table(TablePlan("dims", spark.range(5), dimension=True))
+    result = job.run()
+    append_rows(result.select("table_name", "matched"), f"{folder}/ledger", "r", "validation_row")
+    events = read_ledger(spark, f"{folder}/ledger")
+    assert [r.tag for r in progress.milestones(events).orderBy("id").collect()] == [
+        "start", "done", "unload", "staged", "load", "verify", "done", "done"
+    ]
+    assert progress.phase_durations(events).filter("seconds >= 0").count() == 4
+    totals = result.select(F.lit("r").alias("run_id"), F.col("table_name").alias("table"),
+                           F.col("source_rows").alias("total_rows"))
+    tables = progress.run_tables(events, totals)
+    row = progress.kpis(events, tables, progress.run_states(events, ts_lit("2024-01-01"))).first()
+    assert (row.pct, row.tables_done, row.tables_total, row.active_tables) == (100.0, 2, 2, 0)
+    assert row.inst == 0 and row.eta_sec == 0.0
 
 
 def test_migration_stops_at_a_failure(spark, folder):
@@ -172,6 +195,16 @@ def test_stream_replay_changes_nothing(spark, folder):
     assert jobs.read_rollup(spark, f"{folder}/states", SPEC).first().n == 20
 
 
+def test_lagged_refresh_on_a_timer(spark, folder):
+    spark.range(20).selectExpr("'a' AS g", "id AS v").repartition(2).write.parquet(f"{folder}/in")
+    job = jobs.stream_refresh_lagged(
+        jobs.read_files(spark, f"{folder}/in"), SPEC, folder, f"{folder}/cp", lag="1 second"
+    )
+    job.processAllAvailable()
+    job.stop()
+    assert jobs.read_refreshed(spark, folder).first().n == 20
+
+
 def test_stream_cdc_equals_batch(spark, folder):
     base = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "k int, x string, v int")
     changes = spark.createDataFrame(

@@ -12,6 +12,8 @@ from tablehaul.operators import augment, compare, conform, joins, profile, progr
 from tablehaul.operators.change import cdc_apply, dedup_latest
 from tablehaul.operators.rollup import Rollup, rollup_build, rollup_compact, rollup_merge
 from tablehaul.operators.series import gap_fill
+from tablehaul.registry import all_queries
+from tests.parity import DATA
 
 
 def values(df):
@@ -295,6 +297,27 @@ def test_cdc_ignores_order_and_repeats(spark):
         assert values(cdc_apply(base, df, ["k"], "v", "op")) == want
 
 
+def test_estimates_stay_within_their_bounds(spark):
+    queries, sf = all_queries(), f"{DATA}/sf0.01"
+
+    def column(key, name, by="event_type"):
+        return {r[by]: r[name] for r in queries[key](spark, sf).collect()}
+
+    for key in ("op_uniq_approx", "rollup_uniq_state"):
+        estimated, exact = column(key, "users"), column("op_count_distinct", "users")
+        assert all(abs(estimated[k] - exact[k]) <= 0.05 * exact[k] for k in exact)
+    exact = queries["op_percentile_exact"](spark, sf).collect()
+    values = queries["op_percentile_approx"](spark, sf).collect()
+    middle = column("rollup_quantile_state", "median_value")
+    for e in exact:
+        a = next(r for r in values if r.event_type == e.event_type)
+        assert abs(a.p50 - e.p50) <= 0.02 * e.p50 and abs(a.p99 - e.p99) <= 0.02 * e.p99
+        assert abs(middle[e.event_type] - e.p50) <= 0.05 * e.p50
+    daily = column("web_daily_traffic", "unique_visitors", "date")
+    truth = column("web_daily_traffic_exact", "unique_visitors", "date")
+    assert all(abs(daily[k] - truth[k]) <= 0.05 * truth[k] for k in truth)
+
+
 # ---- ledger and benchmarks -----------------------------------------------------------------
 
 
