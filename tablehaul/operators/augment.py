@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablehaul import fixed_values as fv
 from tablehaul.functions.scalars import pick, zone_to_utc
+from tablehaul.session import saved
 
 
 def order_metadata_fields(key: Column) -> dict[str, Column]:
@@ -82,8 +83,8 @@ def hash_sample(df: DataFrame, key: str, size: int) -> DataFrame:
     On a large table a cut at about twice the wanted share goes first, so that only few rows
     per partition compete; it is used only if it leaves enough of them.
     """
-    ranked = df.withColumn("_hash", F.md5(F.col(key).cast("string")))
-    total = df.count()
+    ranked = saved(df.withColumn("_hash", F.md5(F.col(key).cast("string"))), "sample")
+    total = ranked.count()
     if total > 4 * size:
         cut = format(int(2 * size / total * 16**8), "08x")
         near = ranked.filter(F.col("_hash") < cut)

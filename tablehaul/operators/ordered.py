@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablehaul.operators.joins import BROADCAST_ROWS
+from tablehaul.session import saved
 
 HOT_ROWS = 5_000_000
 SLOTS = 4096
@@ -33,11 +34,13 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary groups, and rows of groups too large for one task (or None)."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    n = sizes.count()
-    if n == 0:
+    # At most one key per ``hot_rows`` rows comes to the driver.
+    found = _renamed(sizes, keys)
+    rows = found.collect()
+    if not rows:
         return df, None
-    hot = _renamed(sizes, keys)
-    if n <= BROADCAST_ROWS:
+    hot = df.sparkSession.createDataFrame(rows, found.schema)
+    if len(rows) <= BROADCAST_ROWS:
         hot = F.broadcast(hot)
     same = _same(df, hot, keys)
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
@@ -51,7 +54,9 @@ def _with_slots(df: DataFrame, order: str, slots: int) -> DataFrame:
     c = F.col(order)
     if kind.startswith(("timestamp", "date")):
         c = c.cast("timestamp")
-    placed = df.withColumn("_at", F.coalesce(c.cast("double"), F.lit(float("-inf"))))
+    placed = saved(
+        df.withColumn("_at", F.coalesce(c.cast("double"), F.lit(float("-inf")))), "slots"
+    )
     cuts = placed.filter("_at > double('-infinity')").approxQuantile(
         "_at", [i / slots for i in range(1, slots)], 1 / (4 * slots)
     )
@@ -134,10 +139,11 @@ def exact_percentiles(
     Equal values are counted before the shuffle, ranks come from running totals of the
     counts, and each percentile reads the one or two values at its position.
     """
-    counted = (
+    counted = saved(
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "value-counts",
     )
     ranked = running_total(counted, keys, "_v", "_n", "_upto", hot_rows, slots)
     sizes = _renamed(counted.groupBy(*keys).agg(F.sum("_n").alias("_total")), keys, "_total")

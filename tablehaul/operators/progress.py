@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tablehaul import fixed_values as fv
 from tablehaul.operators.ordered import neighbour
+from tablehaul.session import saved
 
 PAYLOAD = {
     "table": "string", "rows": "bigint", "seconds": "double", "bytes_done": "bigint",
@@ -21,13 +22,23 @@ TERMINAL = ["done", "failed", "cancelled"]
 
 
 def parsed(events: DataFrame, *fields: str) -> DataFrame:
-    """Events with the named payload fields as columns; the parser skips the others."""
+    """Events with the named payload fields as columns; the parser skips the others.
+
+    Events that are parsed already only lose the columns not asked for.
+    """
+    if "payload_json" not in events.columns:
+        return events.select("id", "run_id", "ts", "kind", *fields)
     schema = ", ".join(f"`{f}` {PAYLOAD[f]}" for f in fields)
     return events.withColumn("_p", F.from_json("payload_json", schema)).select(
         "id", "run_id", "ts", "kind", "_p.*"
     )
 
 
+def parsed_once(events: DataFrame) -> DataFrame:
+    """Fully parsed events in a table of their own, for analyses that read them many times."""
+    return saved(parsed(events, *PAYLOAD), "events")
+
+
 def half_up(c: Column) -> Column:
     """Nearest whole number, halves upward."""
     return F.floor(c + 0.5).cast("long")

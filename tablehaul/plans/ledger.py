@@ -78,7 +78,7 @@ def prog_bytes_rate(t: Tables) -> DataFrame:
 
 def run_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Events, table states and runs of the ledger fixture; all runs are still going."""
-    events = t.ledger_events()
+    events = progress.parsed_once(t.ledger_events())
     totals = progress.parsed(events, "table").groupBy("run_id", "table").agg(
         (F.count_if(F.col("kind") == "batch_done") * ROWS_PER_BATCH).alias("total_rows")
     )

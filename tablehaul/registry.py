@@ -6,10 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablehaul.catalog import Tables
 from tablehaul.catalog_sql import with_views
-from tablehaul.session import prepare
+from tablehaul.session import fit_shuffles, prepare
+from tablehaul.sources.files import file_listing
 
 
 @dataclass(frozen=True)
@@ -19,10 +21,21 @@ class Query:
     sql: str | None
 
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return self.build(Tables(prepare(spark), sf_dir))
+        _size_up(prepare(spark), sf_dir)
+        return self.build(Tables(spark, sf_dir))
 
 
 _QUERIES: dict[str, Query] = {}
+_SIZED: set[tuple[str, str]] = set()
+
+
+def _size_up(spark: SparkSession, sf_dir: str) -> None:
+    """Fit the shuffles to a data folder, once per session and folder."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _SIZED:
+        total = file_listing(spark, sf_dir, "*.parquet").agg(F.sum("bytes")).first()[0]
+        fit_shuffles(spark, total or 0)
+        _SIZED.add(known)
 
 
 def query(key: str, sql: str | None = None):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,6 +17,9 @@ _RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+PARTITION_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
 _test_folder: str | None = None
 
 
@@ -28,6 +31,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the shuffle partition count until a partition of the whole input fits a task.
+
+    Parquet grows about threefold in memory. AQE merges what turns out small, so the number
+    only has to be high enough; it is never lowered.
+    """
+    wanted = min(MOST_PARTITIONS, -(-3 * input_bytes // PARTITION_BYTES))
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: the one in ``spark.checkpoint.dir``.
 
@@ -47,3 +61,14 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path for one job's tables under the shared folder."""
     return f"{shared_folder(spark)}/tablehaul/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it from there.
+
+    For results that are used several times: they are computed once, and a lost executor
+    costs a re-read, not a re-computation.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -47,11 +47,12 @@ def stage_path(stage: str, run_id: str, table: str) -> str:
 
 
 def stage_export(
-    df: DataFrame, stage: str, run_id: str, table: str, file_format: str = "parquet"
+    df: DataFrame, stage: str, run_id: str, table: str, file_format: str = "parquet",
+    rows_per_file: int = 0,
 ) -> DataFrame:
     """Write a table to its stage folder, replacing an earlier try; returns files and bytes."""
     path = stage_path(stage, run_id, table)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     if file_format == "parquet":
         writer.option("compression", "snappy").parquet(path)
     else:

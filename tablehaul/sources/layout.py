@@ -11,20 +11,27 @@ from pyspark.sql import functions as F
 from tablehaul.functions.scalars import yyyymm
 
 
-def write_partition_sorted(df: DataFrame, path: str, time: str, keys: list[str]) -> None:
+def write_partition_sorted(
+    df: DataFrame, path: str, time: str, keys: list[str], bloom: tuple[str, ...] = (),
+    rows_per_file: int = 0,
+) -> None:
     """Month folders with key-sorted files.
 
     Rows are range-partitioned by month and keys, so a large month is spread over several
     tasks and files, each a narrow key range that min/max statistics can skip. The row hash
     comes last: it spreads the rows of one hot key, and unlike a random number it puts a row
-    into the same range again when a lost task is repeated.
+    into the same range again when a lost task is repeated. ``bloom`` columns get a Bloom
+    filter for point lookups.
     """
-    (
+    writer = (
         df.withColumn("ym", yyyymm(time))
         .repartitionByRange("ym", *keys, F.xxhash64(*df.columns))
         .sortWithinPartitions("ym", *keys)
-        .write.mode("overwrite").partitionBy("ym").parquet(path)
+        .write.mode("overwrite").partitionBy("ym").option("maxRecordsPerFile", rows_per_file)
     )
+    for column in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
 
 
 def month_filter(time: str, start: str, end: str):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablehaul.operators.change import cdc_apply, dedup_latest
-from tablehaul.operators.progress import kpis, run_states, run_tables
+from tablehaul.operators.progress import kpis, parsed_once, run_states, run_tables
 from tablehaul.operators.rollup import Rollup, rollup_build, rollup_merge
 from tablehaul.sources.layout import current_version, replace_version
 
@@ -114,7 +114,7 @@ def stream_progress_kpis(
         touched = spark.read.parquet(f"{log}/{BATCH}={batch_id}").select("run_id").distinct()
         # A repeated batch must not see later ones, or its figures would differ.
         known = spark.read.parquet(log).filter(F.col(BATCH) <= batch_id).drop(BATCH)
-        known = known.join(touched, "run_id", "left_semi")
+        known = parsed_once(known.join(touched, "run_id", "left_semi"))
         tables = run_tables(known, totals.join(touched, "run_id", "left_semi"))
         _write_batch(kpis(known, tables, run_states(known, as_of)), out, batch_id)
 
