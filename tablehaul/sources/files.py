@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -85,13 +87,14 @@ def stage_load(
 
 def table_inventory(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Rows, bytes and columns of every table, largest first."""
-    result = None
+    parts = []
     for name, path in paths.items():
-        df = spark.read.parquet(path)
-        size = file_listing(spark, path, "*.parquet").agg(F.sum("bytes").alias("bytes"))
-        one = df.agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"),
-            F.lit(len(df.columns)).alias("columns"),
-        ).join(size.withColumn("table_name", F.lit(name)), "table_name")
-        result = one if result is None else result.unionByName(one)
-    return result.orderBy(F.desc("bytes"), "table_name")
+        df, this = spark.read.parquet(path), F.lit(name).alias("table_name")
+        parts.append(df.agg(
+            this, F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns")
+        ))
+        parts.append(file_listing(spark, path, "*.parquet").agg(this, F.sum("bytes").alias("bytes")))
+    facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return facts.groupBy("table_name").agg(
+        *[F.max(c).alias(c) for c in ("rows", "columns", "bytes")]
+    ).orderBy(F.desc("bytes"), "table_name")

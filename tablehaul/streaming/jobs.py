@@ -16,6 +16,7 @@ from tablehaul.operators.rollup import Rollup, rollup_build, rollup_merge
 from tablehaul.sources.layout import current_version, replace_version
 
 BATCH = "batch_id"
+LOG_BUCKETS = 64
 
 
 def read_files(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
@@ -107,13 +108,24 @@ def stream_progress_kpis(
     events: DataFrame, totals: DataFrame, log: str, out: str, checkpoint: str, as_of,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Append events to a log and refresh the figures of the runs a batch touched."""
+    """Append events to a log and refresh the figures of the runs a batch touched.
+
+    Events may arrive in any order, so the figures are computed from all events of a run.
+    The log is foldered by a hash of the run, and only folders of touched runs are read.
+    """
+    bucket = F.pmod(F.xxhash64("run_id"), F.lit(LOG_BUCKETS)).cast("int")
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        _write_batch(batch, log, batch_id)
-        touched = spark.read.parquet(f"{log}/{BATCH}={batch_id}").select("run_id").distinct()
+        path = f"{log}/{BATCH}={batch_id}"
+        batch.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(path)
+        written = spark.read.schema("run_id string, bucket int").parquet(path)
+        touched = written.select("run_id").distinct()
+        buckets = [r["bucket"] for r in written.select("bucket").distinct().collect()]
         # A repeated batch must not see later ones, or its figures would differ.
-        known = spark.read.parquet(log).filter(F.col(BATCH) <= batch_id).drop(BATCH)
+        known = spark.read.parquet(log).filter(
+            (F.col(BATCH) <= batch_id) & F.col("bucket").isin(buckets)
+        ).drop(BATCH, "bucket")
         known = parsed_once(known.join(touched, "run_id", "left_semi"))
         tables = run_tables(known, totals.join(touched, "run_id", "left_semi"))
         _write_batch(kpis(known, tables, run_states(known, as_of)), out, batch_id)
