@@ -6,14 +6,16 @@ of its own number and a second run replaces the first.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablehaul.operators.change import cdc_apply, dedup_latest
 from tablehaul.operators.progress import kpis, parsed_once, run_states, run_tables
-from tablehaul.operators.rollup import Rollup, rollup_build, rollup_merge
-from tablehaul.sources.layout import current_version, replace_version
+from tablehaul.operators.rollup import Rollup, rollup_build, rollup_compact, rollup_merge
+from tablehaul.sources.layout import current_version, newest_version, replace_version
 
 BATCH = "batch_id"
 LOG_BUCKETS = 64
@@ -38,11 +40,28 @@ def _start(stream: DataFrame, handle, checkpoint: str, every: str | None) -> Str
 
 
 def _write_batch(df: DataFrame, root: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/{BATCH}={batch_id}")
+    df.write.mode("overwrite").parquet(f"{root}/batches/{BATCH}={batch_id}")
 
 
 def read_batches(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root).drop(BATCH)
+    """Everything written so far: the folded past and the batches after it."""
+    batches = spark.read.parquet(f"{root}/batches")
+    past = newest_version(spark, f"{root}/folded")
+    if past is None:
+        return batches.drop(BATCH)
+    upto, folded = past
+    return folded.unionByName(batches.filter(F.col(BATCH) > upto).drop(BATCH))
+
+
+def fold_batches(spark: SparkSession, root: str, fold: Callable[[DataFrame], DataFrame]) -> None:
+    """Compact a stream's output, so that reads do not slow down with the number of batches.
+
+    ``fold`` must keep everything later batches can still meet: partial states stay states,
+    and deleted keys stay as delete changes. A batch that runs again after it was folded
+    rewrites a folder nobody reads any more.
+    """
+    upto = spark.read.parquet(f"{root}/batches").agg(F.max(BATCH)).first()[0]
+    replace_version(fold(read_batches(spark, root)), f"{root}/folded", upto)
 
 
 def stream_rollup(
@@ -55,6 +74,10 @@ def stream_rollup(
     return _start(stream, handle, checkpoint, every)
 
 
+def fold_rollup(spark: SparkSession, states: str, spec: Rollup) -> None:
+    fold_batches(spark, states, lambda df: rollup_compact(df, spec))
+
+
 def read_rollup(spark: SparkSession, states: str, spec: Rollup) -> DataFrame:
     return rollup_merge(read_batches(spark, states), spec)
 
@@ -70,6 +93,10 @@ def stream_cdc(
     return _start(changes, handle, checkpoint, every)
 
 
+def fold_cdc(spark: SparkSession, log: str, keys: list[str], version: str, op: str) -> None:
+    fold_batches(spark, log, lambda df: dedup_latest(df, keys, [version, op]))
+
+
 def read_cdc(
     spark: SparkSession, base: DataFrame, log: str, keys: list[str], version: str, op: str
 ) -> DataFrame:
@@ -135,4 +162,4 @@ def stream_progress_kpis(
 
 def read_kpis(spark: SparkSession, out: str) -> DataFrame:
     """Latest figures of every run."""
-    return dedup_latest(spark.read.parquet(out), ["run_id"], [BATCH]).drop(BATCH)
+    return dedup_latest(spark.read.parquet(f"{out}/batches"), ["run_id"], [BATCH]).drop(BATCH)
