@@ -33,7 +33,7 @@ def cdc_apply(
     old = base.select(*keys, F.struct(*values).alias("_old"))
     same = F.lit(True)
     for k in keys:
-        same = same & (F.col(k) == F.col(f"_k_{k}"))
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     wins = F.col("_new").isNotNull() & (
         F.col("_old").isNull() | (F.col(f"_new.{version}") > F.col(f"_old.{version}"))
     )

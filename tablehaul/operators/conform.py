@@ -28,6 +28,8 @@ def _conformed(c: Column, source_type: str, dialect: str) -> Column:
     kind = source_type.upper().split("(")[0].strip()
     if kind == "CHAR":
         return F.rtrim(c.cast("string"))
+    if kind == "INTERVAL":  # microseconds
+        return F.unix_micros(F.lit("1970-01-01").cast("timestamp") + c)
     if kind == "TIME":
         return F.date_format(c, "HH:mm:ss")
     return c.cast(target)

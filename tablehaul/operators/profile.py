@@ -100,10 +100,10 @@ def fk_inclusion(pairs: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> Dat
     Both sides are reduced to distinct keys before they meet, so a hot key is one row.
     """
     def one(name, child, child_key, parent, parent_key):
-        children = child.groupBy(F.col(child_key).cast("long").alias("k")).agg(
+        children = child.groupBy(F.col(child_key).alias("k")).agg(
             F.count(F.lit(1)).alias("child_rows")
         ).filter("k IS NOT NULL")
-        parents = parent.select(F.col(parent_key).cast("long").alias("k")).distinct().withColumn(
+        parents = parent.select(F.col(parent_key).alias("k")).distinct().withColumn(
             "found", F.lit(True)
         )
         return children.join(parents, "k", "left").agg(

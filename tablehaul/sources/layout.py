@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,19 +80,12 @@ def replace_version(df: DataFrame, root: str, version: int) -> None:
     announced.coalesce(1).write.mode("overwrite").parquet(f"{root}/versions/n={version}")
 
 
-def newest_version(spark: SparkSession, root: str) -> tuple[int, DataFrame] | None:
-    """Number and rows of the newest announced version, None if there is none yet."""
-    try:
-        versions = spark.read.parquet(f"{root}/versions")
-    except AnalysisException:
-        return None
-    newest = versions.orderBy(F.desc("version")).first()
+def newest_version(spark: SparkSession, root: str) -> tuple[int, DataFrame]:
+    """Number and rows of the newest announced version."""
+    newest = spark.read.parquet(f"{root}/versions").orderBy(F.desc("version")).first()
     return newest["version"], spark.read.parquet(newest["path"])
 
 
 def current_version(spark: SparkSession, root: str) -> DataFrame:
     """The newest announced version of a table written by ``replace_version``."""
-    newest = newest_version(spark, root)
-    if newest is None:
-        raise FileNotFoundError(f"no complete version below {root}")
-    return newest[1]
+    return newest_version(spark, root)[1]

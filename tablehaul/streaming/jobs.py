@@ -41,15 +41,14 @@ def _start(stream: DataFrame, handle, checkpoint: str, every: str | None) -> Str
 
 def _write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/batches/{BATCH}={batch_id}")
+    if batch_id == 0:  # nothing is folded yet
+        replace_version(df.filter(F.lit(False)), f"{root}/folded", -1)
 
 
 def read_batches(spark: SparkSession, root: str) -> DataFrame:
     """Everything written so far: the folded past and the batches after it."""
     batches = spark.read.parquet(f"{root}/batches")
-    past = newest_version(spark, f"{root}/folded")
-    if past is None:
-        return batches.drop(BATCH)
-    upto, folded = past
+    upto, folded = newest_version(spark, f"{root}/folded")
     return folded.unionByName(batches.filter(F.col(BATCH) > upto).drop(BATCH))
 
 

@@ -52,6 +52,21 @@ def test_conform_pads_and_parses(spark):
     assert tuple(out.first()) == ("ab", "12.35", 1, "09:08:07")
 
 
+def test_conform_intervals_and_instants(spark):
+    df = spark.range(1).select(
+        F.expr("INTERVAL '1 00:00:01.5' DAY TO SECOND").alias("i"),
+        F.lit("2024-01-01 00:00:00.123456").cast("timestamp").alias("t"),
+    )
+    row = conform.conform_types(df, {"i": "INTERVAL", "t": "TIMESTAMP"}, "bigquery").first()
+    assert (row.i, row.t.microsecond) == (86_401_500_000, 123_000)
+
+
+def test_fk_inclusion_on_text_keys(spark):
+    child = spark.createDataFrame([("a",), ("b",)], "c string")
+    parent = spark.createDataFrame([("a",)], "p string")
+    assert profile.fk_inclusion({"x": (child, "c", parent, "p")}).first().matched_keys == 1
+
+
 def test_case_fold_collision(spark):
     df = spark.range(1).select(F.lit(1).alias("A"), F.lit(2).alias("a"))
     with pytest.raises(ValueError):
@@ -286,10 +301,13 @@ def test_dedup_latest(spark):
 
 
 def test_cdc_ignores_order_and_repeats(spark):
-    base = spark.createDataFrame([(1, "a", 1), (2, "b", 5), (3, "c", 1)], "k int, x string, v int")
+    base = spark.createDataFrame(
+        [(1, "a", 1), (2, "b", 5), (3, "c", 1), (None, "n", 1)], "k int, x string, v int"
+    )
     changes = [(1, "a2", 2, "U"), (1, "a3", 3, "U"), (2, "late", 4, "D"), (3, "", 2, "D"),
-               (4, "new", 1, "U"), (5, "gone", 1, "U"), (5, "gone", 2, "D")]
-    want = [(1, "a3", 3), (2, "b", 5), (4, "new", 1)]
+               (4, "new", 1, "U"), (5, "gone", 1, "U"), (5, "gone", 2, "D"),
+               (None, "n2", 9, "U")]
+    want = [(1, "a3", 3), (2, "b", 5), (4, "new", 1), (None, "n2", 9)]
     for seed in range(3):
         mixed = changes * 2
         random.Random(seed).shuffle(mixed)
