@@ -109,7 +109,7 @@ class Tables:
             F.col("c_mktsegment").alias("segment"),
             pick(USER_COUNTRIES, F.pmod("c_nationkey", F.lit(5))).alias("country_code"),
             F.coalesce("first_order", date_lit("1995-01-01")).alias("registration_date"),
-            F.coalesce("delivered", F.lit(0)).cast("decimal(14,2)").alias("lifetime_value"),
+            F.coalesce("delivered", F.lit(0)).cast("decimal(38,2)").alias("lifetime_value"),
         )
 
     def ec_countries(self) -> DataFrame:

@@ -56,7 +56,7 @@ VIEWS: dict[str, str] = {
                {_pick(cat.USER_COUNTRIES, 'any_value(c_nationkey) % 5')} AS country_code,
                coalesce(min(o_orderdate), DATE '1995-01-01') AS registration_date,
                CAST(coalesce(sum(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 0)
-                    AS DECIMAL(14,2)) AS lifetime_value
+                    AS DECIMAL(38,2)) AS lifetime_value
         FROM customer LEFT JOIN orders_v ON o_custkey = c_custkey GROUP BY c_custkey""",
     "ec_products": """
         SELECT p_partkey AS product_id, p_name AS name, p_type AS category,

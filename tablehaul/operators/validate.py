@@ -221,11 +221,16 @@ def row_hash_compare(source: DataFrame, target: DataFrame, keys: list[str]) -> D
 
     def folded(df: DataFrame, side: str) -> DataFrame:
         parts = [p for c in columns for p in (F.col(c), F.col(c).isNull())]
-        # The two halves of the hash are summed apart: neither sum can overflow.
-        high, low = F.shiftright("_hash", 32), F.col("_hash").bitwiseAND(F.lit(0xFFFFFFFF))
+        # The hash is summed in three parts of at most 22 bits, which leaves room for 2^41
+        # rows of one key.
+        mask = F.lit(0x1FFFFF)
+        bits = [
+            F.shiftrightunsigned("_hash", 42),
+            F.shiftrightunsigned("_hash", 21).bitwiseAND(mask), F.col("_hash").bitwiseAND(mask),
+        ]
         return df.select(*keys, F.xxhash64(*parts).alias("_hash")).groupBy(*keys).agg(
-            F.count(F.lit(1)).alias(f"{side}_rows"), F.sum(high).alias(f"{side}_high"),
-            F.sum(low).alias(f"{side}_low"),
+            F.count(F.lit(1)).alias(f"{side}_rows"),
+            F.struct(*[F.sum(b) for b in bits]).alias(f"{side}_hash"),
         )
 
     s, t = folded(source, "source"), folded(target, "target")
@@ -235,8 +240,7 @@ def row_hash_compare(source: DataFrame, target: DataFrame, keys: list[str]) -> D
         .when(F.col("source_rows").isNull(), "extra")
         .when(
             (F.col("source_rows") != F.col("target_rows"))
-            | (F.col("source_high") != F.col("target_high"))
-            | (F.col("source_low") != F.col("target_low")),
+            | (F.col("source_hash") != F.col("target_hash")),
             "changed",
         )
     )

@@ -74,14 +74,14 @@ def daily_order_summary(t: Tables) -> DataFrame:
 @query("order_total_refresh", """
     WITH totals AS (
       SELECT order_id, CAST(sum(quantity * unit_price * (1 - discount_pct * CAST(0.01 AS DECIMAL(3,2))))
-                            AS DECIMAL(14,2)) AS total FROM ec_order_items GROUP BY order_id)
+                            AS DECIMAL(38,2)) AS total FROM ec_order_items GROUP BY order_id)
     SELECT o.order_id, CAST(coalesce(total, total_amount) AS DOUBLE) AS total_amount
     FROM ec_orders o LEFT JOIN totals USING (order_id)""")
 def order_total_refresh(t: Tables) -> DataFrame:
     share = F.lit(1) - F.col("discount_pct") * F.lit("0.01").cast("decimal(3,2)")
     totals = t.ec_order_items().groupBy("order_id").agg(
         F.sum(F.col("quantity") * F.col("unit_price") * share)
-        .cast("decimal(14,2)").alias("total_amount")
+        .cast("decimal(38,2)").alias("total_amount")
     )
     orders = t.ec_orders().select("order_id", "total_amount")
     refreshed = refresh_total(orders, totals, "order_id", "total_amount")
