@@ -63,12 +63,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tablehaul/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it from there.
 
     For results that are used several times: they are computed once, and a lost executor
-    costs a re-read, not a re-computation.
+    costs a re-read, not a re-computation. ``options`` are those of the Parquet writer.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
