@@ -8,6 +8,7 @@ Tokenizers of other kinds, and texts with special-token strings, are encoded who
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import os
 import struct
@@ -83,6 +84,15 @@ class Encoder:
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here is cyclic, and the lists are long
+        try:
+            return self._packed(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _packed(self, texts: list[str]) -> list[bytes]:
         split = [self._chunks(t) for t in texts]
         chunks = set().union(*(c for c in split if c is not None))
         known = self.known
@@ -91,22 +101,24 @@ class Encoder:
         missing = chunks.difference(known)
         # Signs behind letters are a piece of their own; such pairs are put together for the
         # texts at hand and not remembered.
-        pairs = []
+        pairs, words, signs = [], [], []
         for c in missing:
             word = c.rstrip(SIGNS)
             if word and word != c and (word.isalpha() or word.decode(*UTF8).isalpha()):
-                pairs.append((c, word, c[len(word):]))
-        new = missing.difference([c for c, _, _ in pairs])
-        new.update([w for _, w, _ in pairs], [s for _, _, s in pairs])
+                pairs.append(c)
+                words.append(word)
+                signs.append(c[len(word):])
+        new = missing.difference(pairs)
+        new.update(words, signs)
         new.difference_update(known)
         self._learn(new)
-        for c, word, signs in pairs:
-            known[c] = known[word] + known[signs]
+        for c, word, sign in zip(pairs, words, signs):
+            known[c] = known[word] + known[sign]
         out = [
             _pack(self.whole(text)) if own is None else b"".join(map(known.__getitem__, own))
             for text, own in zip(texts, split)
         ]
-        for c, _, _ in pairs:
+        for c in pairs:
             del known[c]
         for c in new:
             if len(c) >= LONG:
