@@ -101,16 +101,18 @@ def _signed(x: int) -> int:
 def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Pairs ``u < v`` of distinct values in column ``fp`` that differ in at most ``radius`` bits."""
     spark = prints.sparkSession
-    dealt = prints.select("fp", F.lit(0).alias("parent"))
-    pairs = None
+    dealt, pairs = prints.select("fp"), None
     levels = mask_levels(radius)
     for depth, rows in enumerate(levels, 1):
-        masks = spark.createDataFrame(
-            [(p, t, _signed(m)) for p, t, m in rows], "parent int, tab int, mask long"
-        )  # 7, 49 and 343 rows for radius 2
-        tables = dealt.join(F.broadcast(masks), "parent").select(
-            "fp", "tab", F.col("fp").bitwiseAND(F.col("mask")).alias("key")
-        )
+        if depth == 1:
+            masks = [F.struct(F.lit(t).alias("tab"), F.lit(_signed(m)).alias("mask")) for _, t, m in rows]
+            tables = dealt.select("fp", F.explode(F.array(*masks)).alias("m")).select("fp", "m.*")
+        else:
+            masks = spark.createDataFrame(
+                [(p, t, _signed(m)) for p, t, m in rows], "parent int, tab int, mask long"
+            )  # 49 and 343 rows for radius 2, 7 of them for each parent
+            tables = dealt.join(F.broadcast(masks), "parent")
+        tables = tables.select("fp", "tab", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
         sizes = tables.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         members = saved(tables.join(saved(sizes, "bucket-sizes"), ["tab", "key"]), "buckets")
         last = depth == len(levels)
