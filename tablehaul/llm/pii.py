@@ -117,11 +117,11 @@ _WORDS = re.compile(
     rf"|(?P<dot>\s{{0,3}}{_OPEN}(?:dot|\.){_CLOSE}\s{{0,3}}"
     r"|(?<=[a-z0-9-])\s{1,3}dot\s{1,3}(?=[a-z0-9-]))"
     rf"|(?P<plus>\bplus\s{{1,3}}(?={_DIGIT}\b))"
-    rf"|(?P<run>\b{_DIGIT}(?:[\s-]{{1,3}}{_DIGIT})+\b)",
+    rf"|(?P<run>\b{_DIGIT}(?:[\s-]{{1,3}}(?:dot[\s-]{{1,3}})?{_DIGIT})+\b)",
     re.IGNORECASE | re.ASCII,
 )
-_ONE_DIGIT = re.compile(_DIGIT, re.IGNORECASE | re.ASCII)
-_VALUE = {word: str(i) for i, word in enumerate(DIGITS)}
+_IN_RUN = re.compile(rf"{_DIGIT}|dot", re.IGNORECASE | re.ASCII)
+_VALUE = {word: str(i) for i, word in enumerate(DIGITS)} | {"dot": "."}
 
 
 class Normalised:
@@ -145,7 +145,7 @@ class Normalised:
             add(folded[done:m.start()], done, m.start(), True)
             done = m.end()
             if m.lastgroup == "run":
-                for d in _ONE_DIGIT.finditer(folded, m.start(), m.end()):
+                for d in _IN_RUN.finditer(folded, m.start(), m.end()):
                     add(_VALUE[d.group().lower()], d.start(), d.end(), False)
             elif m.lastgroup != "gone":
                 add({"at": "@", "dot": ".", "plus": "+"}[m.lastgroup], m.start(), m.end(), False)
@@ -162,9 +162,22 @@ class Normalised:
         return start, a + end - self._at[last] if copied else b
 
 
+# Every match of the words transducer on a text without foreign characters has one of these.
+_BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at|@|dot|\.)\s{0,3}[\])}>]", re.IGNORECASE | re.ASCII)
+_NUMBERS = re.compile(rf"\b{_DIGIT}[\s-]{{1,3}}{_DIGIT}", re.ASCII)
+
+
 def disguised(text: str) -> bool:
-    """Whether either transducer would change the text."""
-    return (not text.isascii() and _FOLDED.search(text) is not None) or bool(_WORDS.search(text))
+    """Whether either transducer may change the text; False only if neither does."""
+    if not text.isascii() and _FOLDED.search(text):
+        return True
+    lower = text.lower()
+    return (
+        "dot" in lower
+        or "plus" in lower
+        or _BRACKETED.search(text) is not None
+        or _NUMBERS.search(lower) is not None
+    )
 
 
 def find(text: str | None) -> list[tuple[int, int, int, bool]]:
