@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +46,15 @@ def text_of(column: str = "text") -> Column:
 def same(left: Column, right: Column) -> Column:
     """Equality under which NULL equals NULL."""
     return left.eqNullSafe(right)
+
+
+_model: list = [None, None]
+
+
+def worker_model(key: tuple, build: Callable[[], Any]) -> Any:
+    """What a Python worker has built for ``key``. A worker keeps one such model at a time, so
+    the operators of a pipeline do not add up in its memory."""
+    if _model[0] != key:
+        _model[:] = [None, None]
+        _model[:] = [key, build()]
+    return _model[1]

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import unused
+from tablehaul.llm.common import unused, worker_model
 from tablehaul.llm.fm_index import FMIndex
 from tablehaul.session import saved
 
@@ -141,18 +141,13 @@ def _placed(text: str, merged: list[list[int]]) -> list[tuple[int, int, int, int
     return [(a, b - a, at[a][0], at[b - 1][1]) for a, b in merged]
 
 
-@functools.lru_cache(maxsize=1)
-def _phrases(items: tuple[tuple[str, str], ...], window: int) -> Phrases:
-    """Built once in each Python worker."""
-    return Phrases(items, window)
-
-
 def _leak(text: Column, items: tuple[tuple[str, str], ...], window: int) -> Column:
     fields = ("first_word", "n_words", "start", "end")
 
     @F.pandas_udf(LEAK)
     def find(texts: pd.Series) -> pd.DataFrame:
-        found = leaks_in(_phrases(items, window), list(texts))
+        phrases = worker_model(("phrases", items, window), lambda: Phrases(items, window))
+        found = leaks_in(phrases, list(texts))
         return pd.DataFrame({
             "n_words": [n for n, _, _ in found],
             "spans": [[dict(zip(fields, s)) for s in spans] for _, spans, _ in found],

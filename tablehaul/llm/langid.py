@@ -14,7 +14,6 @@ language's share. Every text is parsed whole, in blocks of
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 
@@ -23,10 +22,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablehaul.llm.common import worker_model
+
 SAMPLE_ROWS = 100
 SAMPLE_CHARS = 160_000
 LANGUAGE_CHARS = 40_000
-ALPHABET = 64
+ALPHABET = 48
 BLOCK = 1024
 #: Characters parsed together, and the most of one text taken at a time.
 BUNDLE = 2_000_000
@@ -190,12 +191,6 @@ class CrossParser:
         return names, scores
 
 
-@functools.lru_cache(maxsize=2)
-def _parser(samples: tuple[tuple[str, str], ...]) -> CrossParser:
-    """Built once in each Python worker."""
-    return CrossParser(dict(samples))
-
-
 def samples_of(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> dict[str, str]:
@@ -240,7 +235,8 @@ def identified(text: Column, samples: dict[str, str]) -> Column:
 
     @F.pandas_udf("lang string, score double")
     def parse(texts: pd.Series) -> pd.DataFrame:
-        lang, score = _parser(key).identify(list(texts))
+        parser = worker_model(("languages", key), lambda: CrossParser(samples))
+        lang, score = parser.identify(list(texts))
         return pd.DataFrame({"lang": lang, "score": score})
 
     return parse(text)

@@ -7,7 +7,6 @@ Tokenizers of other kinds, and texts with special-token strings, are encoded who
 
 from __future__ import annotations
 
-import functools
 import gc
 import json
 import os
@@ -16,6 +15,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from tablehaul.llm.common import worker_model
+
 #: Chunks remembered at once in a Python worker; beyond that the memory starts anew.
 MEMORY = 800_000
 #: ASCII signs: one behind letters never joins them.
@@ -146,7 +147,6 @@ def bundles(texts: Iterable[str], chars: int = 4_000_000) -> Iterator[list[str]]
         yield own
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder for each tokenizer file in a Python worker."""
-    return Encoder(path)
+    """The encoder of a tokenizer file in a Python worker."""
+    return worker_model(("encoder", path), lambda: Encoder(path))
