@@ -67,9 +67,9 @@ class Alphabet:
 def suffix_automaton(codes: list[int]) -> np.ndarray:
     """Transitions of the suffix automaton as a table of states by codes; -1 where none is.
 
-    State 0 is the initial one; the table has at most two rows per character.
+    State 0 is the initial one; the table has at most two rows per character, and an empty one
+    at its end.
     """
-    table = np.full((2 * len(codes) + 2, ALPHABET), -1, np.int32)
     steps: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -96,10 +96,11 @@ def suffix_automaton(codes: list[int]) -> np.ndarray:
                     p = link[p]
                 link[q] = link[current] = copy
         last = current
+    table = np.full((len(steps) + 1, ALPHABET), -1, np.int32)
     for state, row in enumerate(steps):
         for c, to in row.items():
             table[state, c] = to
-    return table[: len(steps)]
+    return table
 
 
 class CrossParser:
@@ -113,16 +114,17 @@ class CrossParser:
         for x in self.languages:
             codes = self.alphabet.encode(samples[x])[:per_language]
             own = suffix_automaton(codes.tolist())
+            # A character that the sample lacks is a phrase of its own: it leads from the
+            # initial state to one without any transition, the last row.
+            own[0][own[0] < 0] = len(own) - 1
             tables.append(np.where(own >= 0, own + at, -1))
             roots.append(at)
             at += len(own)
             self.bits.append(math.log2(len(codes) + 2))
         self.steps = np.concatenate(tables).astype(np.int32).ravel()
         self.roots = np.array(roots, np.int32)[:, None]
-        # Where a new phrase goes with its first character; a character the sample lacks is a
-        # phrase of its own.
-        first = self.steps.reshape(-1, ALPHABET)[self.roots[:, 0]]
-        self.first = np.where(first >= 0, first, self.roots).astype(np.int32)
+        # Where a new phrase goes with its first character.
+        self.first = self.steps.reshape(-1, ALPHABET)[self.roots[:, 0]]
 
     def phrases(self, pieces: list[np.ndarray]) -> np.ndarray:
         """Languages by pieces: the number of phrases of each piece."""
@@ -180,14 +182,13 @@ class CrossParser:
                 if waiting >= BUNDLE:
                     flush()
         flush()
-        if self.languages:
-            entropy = totals * np.array(self.bits)[:, None] / np.maximum(sizes, 1)
-            for i in speaking:
-                order = np.argsort(entropy[:, i], kind="stable")
-                best = entropy[order[0], i]
-                second = entropy[order[1], i] if len(order) > 1 else math.inf
-                names[i] = self.languages[order[0]]
-                scores[i] = 1.0 if math.isinf(second) else float(second / (best + second))
+        entropy = totals * np.array(self.bits)[:, None] / np.maximum(sizes, 1)
+        for i in speaking:
+            order = np.argsort(entropy[:, i], kind="stable")
+            best = entropy[order[0], i]
+            second = entropy[order[1], i] if len(order) > 1 else math.inf
+            names[i] = self.languages[order[0]]
+            scores[i] = 1.0 if math.isinf(second) else float(second / (best + second))
         return names, scores
 
 
@@ -231,6 +232,8 @@ def identified(text: Column, samples: dict[str, str]) -> Column:
     NULL, and texts without a letter, are ``und`` with score 0; so is all text when there are
     no samples.
     """
+    if not samples:
+        return F.struct(F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score"))
     key = tuple(sorted(samples.items()))
 
     @F.pandas_udf("lang string, score double")

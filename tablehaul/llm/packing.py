@@ -30,8 +30,8 @@ WINDOW = 2048
 OPEN_WINDOWS = 32
 END_ID = 1
 MERGE = 64
-#: Pieces in one Arrow batch of the output, which then has some tens of megabytes at most.
-BATCH = 4096
+#: Pieces in one Arrow batch of the output, 8 MB at most.
+BATCH = 1024
 
 PIECE = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "

@@ -19,7 +19,7 @@ from tablehaul.llm.tokens import bundles, encoder
 from tablehaul.session import saved
 
 #: Neighbouring lengths that are summed in one task.
-LENGTHS = 1024
+LENGTHS = 256
 
 
 def encoded_length(text: Column, tokenizer_file: str) -> Column:

@@ -18,7 +18,7 @@ import numpy as np
 from tablehaul.llm.common import worker_model
 
 #: Chunks remembered at once in a Python worker; beyond that the memory starts anew.
-MEMORY = 800_000
+MEMORY = 450_000
 #: ASCII signs: one behind letters never joins them.
 SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 UTF8 = ("utf-8", "surrogatepass")

@@ -153,22 +153,27 @@ class Stream:
         """Get more plain bytes; False at the end of the archive."""
         self.buffer, self.at = self.buffer[self.at:], 0
         while True:
-            data = self.pending or self.raw.read(CHUNK)
-            if not data:
-                return False
             if self.gzip.eof:
+                self.pending = self.gzip.unused_data or self.raw.read(CHUNK)
+                if not self.pending:
+                    return False
                 self.gzip = zlib.decompressobj(31)
-            plain = self.gzip.decompress(data, CHUNK)
-            self.pending = self.gzip.unused_data if self.gzip.eof else self.gzip.unconsumed_tail
+            elif not self.pending:
+                self.pending = self.raw.read(CHUNK)
+            ended = not self.pending  # then the rest is in the decompressor, or nowhere
+            plain = self.gzip.decompress(self.pending, CHUNK)
+            self.pending = self.gzip.unconsumed_tail
             if plain:
                 self.buffer += plain
                 return True
+            if ended:
+                return False
 
     def line(self) -> bytes:
-        """The next line without its end; empty at the end of the archive."""
+        """The next line without its end."""
         while (end := self.buffer.find(b"\r\n", self.at)) < 0:
             if not self._fill():
-                return b""
+                raise EOFError("the archive ends inside a record")
         line, self.at = self.buffer[self.at:end], end + 2
         return line
 
