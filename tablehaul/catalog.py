@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tablehaul.functions.scalars import money, pick
 from tablehaul.operators import augment
+from tablehaul.session import fit_shuffles, stored_bytes
 
 AS_OF_ORDERS = dt.datetime(2001, 8, 2)
 AS_OF_EVENTS = dt.datetime(2024, 1, 31)
@@ -46,14 +47,20 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._schemas: dict[str, StructType] = {}
+        self._bytes = 0
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
     def raw(self, name: str) -> DataFrame:
-        """A table as stored; its schema is read from the files only once."""
+        """A table as stored; its schema is read from the files only once.
+
+        Every table that a query reads adds to the size its shuffles are fitted to.
+        """
         if name not in self._schemas:
             self._schemas[name] = self.spark.read.parquet(self.path(name)).schema
+            self._bytes += stored_bytes(self.spark, self.path(name))
+            fit_shuffles(self.spark, self._bytes)
         return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
 
     # ---- warehouse -----------------------------------------------------

@@ -1,9 +1,11 @@
 """Ordered calculations that stay parallel inside a hot group.
 
-A window sorts each group in one task. That is right for ordinary groups; groups with more
-than ``hot_rows`` rows are taken out and cut into slots of about equal size along the
-ordering column. What a slot needs from the other slots is computed from one small row per
-slot and enters it as an extra row, which is dropped again afterwards.
+A window sorts each group in one task. So the rows are cut into slots of about ``slot_rows``
+rows along the keys and the ordering column: Spark's own range partitioning deals them, which
+takes any orderable type and keeps equal positions together. What a slot needs from the other
+slots of its group is computed from one small row per slot and enters it as an extra row,
+which is dropped again afterwards. The number of slots follows from the number of rows; when
+one slot is enough, a plain window gives the same answer.
 """
 
 from __future__ import annotations
@@ -11,11 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablehaul.operators.joins import BROADCAST_ROWS
 from tablehaul.session import saved
 
-HOT_ROWS = 5_000_000
-SLOTS = 4096
+SLOT_ROWS = 2_000_000
 
 
 def _same(df: DataFrame, other: DataFrame, columns: list[str]) -> Column:
@@ -29,56 +29,36 @@ def _renamed(df: DataFrame, columns: list[str], *rest: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"_k_{c}") for c in columns], *rest)
 
 
-def split_hot(
-    df: DataFrame, keys: list[str], hot_rows: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary groups, and rows of groups too large for one task (or None)."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    # At most one key per ``hot_rows`` rows comes to the driver.
-    found = _renamed(sizes, keys)
-    rows = found.collect()
-    if not rows:
-        return df, None
-    hot = df.sparkSession.createDataFrame(rows, found.schema)
-    if len(rows) <= BROADCAST_ROWS:
-        hot = F.broadcast(hot)
-    same = _same(df, hot, keys)
-    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
-
-
-def _with_slots(df: DataFrame, order: str, slots: int) -> DataFrame:
-    """Add ``_slot``, which grows with ``order`` and holds about the same rows everywhere."""
-    from pyspark.ml.feature import Bucketizer
-
-    kind = dict(df.dtypes)[order]
-    c = F.col(order)
-    if kind.startswith(("timestamp", "date")):
-        c = c.cast("timestamp")
-    placed = saved(
-        df.withColumn("_at", F.coalesce(c.cast("double"), F.lit(float("-inf")))), "slots"
-    )
-    cuts = placed.filter("_at > double('-infinity')").approxQuantile(
-        "_at", [i / slots for i in range(1, slots)], 1 / (4 * slots)
-    )
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(splits) == 2:
-        return placed.withColumn("_slot", F.lit(0)).drop("_at")
-    marked = Bucketizer(splits=splits, inputCol="_at", outputCol="_slot").transform(placed)
-    return marked.withColumn("_slot", F.col("_slot").cast("int")).drop("_at")
+def slots_of(df: DataFrame, slot_rows: int) -> int:
+    """How many slots a stored table needs."""
+    return max(1, -(-df.count() // slot_rows))
+
+
+def _with_slots(df: DataFrame, keys: list[str], order: str, slots: int) -> DataFrame:
+    """Add ``_slot``, which grows with ``order`` inside each group, and store the result.
+
+    ``df`` is a stored table: the range partitioning reads it twice.
+    """
+    dealt = df.repartitionByRange(slots, *keys, F.col(order).asc_nulls_first())
+    return saved(dealt.withColumn("_slot", F.spark_partition_id()), "slots")
 
 
 def running_total(
-    df: DataFrame, keys: list[str], order: str, value: str, out: str,
-    hot_rows: int = HOT_ROWS, slots: int = SLOTS,
+    df: DataFrame, keys: list[str], order: str, value: str, out: str, slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
-    """``SUM(value) OVER (PARTITION BY keys ORDER BY order)``; equal ``order`` values share a total."""
-    ordinary, hot = split_hot(df, keys, hot_rows)
-    window = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_first())
-    result = ordinary.withColumn(out, F.sum(value).over(window))
-    if hot is None:
-        return result
+    """``SUM(value) OVER (PARTITION BY keys ORDER BY order)``; equal ``order`` values share a total.
+
+    NULL comes first in the order and NaN last, whatever the number of slots.
+    """
+    stored = saved(df, "ordered")
+    total = F.sum(value)
+    if (slots := slots_of(stored, slot_rows)) == 1:
+        window = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_first())
+        return stored.withColumn(out, total.over(window))
+    kind = stored.agg(total.alias(out)).schema[out].dataType
     # Rows with the same position share a total, so the totals run over distinct positions.
-    sums = _with_slots(hot.groupBy(*keys, order).agg(F.sum(value).alias("_sum")), order, slots)
+    positions = saved(stored.groupBy(*keys, order).agg(total.alias("_sum")), "positions")
+    sums = _with_slots(positions, keys, order, slots)
     earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         sums.groupBy(*keys, "_slot").agg(F.sum("_sum").alias("_slot_sum"))
@@ -88,18 +68,18 @@ def running_total(
     inside = Window.partitionBy(*keys, "_slot").orderBy(
         F.coalesce("_extra", F.lit(False)).desc(), F.col(order).asc_nulls_first()
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = (
+    totals = saved(
         sums.unionByName(starts, allowMissingColumns=True)
-        .withColumn(out, F.sum("_sum").over(inside)).filter(F.col("_extra").isNull())
+        .withColumn(out, F.sum("_sum").over(inside).cast(kind)).filter(F.col("_extra").isNull()),
+        "totals",
     )
     at = _renamed(totals, [*keys, order], out)
-    placed = hot.join(at, _same(hot, at, [*keys, order])).select(*hot.columns, out)
-    return result.unionByName(placed)
+    return stored.join(at, _same(stored, at, [*keys, order])).select(*stored.columns, out)
 
 
 def neighbour(
     df: DataFrame, keys: list[str], order: str, columns: list[str], step: str = "previous",
-    hot_rows: int = HOT_ROWS, slots: int = SLOTS,
+    slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
     """Add ``<step>_<column>``: the value in the previous or next row of the same keys.
 
@@ -111,11 +91,10 @@ def neighbour(
         window = Window.partitionBy(*by).orderBy(order)
         return part.withColumns({f"{step}_{c}": shift(c).over(window) for c in columns})
 
-    ordinary, hot = split_hot(df, keys, hot_rows)
-    result = with_neighbours(ordinary, keys)
-    if hot is None:
-        return result
-    cut = _with_slots(hot, order, slots).withColumn("_extra", F.lit(False))
+    stored = saved(df, "ordered")
+    if (slots := slots_of(stored, slot_rows)) == 1:
+        return with_neighbours(stored, keys)
+    cut = _with_slots(stored, keys, order, slots).withColumn("_extra", F.lit(False))
     # The last (or first) row of a slot is the extra row of the following (or preceding) one.
     edge = (F.max_by if step == "previous" else F.min_by)(
         F.struct(*dict.fromkeys([order, *columns])), F.col(order)
@@ -127,26 +106,25 @@ def neighbour(
         .select(*keys, "_slot", "_edge.*", F.lit(True).alias("_extra"))
     )
     placed = with_neighbours(cut.unionByName(edges, allowMissingColumns=True), [*keys, "_slot"])
-    return result.unionByName(placed.filter(~F.col("_extra")).drop("_slot", "_extra"))
+    return placed.filter(~F.col("_extra")).drop("_slot", "_extra")
 
 
 def exact_percentiles(
     df: DataFrame, keys: list[str], value: str, points: dict[str, float],
-    hot_rows: int = HOT_ROWS, slots: int = SLOTS,
+    slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
     """Interpolated percentiles per group, from value counts instead of collected values.
 
     Equal values are counted before the shuffle, ranks come from running totals of the
     counts, and each percentile reads the one or two values at its position.
     """
-    counted = saved(
+    counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n")),
-        "value-counts",
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    ranked = running_total(counted, keys, "_v", "_n", "_upto", hot_rows, slots)
-    sizes = _renamed(counted.groupBy(*keys).agg(F.sum("_n").alias("_total")), keys, "_total")
+    ranked = saved(running_total(counted, keys, "_v", "_n", "_upto", slot_rows), "ranked")
+    sizes = _renamed(ranked.groupBy(*keys).agg(F.sum("_n").alias("_total")), keys, "_total")
     placed = ranked.join(sizes, _same(ranked, sizes, keys))
 
     def at(index: Column) -> Column:
@@ -162,7 +140,9 @@ def exact_percentiles(
             F.max(position - F.floor(position)).alias(f"_part_{name}"),
         ]
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        result.append((lo + (hi - lo) * F.col(f"_part_{name}")).alias(name))
+        # Both ends equal covers infinities, whose difference is not a number.
+        between = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * F.col(f"_part_{name}"))
+        result.append(between.alias(name))
     return (
         placed.groupBy(*keys).agg(F.max("_total").alias("n"), *parts).select(*keys, "n", *result)
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +20,10 @@ _RUNTIME_SETTINGS = {
 }
 
 PARTITION_BYTES = 128 * 1024 * 1024
-MOST_PARTITIONS = 100_000
 
 _test_folder: str | None = None
+#: Per application: the partition count it was configured with, and the one set last.
+_fitted: dict[str, tuple[int, int]] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -32,14 +35,34 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Raise the shuffle partition count until a partition of the whole input fits a task.
+    """Set the shuffle partition count so that a partition of a query's input fits a task.
 
     Parquet grows about threefold in memory. AQE merges what turns out small, so the number
-    only has to be high enough; it is never lowered.
+    only has to be high enough. It never falls below the configured one, and a small query
+    after a large one gets that one back.
     """
-    wanted = min(MOST_PARTITIONS, -(-3 * input_bytes // PARTITION_BYTES))
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    name, app = "spark.sql.shuffle.partitions", spark.sparkContext.applicationId
+    current = int(spark.conf.get(name))
+    configured, last = _fitted.get(app, (current, current))
+    if current != last:  # set by someone else meanwhile
+        configured = current
+    wanted = max(configured, -(-3 * input_bytes // PARTITION_BYTES))
+    if wanted != current:
+        spark.conf.set(name, str(wanted))
+    _fitted[app] = configured, wanted
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path; 0 when there is none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.getContentSummary(at).getLength() if store.exists(at) else 0
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a work table's folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -58,9 +81,32 @@ def shared_folder(spark: SparkSession) -> str:
     return _test_folder
 
 
+#: Work paths made inside ``work_tables`` blocks, innermost last.
+_open_jobs: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def work_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the work tables that are made inside the block when it ends.
+
+    Results are lazy and may read them, so a job writes its result inside the block.
+    """
+    made: list[str] = []
+    _open_jobs.append(made)
+    try:
+        yield
+    finally:
+        _open_jobs.remove(made)
+        for path in made:
+            delete_path(spark, path)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path for one job's tables under the shared folder."""
-    return f"{shared_folder(spark)}/tablehaul/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark)}/tablehaul/{name}-{uuid.uuid4().hex[:12]}"
+    if _open_jobs:
+        _open_jobs[-1].append(path)
+    return path
 
 
 def saved(df: DataFrame, name: str, **options: str) -> DataFrame:

@@ -175,8 +175,9 @@ def test_left_join_many_equals_left_join(spark):
 
 def test_broadcast_checked_leaves_large_tables_alone(spark):
     df = spark.range(100)
-    assert "broadcast" in joins.broadcast_checked(df, 100)._jdf.queryExecution().toString().lower()
-    assert joins.broadcast_checked(df, 99) is df
+    size = joins.estimated_bytes(df)
+    assert "broadcast" in joins.broadcast_checked(df, size)._jdf.queryExecution().toString().lower()
+    assert joins.broadcast_checked(df, size - 1) is df
 
 
 def test_hash_sample_cut_changes_nothing(spark):

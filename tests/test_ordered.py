@@ -2,11 +2,13 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tablehaul.operators.ordered import exact_percentiles, neighbour, running_total, split_hot
+from tablehaul.operators.ordered import exact_percentiles, neighbour, running_total, slots_of
 
 
 def rows_with_hot_key(seed=1, n=900):
@@ -33,23 +35,23 @@ def brute_totals(rows):
     return out
 
 
-@pytest.mark.parametrize("hot_rows,slots", [(10**9, 4), (150, 7), (1, 50)])
-def test_running_total(spark, hot_rows, slots):
+@pytest.mark.parametrize("slot_rows", [10**9, 150, 20])
+def test_running_total(spark, slot_rows):
     rows = rows_with_hot_key()
     df = spark.createDataFrame(rows, "id int, key string, at timestamp_ntz, v int")
-    got = running_total(df, ["key"], "at", "v", "total", hot_rows, slots).collect()
+    got = running_total(df, ["key"], "at", "v", "total", slot_rows).collect()
     assert {r["id"]: r["total"] for r in got} == brute_totals(rows)
     assert len(got) == len(rows)
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 150, 1])
+@pytest.mark.parametrize("slot_rows", [10**9, 150, 20])
 @pytest.mark.parametrize("step", ["previous", "next"])
-def test_neighbour(spark, hot_rows, step):
+def test_neighbour(spark, slot_rows, step):
     rows = [(i, k, v) for i, k, _, v in rows_with_hot_key(seed=2)]
     df = spark.createDataFrame(rows, "id int, key string, v int")
     got = {
         r["id"]: r[f"{step}_v"]
-        for r in neighbour(df, ["key"], "id", ["v"], step, hot_rows, 9).collect()
+        for r in neighbour(df, ["key"], "id", ["v"], step, slot_rows).collect()
     }
     want = {}
     for i, key, _ in rows:
@@ -59,26 +61,62 @@ def test_neighbour(spark, hot_rows, step):
     assert got == want
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 50, 1])
-def test_percentiles(spark, hot_rows):
+@pytest.mark.parametrize("slot_rows", [10**9, 50, 20])
+def test_percentiles(spark, slot_rows):
     rnd = random.Random(3)
     rows = [("x" if rnd.random() < 0.8 else None, rnd.choice([None, rnd.randrange(500) / 4]))
             for _ in range(700)]
     df = spark.createDataFrame(rows, "key string, v double")
     points = {"p0": 0.0, "p50": 0.5, "p99": 0.99, "p100": 1.0}
-    for r in exact_percentiles(df, ["key"], "v", points, hot_rows, 8).collect():
+    for r in exact_percentiles(df, ["key"], "v", points, slot_rows).collect():
         values = [v for k, v in rows if k == r["key"] and v is not None]
         assert r["n"] == len(values)
         for name, p in points.items():
             assert r[name] == pytest.approx(np.quantile(values, p))
 
 
-def test_only_large_groups_are_split(spark):
-    df = spark.createDataFrame([(k,) for k in "aaaaabbc"], "key string")
-    ordinary, hot = split_hot(df, ["key"], 3)
-    assert {r.key for r in ordinary.collect()} == {"b", "c"}
-    assert hot.count() == 5
-    assert split_hot(df, ["key"], 100)[1] is None
+NAN, INF = float("nan"), float("inf")
+ORDERS = {
+    "double": [NAN, INF, -INF, None, 0.0, -0.0, 1.5, NAN, INF],
+    "string": ["b", "a", None, "", "é", "aa", "b", "Z"],
+    "decimal(38,0)": [Decimal(2**53 + i) for i in (0, 1, 2, 1)] + [None, Decimal(10**30)],
+    "date": [dt.date(2024, 1, i) for i in (3, 1, 2, 2)] + [None],
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_slots_make_no_difference(spark, kind):
+    values = ORDERS[kind]
+    rows = [(k, v, i) for i, v in enumerate(values * 2) for k in ("x", "y")]
+    df = spark.createDataFrame(rows, f"key string, at {kind}, v int")
+    one = running_total(df, ["key"], "at", "v", "total", 10**9)
+    many = running_total(df, ["key"], "at", "v", "total", 3)
+    assert one.schema == many.schema
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+    amounts = df.withColumn("v", F.lit("0.10").cast("decimal(12,2)"))
+    pair = [running_total(amounts, ["key"], "at", "v", "t", n) for n in (10**9, 3)]
+    assert pair[0].schema == pair[1].schema
+    assert sorted(map(str, pair[0].collect())) == sorted(map(str, pair[1].collect()))
+    if kind == "double":
+        got = [exact_percentiles(df, ["key"], "at", {"p25": 0.25, "p100": 1.0}, n) for n in (10**9, 3)]
+        assert sorted(map(str, got[0].collect())) == sorted(map(str, got[1].collect()))
+
+
+def test_slots_follow_the_rows(spark):
+    assert [slots_of(spark.range(n), 10) for n in (0, 10, 11, 95)] == [1, 1, 2, 10]
+
+
+def test_input_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(50).select("id", (F.col("id") % 2).alias("key")).mapInArrow(count, "id long, key long")
+    assert running_total(df, ["key"], "id", "id", "total", 10).count() == 50
+    assert seen.value == 50
 
 
 def test_empty_input(spark):

@@ -52,10 +52,10 @@ def test_top_n_is_trimmed_before_the_shuffle(spark, key):
     assert "Partial" in text.split("WindowGroupLimit", 1)[1]
 
 
-def test_hot_group_is_cut_into_slots(spark):
+def test_large_groups_are_cut_into_slots(spark):
     df = spark.range(1000).select(F.lit("a").alias("k"), "id", F.lit(1).alias("v"))
-    text = plan(running_total(df, ["k"], "id", "v", "total", hot_rows=10, slots=8))
-    assert "_slot" in text
+    result = running_total(df, ["k"], "id", "v", "total", slot_rows=100)
+    assert result.agg(F.max("total")).first()[0] == 1000
 
 
 def test_shuffles_grow_with_the_input(spark):
@@ -65,5 +65,9 @@ def test_shuffles_grow_with_the_input(spark):
         assert spark.conf.get(name) == before
         fit_shuffles(spark, 10**12)
         assert int(spark.conf.get(name)) > 20_000
+        fit_shuffles(spark, 10**14)
+        assert int(spark.conf.get(name)) > 2_000_000
+        fit_shuffles(spark, 10)
+        assert spark.conf.get(name) == before
     finally:
         spark.conf.set(name, before)
