@@ -134,17 +134,25 @@ VIEWS: dict[str, str] = {
         SELECT * REPLACE (CASE WHEN c_nationkey <> 7 THEN c_mktsegment END AS c_mktsegment)
         FROM customer_v""",
     "ledger_v": f"""
-        SELECT event_id AS id, 'run-' || (user_id % 10) AS run_id, ts,
-               CASE event_type WHEN 'view' THEN 'batch_done' WHEN 'click' THEN 'bytes_progress'
-                    WHEN 'purchase' THEN 'table_done' WHEN 'signup' THEN 'phase_started'
-                    ELSE 'log' END AS kind,
-               't' || (user_id % 3) AS "table", CAST(k * 1000 AS BIGINT) AS "rows",
-               CAST(value / 10 AS DECIMAL(12,3)) AS seconds,
-               event_id * 1000000 AS bytes_done,
-               event_id * 1000000 + 500000000 AS total_bytes,
-               {_pick(cat.STRATEGIES, 'user_id % 3')} AS strategy,
-               {_pick(cat.PHASES, 'k % 4')} AS phase
-        FROM events_v""",
+        SELECT id, run_id, ts, kind, "table", "rows", seconds, bytes_done, total_bytes,
+               CASE WHEN run_id <> 'run-9' THEN strategy
+                    WHEN kind = 'table_registered' THEN '{cat.STRATEGIES[1]}' END AS strategy, phase
+        FROM (
+          SELECT event_id AS id, 'run-' || (user_id % 10) AS run_id, ts,
+                 CASE WHEN user_id % 10 = 9 THEN
+                        CASE event_type WHEN 'signup' THEN 'phase_started'
+                             WHEN 'view' THEN 'bytes_progress' WHEN 'click' THEN 'bytes_progress'
+                             WHEN 'purchase' THEN 'bytes_progress' ELSE 'table_registered' END
+                      ELSE CASE event_type WHEN 'view' THEN 'batch_done'
+                             WHEN 'click' THEN 'bytes_progress' WHEN 'purchase' THEN 'table_done'
+                             WHEN 'signup' THEN 'phase_started' ELSE 'log' END END AS kind,
+                 't' || (user_id % 3) AS "table", CAST(k * 1000 AS BIGINT) AS "rows",
+                 CAST(value / 10 AS DECIMAL(12,3)) AS seconds,
+                 event_id * 1000000 AS bytes_done,
+                 event_id * 1000000 + 500000000 AS total_bytes,
+                 {_pick(cat.STRATEGIES, 'user_id % 3')} AS strategy,
+                 {_pick(cat.PHASES, 'k % 4')} AS phase
+          FROM events_v)""",
     "bench_v": """
         SELECT 'run-' || (user_id % 10) AS run_id, event_id AS query_n,
                CAST(value * 10 AS DOUBLE) AS source_ms,

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 
 def _col(c: Column | str) -> Column:
@@ -75,3 +76,25 @@ def map_text(m: Column | str, key: str) -> Column:
 def clean_identifier(c: Column | str) -> Column:
     """Every character outside letters, digits and underscore becomes an underscore."""
     return F.regexp_replace(_col(c), "[^0-9A-Za-z_]", "_")
+
+
+def hashable(c: Column | str, kind: DataType) -> Column:
+    """A column that Spark can hash and order: maps become sorted entries, variants JSON text."""
+    c = _col(c)
+    if isinstance(kind, VariantType):
+        return F.to_json(c)
+    if isinstance(kind, MapType):
+        return F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(
+            hashable(e["key"], kind.keyType).alias("key"),
+            hashable(e["value"], kind.valueType).alias("value"),
+        )))
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda x: hashable(x, kind.elementType))
+    if isinstance(kind, StructType):
+        fields = [hashable(c[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(c.isNotNull(), F.struct(*fields)) if fields else c
+    return c
+
+
+def hashable_columns(df: DataFrame) -> list[Column]:
+    return [hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]

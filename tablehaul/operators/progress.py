@@ -67,10 +67,14 @@ def events_since(events: DataFrame, run_id: str, since: int, page: int = fv.EVEN
 
 
 def _loads() -> list[Column]:
-    """Per run and table: the strategy, the rows of all batches, and the last staged total."""
-    load = F.col("kind").isin("batch_done", "table_done")
+    """Per run and table: the strategy, the rows of all batches, and the last staged total.
+
+    Any event may name the strategy, the registration first of all: a staged load has no batch
+    before it ends.
+    """
+    named = F.when(F.col("strategy").isNotNull(), F.col("id"))
     return [
-        F.max_by("strategy", F.when(load, F.col("id"))).alias("strategy"),
+        F.max_by("strategy", named).alias("strategy"),
         F.sum(F.when(F.col("kind") == "batch_done", F.col("rows"))).alias("_batches"),
         F.max_by(
             F.coalesce("total_rows", "rows"), F.when(F.col("kind") == "table_done", F.col("id"))
@@ -133,13 +137,19 @@ def bytes_rate(events: DataFrame) -> DataFrame:
     )
 
 
+def registered_totals(events: DataFrame) -> DataFrame:
+    """``run_id, table, total_rows`` of every table from its last registration."""
+    known = parsed(events.filter("kind = 'table_registered'"), "table", "total_rows")
+    return known.groupBy("run_id", "table").agg(F.max_by("total_rows", "id").alias("total_rows"))
+
+
 def run_tables(events: DataFrame, totals: DataFrame) -> DataFrame:
     """State of every table of a run; ``totals`` holds ``run_id, table, total_rows``."""
     states = parsed(events, "table", "rows", "total_rows", "strategy").groupBy("run_id", "table").agg(
-        F.max_by("kind", "id").alias("_last"), *_loads()
+        F.max_by("kind", "id").alias("_last"), F.min("id").alias("first_id"), *_loads()
     )
     status = F.when(F.col("_last") == "table_done", "done").otherwise("running")
-    known = states.select("run_id", "table", status.alias("status"), "strategy", _done())
+    known = states.select("run_id", "table", status.alias("status"), "strategy", "first_id", _done())
     return totals.join(known, ["run_id", "table"], "left").fillna(
         {"rows_done": 0, "status": "pending", "total_rows": 0}
     )
@@ -164,14 +174,15 @@ def run_states(events: DataFrame, as_of: Column) -> DataFrame:
 def kpis(events: DataFrame, tables: DataFrame, runs: DataFrame) -> DataFrame:
     """Progress of every run.
 
-    ``tables`` is the result of ``run_tables`` and ``runs`` that of ``run_states``.
+    ``tables`` is the result of ``run_tables`` and ``runs`` that of ``run_states``. The active
+    table of a run is the running one that appeared first.
     """
     running = F.col("status") == "running"
     per_run = tables.groupBy("run_id").agg(
         F.sum("total_rows").alias("total"), F.sum("rows_done").alias("done"),
         F.count_if(F.col("status") == "done").alias("tables_done"),
         F.count(F.lit(1)).alias("tables_total"), F.count_if(running).alias("active_tables"),
-        F.min_by("strategy", F.when(running, F.col("table"))).alias("active_strategy"),
+        F.min_by("strategy", F.when(running, F.col("first_id"))).alias("active_strategy"),
     )
     mean_rate = half_up(F.avg(F.when(F.col("rate") > 0, F.col("rate"))))
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehaul import fixed_values as fv
+from tablehaul.functions.scalars import hashable_columns
 from tablehaul.operators.joins import null_safe
 
 Opener = Callable[[], DataFrame]
@@ -56,25 +58,30 @@ def _facts(df: DataFrame, check: TableCheck) -> DataFrame:
     )
 
 
-def _failed(spark: SparkSession, name: str, error: str) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(name).alias("table_name"), F.lit(None).cast("long").alias("rows"),
-        F.lit(None).cast("decimal(38,4)").alias("total"),
-        F.lit(None).cast("timestamp_ntz").alias("first"),
-        F.lit(None).cast("timestamp_ntz").alias("last"),
-        F.lit(None).cast("long").alias("nulls"), F.lit(error).alias("error"),
-    )
+FACTS = (
+    "table_name string, rows long, total decimal(38,4), first timestamp_ntz, last timestamp_ntz, "
+    "nulls long, error string"
+)
+#: Tables whose facts are read at the same time.
+AT_ONCE = 4
 
 
 def _side(spark: SparkSession, checks: list[TableCheck], which: str) -> DataFrame:
-    """Facts of all tables of one side; a table that cannot be opened becomes an error row."""
-    parts = []
-    for check in checks:
+    """Facts of all tables of one side, one row each.
+
+    Every table is read by a job of its own: one that cannot be opened or read becomes an
+    error row and leaves the others alone.
+    """
+    def facts(check: TableCheck) -> tuple:
         try:
-            parts.append(_facts(getattr(check, which)(), check))
-        except AnalysisException as e:
-            parts.append(_failed(spark, check.name, f"{which}: {e.getCondition()}"))
-    return _union(parts).select(
+            return tuple(_facts(getattr(check, which)(), check).first())
+        except PySparkException as e:
+            reason = e.getCondition() or type(e).__name__
+            return check.name, None, None, None, None, None, f"{which}: {reason}"
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        rows = list(pool.map(facts, checks))
+    return spark.createDataFrame(rows, FACTS).select(
         "table_name", *[F.col(c).alias(f"{which}_{c}")
                         for c in ("rows", "total", "first", "last", "nulls", "error")]
     )
@@ -85,12 +92,15 @@ def compare_tables(
 ) -> DataFrame:
     """Facts of both sides next to each other, one row per table.
 
-    ``done`` (column ``table_name``) keeps the comparison to tables that finished loading.
+    ``done`` (column ``table_name``) keeps the comparison to tables that finished loading; the
+    others are not read.
     """
-    both = _side(spark, checks, "source").join(
+    if done is not None:
+        names = {r["table_name"] for r in done.select("table_name").distinct().collect()}
+        checks = [c for c in checks if c.name in names]
+    return _side(spark, checks, "source").join(
         _side(spark, checks, "target"), "table_name", "full"
     )
-    return both.join(done, "table_name", "left_semi") if done is not None else both
 
 
 def row_count_parity(facts: DataFrame) -> DataFrame:
@@ -220,7 +230,8 @@ def row_hash_compare(source: DataFrame, target: DataFrame, keys: list[str]) -> D
     columns = sorted(source.columns)
 
     def folded(df: DataFrame, side: str) -> DataFrame:
-        parts = [p for c in columns for p in (F.col(c), F.col(c).isNull())]
+        values = hashable_columns(df.select(*columns))
+        parts = [p for c, v in zip(columns, values) for p in (v, F.col(c).isNull())]
         # The hash is summed in three parts of at most 22 bits, which leaves room for 2^41
         # rows of one key.
         mask = F.lit(0x1FFFFF)

@@ -88,9 +88,11 @@ def run_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 KPIS_SQL = ROWS_DONE_SQL + f""",
     tables AS (
-      SELECT a.run_id, a."table", total_rows, coalesce(rows_done, 0) AS rows_done, strategy,
+      SELECT a.run_id, a."table", total_rows, coalesce(rows_done, 0) AS rows_done, a.strategy,
+             first_id,
              CASE WHEN last_kind = 'table_done' THEN 'done' ELSE 'running' END AS status
-      FROM (SELECT run_id, "table", arg_max(kind, id) AS last_kind,
+      FROM (SELECT run_id, "table", arg_max(kind, id) AS last_kind, min(id) AS first_id,
+                   arg_max(strategy, id) FILTER (strategy IS NOT NULL) AS strategy,
                    count(*) FILTER (WHERE kind = 'batch_done') * {ROWS_PER_BATCH} AS total_rows
             FROM ledger_v GROUP BY run_id, "table") a
       LEFT JOIN rows_done r ON a.run_id = r.run_id AND a."table" = r."table"),
@@ -98,7 +100,7 @@ KPIS_SQL = ROWS_DONE_SQL + f""",
       SELECT run_id, sum(total_rows) AS total, sum(rows_done) AS done,
              count(*) FILTER (WHERE status = 'done') AS tables_done, count(*) AS tables_total,
              count(*) FILTER (WHERE status = 'running') AS active_tables,
-             arg_min(strategy, "table") FILTER (WHERE status = 'running') AS strategy
+             arg_min(strategy, first_id) FILTER (WHERE status = 'running') AS strategy
       FROM tables GROUP BY run_id),
     row_rates AS ({RATES_SQL}), byte_rates AS ({BYTES_SQL}),
     row_recent AS (SELECT run_id, floor(avg(nullif(rate, 0)) + 0.5) AS rate

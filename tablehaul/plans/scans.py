@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from tablehaul import fixed_values as fv
 from tablehaul.catalog import Tables, date_lit
+from tablehaul.functions.scalars import yyyymm
 from tablehaul.registry import query
 from tablehaul.session import work_path
 from tablehaul.sources import files, layout, slices
@@ -141,16 +142,18 @@ def write_partition_sorted(t: Tables) -> DataFrame:
 
 @query("swap_rebuild", MONTHS_SQL + " GROUP BY 1")
 def swap_rebuild(t: Tables) -> DataFrame:
-    """An unsorted catalog table gets month folders under the same name."""
+    """An unsorted catalog table gets files by month and key under the same name."""
     name = f"lines_{uuid.uuid4().hex[:8]}"
     root = work_path(t.spark, "swap")
     t.lineitem().write.mode("overwrite").parquet(f"{root}/{name}-first")
     t.spark.catalog.createTable(name, path=f"{root}/{name}-first", source="parquet")
     rebuilt = layout.swap_rebuild(
         t.spark, name, root,
-        lambda df, path: layout.write_partition_sorted(df, path, "l_shipdate", ["l_orderkey"]),
+        lambda df, path: layout.write_partition_sorted(
+            df, path, "l_shipdate", ["l_orderkey"], folders=False
+        ),
     )
-    return by_month(rebuilt)
+    return by_month(rebuilt.withColumn("ym", yyyymm("l_shipdate")))
 
 
 @query("table_inventory")

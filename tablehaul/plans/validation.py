@@ -163,7 +163,7 @@ def result_compare(t: Tables) -> DataFrame:
     c AS (SELECT l_partkey AS part_key, sum(l_extendedprice) AS revenue FROM lineitem_copy
           GROUP BY 1)
     SELECT part_key, 'differs' AS difference FROM s JOIN c USING (part_key)
-    WHERE abs(s.revenue::DOUBLE - c.revenue::DOUBLE) > abs(s.revenue::DOUBLE) * 0.00001""")
+    WHERE abs(s.revenue::DOUBLE - c.revenue::DOUBLE) > abs(s.revenue::DOUBLE) * 0.000004""")
 def result_compare_tolerant(t: Tables) -> DataFrame:
     def revenue(lines: DataFrame) -> DataFrame:
         return lines.groupBy(F.col("l_partkey").alias("part_key")).agg(
@@ -171,7 +171,7 @@ def result_compare_tolerant(t: Tables) -> DataFrame:
         )
 
     return validate.result_compare_tolerant(
-        revenue(t.lineitem()), revenue(t.copied("lineitem")), ["part_key"], {"revenue": 0.00001}
+        revenue(t.lineitem()), revenue(t.copied("lineitem")), ["part_key"], {"revenue": 0.000004}
     )
 
 

@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablehaul.functions.scalars import yyyymm
+from tablehaul.functions.scalars import hashable_columns, yyyymm
+from tablehaul.session import delete_path
 
 
 def write_partition_sorted(
     df: DataFrame, path: str, time: str, keys: list[str], bloom: tuple[str, ...] = (),
-    rows_per_file: int = 0,
+    rows_per_file: int = 0, folders: bool = True,
 ) -> None:
     """Month folders with key-sorted files.
 
@@ -21,14 +22,18 @@ def write_partition_sorted(
     tasks and files, each a narrow key range that min/max statistics can skip. The row hash
     comes last: it spreads the rows of one hot key, and unlike a random number it puts a row
     into the same range again when a lost task is repeated. ``bloom`` columns get a Bloom
-    filter for point lookups.
+    filter for point lookups. Without ``folders`` the files are cut and sorted in the same way
+    but the table keeps exactly its columns.
     """
-    writer = (
-        df.withColumn("ym", yyyymm(time))
-        .repartitionByRange("ym", *keys, F.xxhash64(*df.columns))
-        .sortWithinPartitions("ym", *keys)
-        .write.mode("overwrite").partitionBy("ym").option("maxRecordsPerFile", rows_per_file)
+    month = yyyymm(time)
+    placed = df.withColumn("ym", month) if folders else df
+    placed = (
+        placed.repartitionByRange(month, *keys, F.xxhash64(*hashable_columns(df)))
+        .sortWithinPartitions(month, *keys)
     )
+    writer = placed.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    if folders:
+        writer = writer.partitionBy("ym")
     for column in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     writer.parquet(path)
@@ -42,29 +47,39 @@ def month_filter(time: str, start: str, end: str):
     return inside & F.col("ym").between(yyyymm(first), yyyymm(F.date_sub(last, 1)))
 
 
-class CountMismatch(RuntimeError):
-    """A rebuilt copy does not have the rows of the original."""
+class CopyMismatch(RuntimeError):
+    """A rebuilt copy does not have the rows and columns of the original."""
+
+
+def contents(df: DataFrame) -> tuple:
+    """Row count and sums of row hashes, the same for the same rows in any order."""
+    h = F.xxhash64(*hashable_columns(df))
+    low = F.lit(2**31 - 1)
+    row = df.select(h.alias("h")).agg(
+        F.count(F.lit(1)), F.sum(F.col("h").bitwiseAND(low)), F.sum(F.shiftrightunsigned("h", 33))
+    ).first()
+    return tuple(row)
 
 
 def swap_rebuild(
     spark: SparkSession, table: str, folder: str, write: Callable[[DataFrame, str], None]
 ) -> DataFrame:
-    """Change a catalog table's layout: write a copy, verify it, then give it the name.
+    """Change an external Parquet table's layout: write a copy, verify it, point the table to it.
 
-    The tables are external, so the name changes without moving data, and a failed copy
-    leaves the original in place.
+    The copy must have the same columns and the same rows by count and hash. The table then
+    gets the new location in one step, so its name and columns are always there, and a failed
+    copy leaves the original in place.
     """
     original = spark.table(table)
     path = f"{folder}/{table}-{uuid.uuid4().hex[:8]}"
     write(original, path)
     rebuilt = spark.read.parquet(path)
-    if rebuilt.count() != original.count():
-        raise CountMismatch(f"{table}: copy at {path} is incomplete")
-    spark.catalog.createTable(f"{table}__new", path=path, source="parquet")
-    if "ym" in rebuilt.columns:
-        spark.sql(f"ALTER TABLE {table}__new RECOVER PARTITIONS")
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {table}__new RENAME TO {table}")
+    if rebuilt.dtypes != original.dtypes:
+        raise CopyMismatch(f"{table}: copy at {path} has other columns")
+    if contents(rebuilt) != contents(original):
+        raise CopyMismatch(f"{table}: copy at {path} has other rows")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
     return spark.table(table)
 
 
@@ -80,12 +95,25 @@ def replace_version(df: DataFrame, root: str, version: int) -> None:
     announced.coalesce(1).write.mode("overwrite").parquet(f"{root}/versions/n={version}")
 
 
-def newest_version(spark: SparkSession, root: str) -> tuple[int, DataFrame]:
-    """Number and rows of the newest announced version."""
-    newest = spark.read.parquet(f"{root}/versions").orderBy(F.desc("version")).first()
+def newest_version(
+    spark: SparkSession, root: str, below: int | None = None
+) -> tuple[int, DataFrame]:
+    """Number and rows of the newest announced version, or of the newest one below a number."""
+    versions = spark.read.parquet(f"{root}/versions")
+    if below is not None:
+        versions = versions.filter(F.col("version") < below)
+    newest = versions.orderBy(F.desc("version")).first()
     return newest["version"], spark.read.parquet(newest["path"])
 
 
+def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Delete all but the newest versions; those kept serve readers that started before."""
+    rows = spark.read.parquet(f"{root}/versions").orderBy(F.desc("version")).collect()
+    for old in rows[keep:]:  # as many rows as versions, which this keeps few
+        delete_path(spark, f"{root}/versions/n={old['version']}")
+        delete_path(spark, old["path"])
+
+
 def current_version(spark: SparkSession, root: str) -> DataFrame:
     """The newest announced version of a table written by ``replace_version``."""
     return newest_version(spark, root)[1]

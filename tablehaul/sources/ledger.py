@@ -9,6 +9,8 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablehaul.session import saved, stored_bytes
+
 EVENT = "id bigint, run_id string, ts timestamp_ntz, kind string, payload_json string"
 
 
@@ -27,6 +29,17 @@ class Ledger:
         kept = {k: v for k, v in payload.items() if v is not None}
         self._waiting.append((self._last, self.run_id, at, kind, json.dumps(kept)))
 
+    def append_rows(self, rows: DataFrame, kind: str) -> None:
+        """Append any result (validation rows, benchmark rows) as one event per row.
+
+        Ids go on densely from the run's last one, so events added later come after them.
+        """
+        self.flush()
+        if not self.path:
+            return
+        first = max(self._last + 1, time.time_ns() // 1000)
+        self._last = first - 1 + _append_from(rows, self.path, self.run_id, kind, first)
+
     def flush(self) -> None:
         if self.path and self._waiting:
             events = self.spark.createDataFrame(self._waiting, EVENT)
@@ -38,11 +51,38 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENT).parquet(path)
 
 
-def append_rows(rows: DataFrame, path: str, run_id: str, kind: str) -> None:
-    """Append any result (validation rows, benchmark rows) as one event per row."""
-    first = F.lit(time.time_ns() // 1000)
-    rows.select(
-        (first + F.monotonically_increasing_id()).alias("id"), F.lit(run_id).alias("run_id"),
+def _append_from(rows: DataFrame, path: str, run_id: str, kind: str, first: int) -> int:
+    """Append one event per row with ids from ``first`` on; returns the number of rows."""
+    numbered = saved(
+        rows.select(
+            F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"),
+            F.to_json(F.struct(*rows.columns)).alias("payload_json"),
+        ),
+        "ledger-rows",
+    )
+    # One number per partition comes to the driver.
+    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
+    starts, total = [], 0
+    for r in sizes:
+        starts.append((r["part"], total))
+        total += r["n"]
+    if not total:
+        return 0
+    begin = rows.sparkSession.createDataFrame(starts, "part int, start long")
+    # The low 33 bits of the place count the rows of a partition.
+    place = F.col("start") + F.col("place").bitwiseAND(F.lit(2**33 - 1))
+    numbered.join(F.broadcast(begin), "part").select(
+        (F.lit(first) + place).alias("id"), F.lit(run_id).alias("run_id"),
         F.current_timestamp().cast("timestamp_ntz").alias("ts"), F.lit(kind).alias("kind"),
-        F.to_json(F.struct(*rows.columns)).alias("payload_json"),
+        "payload_json",
     ).write.mode("append").parquet(path)
+    return total
+
+
+def append_rows(rows: DataFrame, path: str, run_id: str, kind: str) -> None:
+    """Append rows as events to a ledger that has no open ``Ledger``; ids go on from its last."""
+    last = read_ledger(rows.sparkSession, path).agg(F.max("id")).first()[0] if stored_bytes(
+        rows.sparkSession, path
+    ) else None
+    first = max((last or 0) + 1, time.time_ns() // 1000)
+    _append_from(rows, path, run_id, kind, first)

@@ -95,7 +95,7 @@ def test_month_layout_prunes_and_spreads_a_hot_key(spark, folder):
 def test_swap_rebuild_keeps_the_original_on_a_bad_copy(spark, folder):
     spark.range(10).write.parquet(f"{folder}/a")
     spark.catalog.createTable("swap_me", path=f"{folder}/a", source="parquet")
-    with pytest.raises(layout.CountMismatch):
+    with pytest.raises(layout.CopyMismatch):
         layout.swap_rebuild(spark, "swap_me", folder,
                             lambda df, p: df.filter("id > 3").write.parquet(p))
     assert spark.table("swap_me").count() == 10
