@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tablehaul import fixed_values as fv
 from tablehaul.functions.scalars import pick, zone_to_utc
-from tablehaul.session import saved
 
 
 def order_metadata_fields(key: Column) -> dict[str, Column]:
@@ -80,17 +79,9 @@ def refresh_total(base: DataFrame, totals: DataFrame, key: str, column: str) ->
 def hash_sample(df: DataFrame, key: str, size: int) -> DataFrame:
     """The ``size`` rows with the lowest key hash: the same rows on every run.
 
-    On a large table a cut at about twice the wanted share goes first, so that only few rows
-    per partition compete; it is used only if it leaves enough of them.
+    Every partition keeps its own lowest rows, so one pass is enough and nothing is stored.
     """
-    ranked = saved(df.withColumn("_hash", F.md5(F.col(key).cast("string"))), "sample")
-    total = ranked.count()
-    if total > 4 * size:
-        cut = format(int(2 * size / total * 16**8), "08x")
-        near = ranked.filter(F.col("_hash") < cut)
-        if near.count() >= size:
-            ranked = near
-    return ranked.orderBy("_hash", key).limit(size).drop("_hash")
+    return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(size)
 
 
 def missing_grid(keys: DataFrame, axes: dict[str, Column], existing: DataFrame) -> DataFrame:

@@ -14,30 +14,32 @@ from tablehaul.functions.scalars import yyyymm
 def column_profile(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """Rows, non-null rows, distinct values, minimum and maximum, one row per column.
 
-    Every column is counted by value on its own: the scan reads just that column, equal
-    values meet before the shuffle, and no row is multiplied as several distinct counts in
-    one aggregate would. ``exact=False`` estimates the distinct values from one scan without
-    shuffling them.
+    All facts and estimates of the distinct values come from one aggregate over one scan. With
+    ``exact`` each column's values are also counted on their own: that scan reads just the
+    column, and equal values meet before the shuffle.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
-    def facts(c: str) -> DataFrame:
+    def facts(c: str) -> Column:
         value = F.col(c)
-        if exact:
-            source = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-            n, distinct = F.col("_n"), F.count(value)
-        else:
-            source, n, distinct = df, F.lit(1), F.approx_count_distinct(value)
-        return source.agg(
+        return F.struct(
             F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
-            F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("non_null"),
-            distinct.alias("distinct_values"),
+            F.count(F.lit(1)).alias("rows"), F.count(value).alias("non_null"),
+            (F.lit(0).cast("long") if exact else F.approx_count_distinct(value)).alias("distinct_values"),
             F.min(value).cast("string").alias("min_value"),
             F.max(value).cast("string").alias("max_value"),
         )
 
-    return reduce(DataFrame.unionByName, [facts(c) for c in columns])
+    together = df.agg(F.array(*[facts(c) for c in columns]).alias("facts"))
+    profile = together.select(F.explode("facts").alias("f")).select("f.*")
+    if not exact:
+        return profile
+    counts = reduce(DataFrame.unionByName, [
+        df.filter(F.col(c).isNotNull()).select(c).distinct()
+        .agg(F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("distinct_values"))
+        for c in columns
+    ])
+    return profile.drop("distinct_values").join(counts, "column_name").select(profile.columns)
 
 
 def suggest_types(profile: DataFrame) -> DataFrame:

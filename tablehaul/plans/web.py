@@ -20,8 +20,11 @@ BOUNCE_SQL = "round(sum(is_bounce) * 100.0::DOUBLE / count(*), 1) AS bounce_rate
 
 
 def project_sessions(t: Tables, since: dt.datetime = SINCE) -> DataFrame:
+    """Sessions that started since a time. A session is one day of one visitor, so its day
+    bounds the events it is made of, and that filter reaches the scan."""
     return t.web_sessions().filter(
-        (F.col("project_id") == PROJECT) & (F.col("started_at") >= ts_lit(since))
+        (F.col("project_id") == PROJECT) & (F.col("day") >= date_lit(since))
+        & (F.col("started_at") >= ts_lit(since))
     )
 
 
@@ -161,9 +164,14 @@ def web_conversion_goals(t: Tables) -> DataFrame:
     )
 
 
-def conversions_per_session(t: Tables) -> DataFrame:
-    """One row per session, so joining it cannot multiply a session with many conversions."""
-    return t.web_conversions().groupBy("session_id", "project_id").agg(
+def conversions_per_session(t: Tables, since: dt.datetime = SINCE) -> DataFrame:
+    """One row per session, so joining it cannot multiply a session with many conversions.
+
+    A session's conversions are of its own day, so those before the first day are not read.
+    """
+    first = dt.datetime.combine(since.date(), dt.time())
+    recent = t.web_conversions().filter(F.col("timestamp") >= ts_lit(first))
+    return recent.groupBy("session_id", "project_id").agg(
         F.count(F.lit(1)).alias("conversions"),
         F.count_if(F.col("goal_name") != "").alias("goals"),
         F.sum("revenue").alias("revenue"),
@@ -239,14 +247,32 @@ def web_ab_variant(t: Tables) -> DataFrame:
     FROM web_sessions JOIN firsts USING (visitor_id)
     WHERE started_at >= TIMESTAMP '2024-01-01' GROUP BY 1""")
 def web_new_vs_returning(t: Tables) -> DataFrame:
-    sessions = t.web_sessions().filter(F.col("project_id") == PROJECT)
-    firsts = sessions.groupBy("visitor_id").agg(F.min("started_at").alias("first_at"))
-    tagged = sessions.filter(F.col("started_at") >= ts_lit(SINCE)).join(firsts, "visitor_id")
-    kind = F.when(F.col("started_at") == F.col("first_at"), "new").otherwise("returning")
-    return tagged.groupBy(kind.alias("visitor_type")).agg(
-        F.count(F.lit(1)).alias("sessions"), bounce_rate(),
-        average("duration_seconds", 0, "avg_duration_sec"),
-        average("pageview_count", 1, "avg_pages"),
+    """All sessions are summed per visitor; of the first one the sums keep its own values."""
+    counted = F.col("started_at") >= ts_lit(SINCE)
+    measures = ("is_bounce", "duration_seconds", "pageview_count")
+    per_visitor = t.web_sessions().filter(F.col("project_id") == PROJECT).groupBy("visitor_id").agg(
+        F.struct(
+            F.count_if(counted).alias("sessions"),
+            *[F.coalesce(F.sum(F.when(counted, F.col(m))), F.lit(0)).alias(m) for m in measures],
+        ).alias("all"),
+        F.min_by(F.struct(counted.cast("int").alias("sessions"), *measures), "started_at").alias("first"),
+    )
+    fields = ("sessions", *measures)
+    new = {m: F.col(f"first.{m}") * F.col("first.sessions") for m in fields}
+    kinds = F.array(
+        F.struct(F.lit("new").alias("visitor_type"), *[new[m].cast("long").alias(m) for m in fields]),
+        F.struct(F.lit("returning").alias("visitor_type"), *[
+            (F.col(f"all.{m}") - new[m]).cast("long").alias(m) for m in fields
+        ]),
+    )
+    sums = per_visitor.select(F.explode(kinds).alias("k")).select("k.*").groupBy("visitor_type").agg(
+        *[F.sum(m).alias(m) for m in fields]
+    ).filter("sessions > 0")
+    return sums.select(
+        "visitor_type", "sessions",
+        ratio_pct(F.col("is_bounce"), F.col("sessions"), 1).alias("bounce_rate_pct"),
+        F.round(F.col("duration_seconds") / F.col("sessions"), 0).alias("avg_duration_sec"),
+        F.round(F.col("pageview_count") / F.col("sessions"), 1).alias("avg_pages"),
     )
 
 
@@ -281,7 +307,7 @@ def web_utm_roi(t: Tables, fill_unmatched: bool = False) -> DataFrame:
         labelled("utm_campaign", "(no campaign)").alias("campaign"),
         labelled("utm_source", "(direct)").alias("source"),
     ).agg(
-        F.count_distinct("session_id").alias("sessions"),
+        F.count(F.lit(1)).alias("sessions"),  # one row per session
         F.count_distinct("visitor_id").alias("reach"),
         F.coalesce(F.sum("conversions"), F.lit(0)).cast("long").alias("conversions"),
         F.sum("revenue").alias("revenue"),

@@ -71,13 +71,29 @@ def append_conformed(df: DataFrame, target: str) -> None:
     append_columns(df, schema).write.mode("append").parquet(target)
 
 
+LOAD = "load_id"
+
+
 def stage_load(
-    spark: SparkSession, staged: str, target: str, file_format: str = "parquet"
+    spark: SparkSession, staged: str, target: str, file_format: str = "parquet",
+    load_id: str | None = None,
 ) -> DataFrame:
-    """Load staged files into a target; what was loaded is the growth of the target."""
-    baseline = spark.read.parquet(target).count()
+    """Load staged files into a target; what was loaded is the growth of the target.
+
+    With a ``load_id`` the rows go to a folder of that load inside the target, and a load that
+    is tried again replaces its first try. Without one they are appended.
+    """
+    schema = spark.read.parquet(target).schema
+    before = spark.read.parquet(target)
+    if LOAD in before.columns and load_id is not None:
+        before = before.filter(~F.col(LOAD).eqNullSafe(load_id))
+    baseline = before.count()
     files = spark.read.format(file_format).option("header", "true").load(staged)
-    append_conformed(files, target)
+    if load_id is None:
+        append_conformed(files, target)
+    else:
+        own = StructType([f for f in schema.fields if f.name != LOAD])
+        append_columns(files, own).write.mode("overwrite").parquet(f"{target}/{LOAD}={load_id}")
     after = spark.read.parquet(target)
     return after.agg(F.count(F.lit(1)).alias("rows_after")).select(
         F.lit(baseline).cast("long").alias("rows_before"),

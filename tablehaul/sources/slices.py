@@ -17,26 +17,34 @@ def key_bounds(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def plan_key_slices(df: DataFrame, key: str, width: int) -> DataFrame:
-    """Inclusive key ranges of ``width`` ids that cover the whole table."""
-    bounds = key_bounds(df, key).filter("lowest IS NOT NULL")
-    starts = F.sequence("lowest", "highest", F.lit(width).cast("long"))
-    return bounds.select("lowest", "highest", F.posexplode(starts).alias("slice", "first")).select(
-        "slice", "first",
-        F.least(F.col("first") + width - 1, F.col("highest")).alias("last"),
+def _planned(df: DataFrame, lowest: int | None, highest: int | None, width: int) -> DataFrame:
+    """The slices of a key range, made in many tasks."""
+    n = 0 if lowest is None else (highest - lowest) // width + 1
+    first = F.col("id") * width + F.lit(lowest or 0)
+    return df.sparkSession.range(n).select(
+        F.col("id").cast("int").alias("slice"), first.alias("first"),
+        F.least(first + width - 1, F.lit(highest or 0).cast("long")).alias("last"),
     )
 
 
+def plan_key_slices(df: DataFrame, key: str, width: int) -> DataFrame:
+    """Inclusive key ranges of ``width`` ids that cover the whole table.
+
+    The bounds are read first: one row.
+    """
+    bounds = key_bounds(df, key).first()
+    return _planned(df, bounds["lowest"], bounds["highest"], width)
+
+
 def slice_rows(df: DataFrame, key: str, width: int) -> DataFrame:
-    """Rows per planned slice, empty slices included; bounds are read first."""
-    lowest = key_bounds(df, key).first()["lowest"]
-    slot = F.floor((F.col(key) - F.lit(lowest)) / width).cast("int")
+    """Rows per planned slice, empty slices included; the table is read twice."""
+    bounds = key_bounds(df, key).first()
+    slot = F.floor((F.col(key) - F.lit(bounds["lowest"])) / width).cast("int")
     counted = df.filter(F.col(key).isNotNull()).groupBy(slot.alias("slice")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    return plan_key_slices(df, key, width).drop("lowest", "highest").join(
-        counted, "slice", "left"
-    ).fillna({"rows": 0})
+    planned = _planned(df, bounds["lowest"], bounds["highest"], width)
+    return planned.join(counted, "slice", "left").fillna({"rows": 0})
 
 
 def month_slices(df: DataFrame, time: str) -> DataFrame:

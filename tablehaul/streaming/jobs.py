@@ -7,30 +7,40 @@ of its own number and a second run replaces the first.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tablehaul.operators.change import cdc_apply, dedup_latest
+from tablehaul.operators.change import cdc_apply, dedup_latest, latest_changes
 from tablehaul.operators.progress import kpis, parsed_once, run_states, run_tables
 from tablehaul.operators.rollup import Rollup, rollup_build, rollup_compact, rollup_merge
-from tablehaul.sources.layout import current_version, newest_version, replace_version
+from tablehaul.session import delete_path, work_tables
+from tablehaul.sources.layout import (
+    current_version, drop_versions, newest_version, replace_version,
+)
 
 BATCH = "batch_id"
-LOG_BUCKETS = 64
+LOG_BUCKETS = 256
+#: Batches of the event log that are merged into its compacted part at once.
+FOLD_EVERY = 16
 
 
-def read_files(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
-    """A Parquet file or folder as a stream of its files.
+def read_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """A Parquet file or folder as a stream of its files, and nothing beside it.
 
-    The trailing star makes the path a pattern, which a single file needs.
+    A stream's source must be a folder or a pattern, so a single file is named by a pattern
+    that only it matches. Without ``files_per_batch`` a batch takes all files that have arrived.
     """
     schema = spark.read.parquet(path).schema
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch).parquet(f"{path}*")
-    )
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at)
+    source = path if status.isDirectory() else f"{path[:-1]}[{path[-1]}]"
+    stream = spark.readStream.schema(schema)
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    return stream.parquet(source)
 
 
 def _start(stream: DataFrame, handle, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -56,11 +66,17 @@ def fold_batches(spark: SparkSession, root: str, fold: Callable[[DataFrame], Dat
     """Compact a stream's output, so that reads do not slow down with the number of batches.
 
     ``fold`` must keep everything later batches can still meet: partial states stay states,
-    and deleted keys stay as delete changes. A batch that runs again after it was folded
+    and deleted keys stay as delete changes. Batch folders that the fold before this one holds
+    are deleted, as nobody can still be reading them; a batch that runs again after that
     rewrites a folder nobody reads any more.
     """
-    upto = spark.read.parquet(f"{root}/batches").agg(F.max(BATCH)).first()[0]
-    replace_version(fold(read_batches(spark, root)), f"{root}/folded", upto)
+    before, _ = newest_version(spark, f"{root}/folded")
+    batches = [r[0] for r in spark.read.parquet(f"{root}/batches").select(BATCH).distinct().collect()]
+    replace_version(fold(read_batches(spark, root)), f"{root}/folded", max([before, *batches]))
+    for old in batches:
+        if old <= before:
+            delete_path(spark, f"{root}/batches/{BATCH}={old}")
+    drop_versions(spark, f"{root}/folded")
 
 
 def stream_rollup(
@@ -87,13 +103,13 @@ def stream_cdc(
 ) -> StreamingQuery:
     """Keep each batch's newest change per key; readers merge them into the base table."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(dedup_latest(batch, keys, [version, op]), log, batch_id)
+        _write_batch(latest_changes(batch, keys, version, op), log, batch_id)
 
     return _start(changes, handle, checkpoint, every)
 
 
 def fold_cdc(spark: SparkSession, log: str, keys: list[str], version: str, op: str) -> None:
-    fold_batches(spark, log, lambda df: dedup_latest(df, keys, [version, op]))
+    fold_batches(spark, log, lambda df: latest_changes(df, keys, version, op))
 
 
 def read_cdc(
@@ -105,11 +121,22 @@ def read_cdc(
 def stream_refresh_lagged(
     stream: DataFrame, spec: Rollup, root: str, checkpoint: str, lag: str | None = "1 hour"
 ) -> StreamingQuery:
-    """A table that is at most ``lag`` behind: new states, then a new version of the result."""
+    """A table that is at most ``lag`` behind: new states, then a new version of the result.
+
+    Each batch merges its states with the compacted states of the batches before it, so its
+    work follows the number of keys, not the age of the stream.
+    """
+    states, table = f"{root}/states", f"{root}/table"
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(rollup_build(batch, spec), f"{root}/states", batch_id)
-        merged = read_rollup(batch.sparkSession, f"{root}/states", spec)
-        replace_version(merged, f"{root}/table", batch_id)
+        spark, new = batch.sparkSession, rollup_build(batch, spec)
+        if batch_id > 0:
+            new = new.unionByName(newest_version(spark, states, below=batch_id)[1])
+        replace_version(rollup_compact(new, spec), states, batch_id)
+        replace_version(rollup_merge(current_version(spark, states), spec), table, batch_id)
+        # A batch that runs again needs the version before it, so two stay.
+        drop_versions(spark, states)
+        drop_versions(spark, table)
 
     return _start(stream, handle, checkpoint, lag)
 
@@ -130,35 +157,71 @@ def stream_events_tail(
     return trigger.start()
 
 
+def _fold_log(spark: SparkSession, log: str, batch_id: int) -> None:
+    """Merge the log's batches into its compacted part, sorted into the same run buckets.
+
+    Only the newest compacted part and the batches after it are read. Parts before the last
+    two, and the batches they hold, are deleted.
+    """
+    folded = newest_version(spark, f"{log}/folded")[0] if batch_id >= FOLD_EVERY else -1
+    events = _log_events(spark, log, batch_id)
+    path = f"{log}/folded/data-{batch_id}"
+    events.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    announced = spark.createDataFrame([(batch_id, path)], "version bigint, path string")
+    announced.coalesce(1).write.mode("overwrite").parquet(f"{log}/folded/versions/n={batch_id}")
+    drop_versions(spark, f"{log}/folded")
+    for old in range(max(0, folded - FOLD_EVERY + 1), folded + 1):
+        delete_path(spark, f"{log}/batches/{BATCH}={old}")
+
+
+def _log_events(spark: SparkSession, log: str, batch_id: int) -> DataFrame:
+    """All events up to a batch: the newest compacted part before it and the batches since."""
+    upto = batch_id // FOLD_EVERY * FOLD_EVERY - 1  # the last batch that was merged before it
+    paths = [f"{log}/batches/{BATCH}={b}" for b in range(upto + 1, batch_id + 1)]
+    recent = [spark.read.option("basePath", p).parquet(p) for p in paths]
+    if upto >= 0:
+        recent.append(newest_version(spark, f"{log}/folded", below=batch_id)[1])
+    return reduce(DataFrame.unionByName, recent)
+
+
 def stream_progress_kpis(
     events: DataFrame, totals: DataFrame, log: str, out: str, checkpoint: str, as_of,
     every: str | None = None,
 ) -> StreamingQuery:
     """Append events to a log and refresh the figures of the runs a batch touched.
 
-    Events may arrive in any order, so the figures are computed from all events of a run.
-    The log is foldered by a hash of the run, and only folders of touched runs are read.
+    Events may arrive in any order, so the figures are computed from all events of a run. The
+    log is foldered by a hash of the run, only folders of touched runs are read, and every
+    ``FOLD_EVERY`` batches it is compacted. The figures are a versioned table with one row a
+    run. So a batch opens a number of files that does not grow with the stream's age.
     """
     bucket = F.pmod(F.xxhash64("run_id"), F.lit(LOG_BUCKETS)).cast("int")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        path = f"{log}/{BATCH}={batch_id}"
-        batch.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(path)
+        path = f"{log}/batches/{BATCH}={batch_id}"
+        batch.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy(
+            "bucket"
+        ).parquet(path)
         written = spark.read.schema("run_id string, bucket int").parquet(path)
         touched = written.select("run_id").distinct()
         buckets = [r["bucket"] for r in written.select("bucket").distinct().collect()]
-        # A repeated batch must not see later ones, or its figures would differ.
-        known = spark.read.parquet(log).filter(
-            (F.col(BATCH) <= batch_id) & F.col("bucket").isin(buckets)
-        ).drop(BATCH, "bucket")
-        known = parsed_once(known.join(touched, "run_id", "left_semi"))
-        tables = run_tables(known, totals.join(touched, "run_id", "left_semi"))
-        _write_batch(kpis(known, tables, run_states(known, as_of)), out, batch_id)
+        # A repeated batch does not see later ones, or its figures would differ.
+        known = _log_events(spark, log, batch_id).filter(F.col("bucket").isin(buckets)).drop("bucket")
+        with work_tables(spark):
+            known = parsed_once(known.join(touched, "run_id", "left_semi"))
+            tables = run_tables(known, totals.join(touched, "run_id", "left_semi"))
+            figures = kpis(known, tables, run_states(known, as_of)).withColumn(BATCH, F.lit(batch_id))
+            if batch_id > 0:
+                figures = figures.unionByName(newest_version(spark, out, below=batch_id)[1])
+            replace_version(dedup_latest(figures, ["run_id"], [BATCH]), out, batch_id)
+        drop_versions(spark, out)
+        if (batch_id + 1) % FOLD_EVERY == 0:
+            _fold_log(spark, log, batch_id)
 
     return _start(events, handle, checkpoint, every)
 
 
 def read_kpis(spark: SparkSession, out: str) -> DataFrame:
     """Latest figures of every run."""
-    return dedup_latest(spark.read.parquet(f"{out}/batches"), ["run_id"], [BATCH]).drop(BATCH)
+    return current_version(spark, out).drop(BATCH)
