@@ -14,23 +14,24 @@ from tablehaul.types import spark_type
 def conform_types(df: DataFrame, declared: dict[str, str], dialect: str) -> DataFrame:
     """Cast every declared column to the Spark type of its source type."""
     return df.select(*[
-        _conformed(F.col(name), source_type, dialect).alias(name)
+        conformed(F.col(name), source_type, dialect).alias(name)
         for name, source_type in declared.items()
     ])
 
 
-def _conformed(c: Column, source_type: str, dialect: str) -> Column:
+def conformed(c: Column, source_type: str, dialect: str) -> Column:
+    """A column cast to the Spark type of its source type."""
     target = spark_type(dialect, source_type)
     if target == "variant":
         return F.parse_json(c.cast("string"))
     if target == "timestamp":
         return F.date_trunc("millisecond", c.cast("timestamp"))
     kind = source_type.upper().split("(")[0].strip()
-    if kind == "CHAR":
+    if kind in ("CHAR", "CHARACTER", "NCHAR", "BPCHAR"):
         return F.rtrim(c.cast("string"))
     if kind == "INTERVAL":  # microseconds
         return F.unix_micros(F.lit("1970-01-01").cast("timestamp") + c)
-    if kind == "TIME":
+    if kind in ("TIME", "TIME WITHOUT TIME ZONE", "TIME WITH TIME ZONE"):
         return F.date_format(c, "HH:mm:ss")
     return c.cast(target)
 

@@ -7,13 +7,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehaul import fixed_values as fv
 from tablehaul.functions.scalars import hashable_columns
-from tablehaul.operators.joins import null_safe
 
 Opener = Callable[[], DataFrame]
 
@@ -77,7 +77,11 @@ def _side(spark: SparkSession, checks: list[TableCheck], which: str) -> DataFram
             return tuple(_facts(getattr(check, which)(), check).first())
         except PySparkException as e:
             reason = e.getCondition() or type(e).__name__
-            return check.name, None, None, None, None, None, f"{which}: {reason}"
+        except Py4JJavaError as e:  # failures of tasks
+            java = e.java_exception
+            reason = java.getCondition() if hasattr(java, "getCondition") else None
+            reason = reason or java.getClass().getSimpleName()
+        return check.name, None, None, None, None, None, f"{which}: {reason}"
 
     with ThreadPoolExecutor(AT_ONCE) as pool:
         rows = list(pool.map(facts, checks))
@@ -244,8 +248,11 @@ def row_hash_compare(source: DataFrame, target: DataFrame, keys: list[str]) -> D
             F.struct(*[F.sum(b) for b in bits]).alias(f"{side}_hash"),
         )
 
+    # The target's keys get names of their own: both sides may come from one table.
     s, t = folded(source, "source"), folded(target, "target")
-    joined = s.join(t, null_safe(s, t, keys), "full")
+    t = t.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    joined = s.join(t, same, "full")
     verdict = (
         F.when(F.col("target_rows").isNull(), "missing")
         .when(F.col("source_rows").isNull(), "extra")
@@ -256,5 +263,5 @@ def row_hash_compare(source: DataFrame, target: DataFrame, keys: list[str]) -> D
         )
     )
     return joined.select(
-        *[F.coalesce(s[k], t[k]).alias(k) for k in keys], verdict.alias("difference")
+        *[F.coalesce(k, f"_k_{k}").alias(k) for k in keys], verdict.alias("difference")
     ).filter("difference IS NOT NULL")

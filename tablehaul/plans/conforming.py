@@ -13,19 +13,28 @@ from tablehaul.registry import query
 
 @query("conform_types", """
     SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS TINYINT) AS l_linenumber,
-           l_partkey, CAST(l_quantity AS SMALLINT) AS l_quantity,
+           CAST(l_partkey AS BIGINT) AS l_partkey, CAST(l_suppkey AS DOUBLE) AS supplier,
+           l_linestatus, [l_returnflag] AS flags, CAST(l_quantity AS SMALLINT) AS l_quantity,
            CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE) AS price,
            CAST(l_tax AS DOUBLE) AS l_tax, l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate
     FROM lineitem""")
 def conform_types(t: Tables) -> DataFrame:
     declared = {
-        "l_orderkey": "NUMBER(18,0)", "l_linenumber": "NUMBER(2,0)", "l_partkey": "BIGINT",
+        "l_orderkey": "NUMBER(18,0)", "l_linenumber": "NUMBER(2,0)", "l_partkey": "NUMBER(18,0)",
+        "l_suppkey": "INTEGER", "l_linestatus": "TEXT",
         "l_quantity": "NUMBER(4,0)", "l_extendedprice": "NUMBER(12,2)", "l_tax": "FLOAT",
         "l_returnflag": "CHAR(1)", "l_shipdate": "DATE",
     }
-    typed = conform.conform_types(t.raw("lineitem"), declared, "snowflake")
-    price = F.col("l_extendedprice").cast("double").alias("price")
-    return typed.select(*[c for c in typed.columns if c != "l_extendedprice"], price)
+    lines = t.raw("lineitem").withColumn("flags", F.array("l_returnflag"))
+    typed = lines.select(*[
+        conform.conformed(F.col(c), kind, "snowflake").alias(c) for c, kind in declared.items()
+    ], conform.conformed(F.col("flags"), "Array(Nullable(String))", "columnar").alias("flags"))
+    # Decimals are shown as doubles.
+    shown = {"l_extendedprice": "price", "l_suppkey": "supplier"}
+    return typed.select(
+        *[c for c in typed.columns if c not in shown],
+        *[F.col(c).cast("double").alias(name) for c, name in shown.items()],
+    )
 
 
 @query("case_fold_columns", """

@@ -6,7 +6,7 @@ import re
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -63,37 +63,74 @@ class Migration:
         self.plans.append(plan)
         return self
 
+    def preflight(self) -> dict[str, str]:
+        """Errors of plans whose source or shape does not fit, by table; nothing is moved."""
+        errors = {}
+        for plan in self.plans:
+            try:
+                plan.shaped(plan.source).schema  # noqa: B018 - analysis is the check
+            except Exception as e:  # noqa: BLE001 - the error belongs into the report
+                errors[plan.name] = str(e)
+        return errors
+
     def run(self) -> DataFrame:
-        rows, error = [], None
+        """Check all plans, then move the tables; one row per table."""
+        plans = sorted(self.plans, key=lambda p: not p.dimension)
         self.ledger.add("started", source_type="spark", target_database=self.target)
-        for plan in sorted(self.plans, key=lambda p: not p.dimension):
+        errors = self.preflight()
+        if errors:
+            self.ledger.add("failed", error="; ".join(errors.values()))
+            self.ledger.flush()
+            return self.spark.createDataFrame([
+                (p.name, p.strategy, None, None, False, "failed" if p.name in errors else "pending",
+                 errors.get(p.name)) for p in plans
+            ], RESULT)
+        staged = {p.name: self._register(p) for p in plans}
+        self.ledger.flush()
+        rows, error = [], None
+        for plan in plans:
             if error:
                 rows.append((plan.name, plan.strategy, None, None, False, "pending", None))
                 continue
             try:
-                rows.append(self._move(plan))
+                rows.append(self._move(plan, staged[plan.name]))
                 error = rows[-1][6]
             except Exception as e:  # noqa: BLE001 - the error belongs into the report
                 error = str(e)
                 rows.append((plan.name, plan.strategy, None, None, False, "failed", error))
             self.ledger.flush()
+        matched = sum(r[4] for r in rows)
+        self.ledger.add("validation_done", rows=matched, total_rows=len(rows))
         self.ledger.add("failed" if error else "done", error=error)
         self.ledger.flush()
         return self.spark.createDataFrame(rows, RESULT)
 
-    def _move(self, plan: TablePlan) -> tuple:
-        source_rows = plan.source.count()
+    def _register(self, plan: TablePlan) -> bool:
+        """Announce a table with its strategy and rows; returns whether it is staged.
+
+        A count that fails is only a warning here: the copy will tell.
+        """
+        try:
+            total = plan.source.count()
+        except Exception as e:  # noqa: BLE001
+            total = None
+            self.ledger.add("log", table=plan.name, error=f"row count failed: {e}")
         staged = plan.strategy == "staged" or (
-            plan.strategy == "auto" and source_rows > fv.STAGE_ROWS_THRESHOLD
+            plan.strategy == "auto" and (total or 0) > fv.STAGE_ROWS_THRESHOLD
+        )
+        self.ledger.add(
+            "table_registered", table=plan.name, total_rows=total, strategy=_named(staged)
         )
+        return staged
+
+    def _move(self, plan: TablePlan, staged: bool) -> tuple:
         start = time.monotonic()
-        copy = self._staged_copy if staged else self._direct_copy
-        total_bytes = copy(plan)
+        source_rows, total_bytes = (self._staged_copy if staged else self._direct_copy)(plan)
         target_rows = self.spark.read.parquet(self._path(plan)).count()
         matched = source_rows == target_rows
         done = {
             "table": plan.name, "total_rows": target_rows, "rows": target_rows,
-            "strategy": "s3_stage" if staged else "direct", "total_bytes": total_bytes,
+            "strategy": _named(staged), "total_bytes": total_bytes,
             "seconds": round(time.monotonic() - start, 3),
         }
         if not staged:
@@ -109,22 +146,35 @@ class Migration:
     def _path(self, plan: TablePlan) -> str:
         return f"{self.target}/{plan.name}"
 
-    def _direct_copy(self, plan: TablePlan) -> None:
-        plan.shaped(plan.source).write.mode("overwrite").parquet(self._path(plan))
+    def _direct_copy(self, plan: TablePlan) -> tuple[int, None]:
+        """Source rows are counted while they are written."""
+        seen = Observation()
+        source = plan.source.observe(seen, F.count(F.lit(1)).alias("rows"))
+        plan.shaped(source).write.mode("overwrite").parquet(self._path(plan))
+        return seen.get["rows"], None
 
-    def _staged_copy(self, plan: TablePlan) -> int:
+    def _staged_copy(self, plan: TablePlan) -> tuple[int, int]:
         def phase(name: str, **more) -> None:
             self.ledger.add("phase_started", table=plan.name, phase=name, **more)
 
         phase("unloading")
-        stats = stage_export(plan.source, self.stage, self.run_id, plan.name).first()
+        seen = Observation()
+        source = plan.source.observe(seen, F.count(F.lit(1)).alias("rows"))
+        stats = stage_export(source, self.stage, self.run_id, plan.name).first()
         size = {"total_bytes": stats["total_bytes"]}
         phase("staged", file_count=stats["file_count"], **size)
         phase("loading", **size)
+        self.ledger.add("bytes_progress", table=plan.name, bytes_done=0, **size)
+        self.ledger.flush()
         staged = self.spark.read.parquet(stage_path(self.stage, self.run_id, plan.name))
         plan.shaped(staged).write.mode("overwrite").parquet(self._path(plan))
+        self.ledger.add("bytes_progress", table=plan.name, bytes_done=stats["total_bytes"], **size)
         phase("validating")
-        return stats["total_bytes"]
+        return seen.get["rows"], stats["total_bytes"]
+
+
+def _named(staged: bool) -> str:
+    return "s3_stage" if staged else "direct"
 
 
 def resume_plan(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -29,13 +29,33 @@ def values(df):
     ("bigquery", "NUMERIC", "decimal(38,9)"), ("bigquery", "ARRAY<INT64>", "array<bigint>"),
     ("postgres", "TEXT[]", "array<string>"), ("postgres", "double precision", "double"),
     ("columnar", "UInt64", "decimal(20,0)"), ("columnar", "DateTime64(3, 'UTC')", "timestamp"),
-    ("columnar", "LowCardinality(String)", "string"),
+    ("columnar", "LowCardinality(String)", "string"), ("columnar", "Nullable(Int32)", "int"),
+    ("columnar", "LowCardinality(Nullable(String))", "string"),
+    ("columnar", "Array(Nullable(Decimal(12, 2)))", "array<decimal(12,2)>"),
+    ("columnar", "Map(LowCardinality(String), Array(UInt8))", "map<string,array<smallint>>"),
+    ("columnar", "Enum8('a,b' = 1, 'c)' = 2)", "string"), ("columnar", "Decimal64(4)", "decimal(18,4)"),
+    ("columnar", "Tuple(a Int8, b Nullable(String))", "struct<`a`:tinyint,`b`:string>"),
+    ("columnar", "Tuple(Int8, Date)", "struct<`_1`:tinyint,`_2`:date>"),
+    ("columnar", "Nested(k String, v Float64)", "array<struct<`k`:string,`v`:double>>"),
+    ("columnar", "DateTime('UTC')", "timestamp"), ("columnar", "DateTime", "timestamp_ntz"),
+    ("bigquery", "STRUCT<a INT64, b ARRAY<STRUCT<c STRING(9), d NUMERIC(10,2)>>>",
+     "struct<`a`:bigint,`b`:array<struct<`c`:string,`d`:decimal(10,2)>>>"),
+    ("bigquery", "ARRAY<STRUCT<x FLOAT64>>", "array<struct<`x`:double>>"),
+    ("snowflake", "STRING", "string"), ("snowflake", "TEXT", "string"),
+    ("snowflake", "INTEGER", "decimal(38,0)"), ("snowflake", "VARCHAR(16777216)", "string"),
+    ("postgres", "timestamp with time zone", "timestamp"),
+    ("postgres", "timestamp(3) without time zone", "timestamp_ntz"),
+    ("postgres", "character varying(20)", "string"), ("postgres", "numeric(10,2)[]", "array<decimal(10,2)>"),
+    ("postgres", "int4", "int"),
 ])
 def test_type_mapping(dialect, source, want):
     assert types.spark_type(dialect, source) == want
 
 
-@pytest.mark.parametrize("dialect,source", [("bigquery", "BIGNUMERIC(60,5)"), ("postgres", "BOX")])
+@pytest.mark.parametrize("dialect,source", [
+    ("bigquery", "BIGNUMERIC(60,5)"), ("postgres", "BOX"), ("columnar", "Array(Point3)"),
+    ("bigquery", "STRUCT<a NOPE>"), ("snowflake", ""),
+])
 def test_unsupported_types(dialect, source):
     with pytest.raises(types.UnsupportedType):
         types.spark_type(dialect, source)
