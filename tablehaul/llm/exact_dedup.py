@@ -1,10 +1,11 @@
 """Exact deduplication with a heavy-hitter split, in DataFrame operations only.
 
 1. Every document becomes its id and a SHA-256 digest of its text.
-2. A Misra-Gries summary (Spark's ``approx_top_k``, a frequent-items sketch of that family)
-   finds the digests that may be frequent. Digests are dealt to ``SHARDS`` groups by hash and
-   each group has a summary of ``TRACKED`` counters, so summaries merge in parallel and a
-   digest with more than about ``4 / TRACKED`` of its group's rows cannot be missed.
+2. Misra-Gries summaries find the digests that may be frequent: Spark's ``approx_top_k`` keeps
+   a bounded table of counters that are all lowered when it is full (by their median rather
+   than by one) and that merges. Digests are dealt to ``SHARDS`` groups by hash and each group
+   has a summary of ``TRACKED`` counters, so summaries merge in parallel, and a digest with
+   more than about ``8 / TRACKED`` of its group's rows is found.
 3. An exact count over the candidates verifies them and elects the winner of each. At most
    ``SHARDS * TOP`` winners of about 100 bytes exist, whatever the input, so they are
    broadcast and decide their rows on the map side.
