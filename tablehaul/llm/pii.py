@@ -189,7 +189,9 @@ def find(text: str | None) -> list[tuple[int, int, int, bool]]:
         normal = Normalised(text)
         for kind, a, b in base_spans(normal.text):
             a, b = normal.source_span(a, b)
-            if not any(k == kind and x <= a and b <= y for k, x, y in base):
+            # Base spans of a kind do not overlap, so only the last one up to here can cover it.
+            last = bisect_right(base, (kind, a, len(text))) - 1
+            if last < 0 or base[last][0] != kind or base[last][2] < b:
                 out.append((kind, a, b, False))
     return sorted(out)
 
