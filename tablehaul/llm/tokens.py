@@ -11,6 +11,7 @@ import gc
 import json
 import os
 import struct
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             settings = json.load(f)
-        self.special = [t["content"] for t in settings["added_tokens"]]
+        self.special = [t["content"].lower() for t in settings["added_tokens"]]
         self.by_chunk = settings["model"].get("end_of_word_suffix") == "</w>"
         self.known: dict[bytes, bytes] = {}
 
@@ -47,9 +48,14 @@ class Encoder:
 
     def _chunks(self, text: str) -> list[bytes] | None:
         """Chunks between ASCII blanks and line breaks, A-Z in lower case as the tokenizer has
-        it; None when the text has to be encoded whole."""
-        if not self.by_chunk or ("<|" in text and any(s in text for s in self.special)):
+        it; None when the text has to be encoded whole. A special-token string in capitals is
+        ordinary text, but its chunk in lower case would not be."""
+        if not self.by_chunk:
             return None
+        if "<|" in text:
+            lower = text.lower()
+            if any(s in lower for s in self.special):
+                return None
         return text.encode(*UTF8).lower().split()
 
     def _learn(self, words: set[bytes]) -> None:
@@ -105,7 +111,7 @@ class Encoder:
         pairs, words, signs = [], [], []
         for c in missing:
             word = c.rstrip(SIGNS)
-            if word and word != c and (word.isalpha() or word.decode(*UTF8).isalpha()):
+            if word and word != c and (word.isalpha() or _letters(word.decode(*UTF8))):
                 pairs.append(c)
                 words.append(word)
                 signs.append(c[len(word):])
@@ -130,6 +136,12 @@ class Encoder:
         return np.frombuffer(self.packed([text])[0], "<u4")
 
 
+def _letters(word: str) -> bool:
+    """Whether the tokenizer's normal form of a word has letters only. Some letters become a
+    letter and a mark there, and a mark does join the signs that follow."""
+    return word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
+
+
 def _pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 

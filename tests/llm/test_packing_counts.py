@@ -13,7 +13,7 @@ from tests.parity import DATA
 TEXTS = [
     "", " \n ", "a.b", "it's. don't, x's", "!!. ..,", "Ünï. 12. 3,5", "İx Σας ΣΑΣ. K", "é. ́x",
     "\x1cfoo\x1dbar\x85z\x0b\x0c", "x<|endoftext|>. <|startoftext|>", "'s 'S. ''s", "word###,, wörd!!",
-    "語 語. ١٢", "a" * 500, "many words of one kind " * 2000,
+    "語 語. ١٢", "İ' İİ'. İ", "\u0958' \u0958\u0958.", "\u0130,x \ufb2a!", "<|STARTOFTEXT|> x<|EndOfText|>", "a" * 500, "many words of one kind " * 2000,
 ]
 
 
