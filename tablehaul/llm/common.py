@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from tablehaul.session import prepare
 
-#: Rows of one Arrow batch; with texts of some kilobytes a batch is a few megabytes.
+#: Rows and bytes of one Arrow batch, whichever is reached first: texts of some kilobytes make
+#: a few megabytes, and many very long ones together stay within the bytes.
 BATCH_ROWS = 2_000
+BATCH_BYTES = 32 * 1024 * 1024
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on: UTC, AQE, small Arrow batches."""
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
