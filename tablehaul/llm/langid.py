@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,10 @@ from tablehaul.llm.common import worker_model
 SAMPLE_ROWS = 100
 SAMPLE_CHARS = 160_000
 LANGUAGE_CHARS = 40_000
-ALPHABET = 48
+#: Codes that have a column in the table of transitions, and the most cells of that table. Both
+#: only decide about speed: codes beyond them are looked up in sorted keys.
+COMMON = 48
+TABLE_CELLS = 16_000_000
 BLOCK = 1024
 #: Characters parsed together, and the most of one text taken at a time.
 BUNDLE = 2_000_000
@@ -37,20 +41,19 @@ _LETTER = re.compile(r"[^\W\d_]")
 
 
 class Alphabet:
-    """Codes of characters: 0 for all but letters, one each for the letters most used in the
-    samples, and the last eight codes shared by all other letters, by code point."""
+    """Codes of characters: 0 for all but letters, one each for the letters of the lower-cased
+    samples, the most used ones first, and the last code for letters that no sample has."""
 
     def __init__(self, samples: list[str]):
-        seen: dict[str, int] = {}
+        seen = Counter()
         for text in samples:
-            for c in text:
-                seen[c] = seen.get(c, 0) + 1
+            seen.update(text.lower())
         letters = sorted((c for c in seen if c.isalpha()), key=lambda c: (-seen[c], c))
-        shared = ALPHABET - 8
+        self.size = len(letters) + 2
         points = np.arange(0x110000)
         alpha = np.fromiter((chr(p).isalpha() for p in points), bool, len(points))
-        self.codes = np.where(alpha, shared + points % 8, 0).astype(np.uint8)
-        for code, c in enumerate(letters[: shared - 1], 1):
+        self.codes = np.where(alpha, self.size - 1, 0).astype(np.min_scalar_type(self.size - 1))
+        for code, c in enumerate(letters, 1):
             self.codes[ord(c)] = code
 
     def encode(self, text: str) -> np.ndarray:
@@ -64,11 +67,12 @@ class Alphabet:
         return codes
 
 
-def suffix_automaton(codes: list[int]) -> np.ndarray:
-    """Transitions of the suffix automaton as a table of states by codes; -1 where none is.
+def suffix_automaton(codes: list[int]) -> tuple[int, np.ndarray]:
+    """Number of states of the suffix automaton, and its transitions as rows of state, code and
+    next state, sorted.
 
-    State 0 is the initial one; the table has at most two rows per character, and an empty one
-    at its end.
+    State 0 is the initial one. There are at most two states and three transitions per
+    character, however many codes there are.
     """
     steps: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
@@ -96,11 +100,8 @@ def suffix_automaton(codes: list[int]) -> np.ndarray:
                     p = link[p]
                 link[q] = link[current] = copy
         last = current
-    table = np.full((len(steps) + 1, ALPHABET), -1, np.int32)
-    for state, row in enumerate(steps):
-        for c, to in row.items():
-            table[state, c] = to
-    return table
+    rows = [(state, c, to) for state, row in enumerate(steps) for c, to in sorted(row.items())]
+    return len(steps), np.array(rows, np.int64).reshape(-1, 3)
 
 
 class CrossParser:
@@ -110,21 +111,37 @@ class CrossParser:
         self.languages = sorted(samples)
         self.alphabet = Alphabet([samples[x] for x in self.languages])
         per_language = min(LANGUAGE_CHARS, SAMPLE_CHARS // max(1, len(samples)))
-        tables, roots, self.bits, at = [], [], [], 0
+        transitions, roots, self.bits, at = [], [], [], 0
         for x in self.languages:
             codes = self.alphabet.encode(samples[x])[:per_language]
-            own = suffix_automaton(codes.tolist())
-            # A character that the sample lacks is a phrase of its own: it leads from the
-            # initial state to one without any transition, the last row.
-            own[0][own[0] < 0] = len(own) - 1
-            tables.append(np.where(own >= 0, own + at, -1))
+            states, own = suffix_automaton(codes.tolist())
+            transitions.append(own + (at, 0, at))
             roots.append(at)
-            at += len(own)
+            at += states
             self.bits.append(math.log2(len(codes) + 2))
-        self.steps = np.concatenate(tables).astype(np.int32).ravel()
-        self.roots = np.array(roots, np.int32)[:, None]
+        # A character that the sample lacks is a phrase of its own: it leads to a state without
+        # any transition, the last one.
+        self.roots, self.nowhere = np.array(roots, np.int32)[:, None], at
+        state, code, to = np.concatenate([*transitions, np.empty((0, 3), np.int64)]).T
+        # The most used codes have a table of states by codes, all others sorted keys.
+        self.common = max(1, min(COMMON, self.alphabet.size, TABLE_CELLS // (at + 1)))
+        often = code < self.common
+        table = np.full((at + 1, self.common), -1, np.int32)
+        table[state[often], code[often]] = to[often]
+        self.steps = table.ravel()
+        self.keys = state[~often] * self.alphabet.size + code[~often]
+        self.targets = to[~often].astype(np.int32)
         # Where a new phrase goes with its first character.
-        self.first = self.steps.reshape(-1, ALPHABET)[self.roots[:, 0]]
+        first = table[self.roots[:, 0]]
+        self.first = np.where(first < 0, self.nowhere, first).astype(np.int32)
+
+    def _seldom(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Next states by codes that the table leaves out; -1 where none is."""
+        if not len(self.keys):
+            return np.full(np.broadcast_shapes(states.shape, codes.shape), -1, np.int32)
+        wanted = states.astype(np.int64) * self.alphabet.size + codes
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.targets[at], np.int32(-1))
 
     def phrases(self, pieces: list[np.ndarray]) -> np.ndarray:
         """Languages by pieces: the number of phrases of each piece."""
@@ -141,15 +158,25 @@ class CrossParser:
         order = np.argsort(-size, kind="stable")
         start, size, owner = start[order], size[order], owner[order]
         active = np.searchsorted(-size, -np.arange(1, BLOCK + 1), side="right")
-        state = np.broadcast_to(self.roots, (len(self.roots), len(owner))).copy()
-        found = np.zeros(state.shape, np.int32)
+        found = np.zeros((len(self.roots), len(owner)), np.int32)
         for j in range(int(size[0])):
             k = active[j]
             c = codes[start[:k] + j]
-            to = self.steps[state[:, :k] * ALPHABET + c]
+            near = np.minimum(c, self.common - 1)
+            first = self.first[:, near]
+            seldom = np.flatnonzero(c >= self.common)
+            if len(seldom):
+                alone = self._seldom(self.roots, c[seldom])
+                first[:, seldom] = np.where(alone < 0, self.nowhere, alone)
+            if j == 0:
+                state = first
+                continue
+            to = self.steps[state[:, :k] * self.common + near]
+            if len(seldom):
+                to[:, seldom] = self._seldom(state[:, seldom], c[seldom])
             ended = to < 0
             found[:, :k] += ended
-            state[:, :k] = np.where(ended, self.first[:, c], to)
+            state[:, :k] = np.where(ended, first, to)
         found += 1  # the phrase that the end of a block cuts off
         for i in range(len(found)):
             counts[i] = np.bincount(owner, weights=found[i], minlength=len(pieces))

@@ -141,6 +141,31 @@ def test_phrases_are_longest_matches(monkeypatch, size):
             assert got[i, j] == sum(plain_phrases(b, sample) for b in blocks)
 
 
+def test_every_letter_of_the_samples_has_its_own_code(monkeypatch):
+    han, kana = [chr(0x4E00 + 8 * i) for i in range(300)], [chr(0x3048 + 8 * i) for i in range(8)]
+    samples = {
+        "en": "the cat and the dog sat here " * 9, "zh": "".join(han), "ja": "".join(kana * 5),
+        "EL": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ" * 40,
+    }
+    alphabet = langid.Alphabet(list(samples.values()))
+    letters = {c for t in samples.values() for c in t.lower() if c.isalpha()}
+    codes = {int(alphabet.codes[ord(c)]) for c in letters}
+    assert len(codes) == len(letters) and 0 not in codes
+    assert int(alphabet.codes[ord("ж")]) == int(alphabet.codes[ord("é")]) not in codes
+    rng = random.Random(5)
+    texts = ["".join(rng.choice([*han, "a", "é", " ", "ж"]) for _ in range(60)) for _ in range(30)]
+    texts += ["".join(han[100:130]), "".join(kana[2:6]), "λμν", "sat"]
+    for common, cells in ((48, 16_000_000), (1, 1), (1000, 16_000_000)):
+        monkeypatch.setattr(langid, "COMMON", common)
+        monkeypatch.setattr(langid, "TABLE_CELLS", cells)
+        parser = langid.CrossParser(samples)
+        pieces = [parser.alphabet.encode(t) for t in texts]
+        own = {x: "".join(map(chr, parser.alphabet.encode(t))) for x, t in samples.items()}
+        want = [[plain_phrases("".join(map(chr, p)), own[x]) for p in pieces] for x in parser.languages]
+        assert parser.phrases(pieces).tolist() == want
+        assert parser.identify(texts[-4:])[0] == ["zh", "ja", "EL", "en"]
+
+
 def test_language_of_odd_texts(spark, docs):
     samples = {"en": "the cat and the dog " * 40, "de": "der hund und die katze " * 40}
     texts = [None, "", "123 !?", "the dog", "DER HUND", "語", "the cat " * 60_000, "İ" * 5]
