@@ -5,10 +5,10 @@ occurs in the language's sample. The fewer phrases a language needs, the closer
 it (the cross-entropy estimate of Ziv and Merhav): ``phrases * log2(sample) / characters``.
 The language with the least value wins.
 
-The samples are the only part that is bounded: ``SAMPLE_CHARS`` normalised characters for all
-languages together, at most ``LANGUAGE_CHARS`` each, taken from at most ``SAMPLE_ROWS`` rows a
-language in the order of a hash of their id, each row giving at most an eighth of its
-language's share. Every text is parsed whole, in blocks of
+The samples are the only part that is bounded: ``LANGUAGE_CHARS`` normalised characters a
+language, from at most ``SAMPLE_ROWS`` distinct texts in the order of their digests. Short
+texts are taken whole and leave their share to longer ones, of which pieces spread from the
+beginning to the end are taken. Every text is parsed whole, in blocks of
 ``BLOCK`` characters in which phrases end, so that many blocks advance in step.
 """
 
@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from tablehaul.llm.common import worker_model
 
 SAMPLE_ROWS = 100
-SAMPLE_CHARS = 160_000
 LANGUAGE_CHARS = 40_000
+#: Characters of one piece of a longer text, about.
+PIECE = 200
 #: Codes that have a column in the table of transitions, and the most cells of that table. Both
 #: only decide about speed: codes beyond them are looked up in sorted keys.
 COMMON = 48
@@ -38,6 +39,7 @@ BUNDLE = 2_000_000
 UNDETERMINED = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
+_OTHERS = re.compile(r"[\W\d_]+")
 
 
 class Alphabet:
@@ -110,10 +112,9 @@ class CrossParser:
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
         self.alphabet = Alphabet([samples[x] for x in self.languages])
-        per_language = min(LANGUAGE_CHARS, SAMPLE_CHARS // max(1, len(samples)))
         transitions, roots, self.bits, at = [], [], [], 0
         for x in self.languages:
-            codes = self.alphabet.encode(samples[x])[:per_language]
+            codes = self.alphabet.encode(samples[x])[:LANGUAGE_CHARS]
             states, own = suffix_automaton(codes.tolist())
             transitions.append(own + (at, 0, at))
             roots.append(at)
@@ -219,37 +220,66 @@ class CrossParser:
         return names, scores
 
 
+def spread(text: str, size: int) -> str:
+    """At most ``size`` characters of a text: all, or pieces at even distances, both ends included."""
+    if len(text) <= size:
+        return text
+    n = max(1, size // PIECE)
+    piece = (size + 1) // n - 1  # a blank between pieces
+    if n == 1 or piece < 1:
+        at = (len(text) - size) // 2
+        return text[at:at + size]
+    starts = (i * (len(text) - piece) // (n - 1) for i in range(n))
+    return " ".join(text[a:a + piece] for a in starts)
+
+
+def filled(texts: list[str], size: int) -> str:
+    """A sample of about ``size`` characters from all texts: what a short one leaves of an equal
+    share goes to the longer ones. Never more; less only if the texts hold less."""
+    shares, rest = {}, size
+    for left, i in zip(range(len(texts), 0, -1), sorted(range(len(texts)), key=lambda i: len(texts[i]))):
+        shares[i] = min(len(texts[i]), max(0, rest // left - 1))
+        rest -= shares[i] + 1
+    return " ".join(spread(t, shares[i]) for i, t in enumerate(texts) if shares[i])
+
+
 def samples_of(
-    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang"
 ) -> dict[str, str]:
     """A bounded sample of text per language, the same for the same rows.
 
-    Only rows with a language and a letter count. Row numbers are taken over ids alone, so no
-    text is sorted. The driver gets ``SAMPLE_ROWS * SAMPLE_CHARS / 8`` characters at most.
+    Only rows with a language and a letter count, and equal texts of a language count once. Row
+    numbers are taken over digests alone, so no text is sorted but copies of the chosen ones.
+    The driver gets ``LANGUAGE_CHARS`` characters a language.
     """
-    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = (
-        rows.select(
-            F.col(lang_col).alias("lang"), F.col(id_col).alias("id"),
-            F.xxhash64(F.col(id_col).cast("string")).alias("h"),
-        )
-        .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_ROWS)
-    )
-    languages = chosen.select("lang").distinct().count()
-    if not languages:
-        return {}
-    share = min(LANGUAGE_CHARS, SAMPLE_CHARS // languages)
-    chosen = chosen.select(F.col("id").alias("i"), F.col("lang").alias("l"), "h").distinct()
-    texts = (
-        rows.join(F.broadcast(chosen), (F.col(id_col) == F.col("i")) & (F.col(lang_col) == F.col("l")))
-        .select("l", "h", F.substring(text_col, 1, share // 8).alias("t"))
+    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("t"), F.sha2(text_col, 256).alias("h")
     )
-    samples: dict[str, str] = {}
-    for lang, _, text in sorted(map(tuple, texts.collect())):
-        if len(samples.get(lang, "")) < 2 * share:
-            samples[lang] = f"{samples.get(lang, '')} {text}"
-    return samples
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(order))
+    chosen = chosen.filter(F.col("n") <= SAMPLE_ROWS).select("lang", "h")
+    texts = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.first("t").alias("t"))
+
+    @F.pandas_udf("string")
+    def shortened(own: pd.Series) -> pd.Series:
+        return own.map(lambda t: spread(_OTHERS.sub(" ", t), LANGUAGE_CHARS))
+
+    def sample(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("h")
+        return pd.DataFrame({"lang": own["lang"][:1], "t": [filled(list(own["t"]), LANGUAGE_CHARS)]})
+
+    short = texts.select("lang", "h", shortened("t").alias("t"))
+    return dict(map(tuple, short.groupBy("lang").applyInPandas(sample, "lang string, t string").collect()))
+
+
+def has_letter(text: Column) -> Column:
+    """Whether a language is told for a text once there are samples; false for NULL."""
+
+    @F.pandas_udf("boolean")
+    def speaks(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(t and _LETTER.search(t)) for t in texts], dtype=bool)
+
+    return speaks(text)
 
 
 def identified(text: Column, samples: dict[str, str]) -> Column:

@@ -166,6 +166,22 @@ def test_every_letter_of_the_samples_has_its_own_code(monkeypatch):
         assert parser.identify(texts[-4:])[0] == ["zh", "ja", "EL", "en"]
 
 
+def test_samples_fill_each_language_from_whole_texts(spark):
+    make = lambda word, n: " ".join(f"{word}{chr(97 + i * 26 // n)}" for i in range(n))
+    rows = [(1, make("long", 20_000), "one")]
+    rows += [(2, "copied text " * 20, "hot")] * 150 + [(i, f"rare words {chr(97 + i)}", "hot") for i in range(9)]
+    rows += [(7, make("many", 9_000 + i), "many") for i in range(5)]
+    rows += [(i, "misspelt label", f"label{i}") for i in range(60)]
+    got = langid.samples_of(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(got) == 63 and max(map(len, got.values())) <= langid.LANGUAGE_CHARS
+    for lang, word in (("one", "long"), ("many", "many")):
+        assert len(got[lang]) > 0.98 * langid.LANGUAGE_CHARS
+        assert {f"{word}{chr(97 + i)}" for i in range(26)} <= set(got[lang].split())
+    assert got["hot"].count("copied text") == 20
+    assert all(f"rare words {chr(97 + i)}" in got["hot"] for i in range(9))
+    assert got["label3"].strip() == "misspelt label"
+
+
 def test_language_of_odd_texts(spark, docs):
     samples = {"en": "the cat and the dog " * 40, "de": "der hund und die katze " * 40}
     texts = [None, "", "123 !?", "the dog", "DER HUND", "語", "the cat " * 60_000, "İ" * 5]
