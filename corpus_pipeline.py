@@ -21,9 +21,13 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in which a language can be told: NULL texts and texts without a letter go."""
+    """Keep documents in which a language can be told: NULL texts and texts without a letter go,
+    whether or not there are labelled rows to learn languages from."""
     ready(spark)
-    found = langid.identified(F.col("text"), language_samples(spark, sf_dir))
+    samples = language_samples(spark, sf_dir)
+    if not samples:
+        return docs.filter(langid.has_letter(F.col("text")))
+    found = langid.identified(F.col("text"), samples)
     return docs.filter(found["lang"] != langid.UNDETERMINED)
 
 

@@ -39,6 +39,16 @@ def test_language_keeps_all_texts_with_letters(stages):
     }
 
 
+def test_language_without_labels_rejects_the_same(spark, monkeypatch):
+    rows = [(1, None), (2, ""), (3, "12 !?"), (4, "a text"), (5, "語"), (6, "½"), (4, "a text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for samples in ({}, {"en": "the cat and the dog"}):
+        monkeypatch.setattr(corpus_pipeline, "language_samples", lambda *_: samples)
+        kept = corpus_pipeline.language(spark, docs, SF)
+        assert kept.columns == docs.columns
+        assert sorted(r.doc_id for r in kept.collect()) == [4, 4, 5, 6]
+
+
 def test_exact_duplicates_go(stages):
     _, _, given, _, kept = stages[1]
     last = {}
