@@ -7,13 +7,15 @@ left of a shard's words is indexed; all windows are searched backwards at once,
 are located through sampled suffix positions, and overlapping ones merge into removal spans.
 
 Items come to the driver and are broadcast in blocks of at most about ``BLOCK_CHARS``
-characters. One block is the rule; more blocks mean one pass over the texts for each.
+characters. One block is the rule; more blocks mean one pass over the texts for each, and are
+dealt out in the shared folder, from where each comes to the driver when its pass begins.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tablehaul.llm.common import unused, worker_model
 from tablehaul.llm.fm_index import FMIndex
-from tablehaul.session import saved
+from tablehaul.session import saved, work_path
 
 WINDOW = 10
 BLOCK_CHARS = 8_000_000
@@ -157,17 +159,28 @@ def _leak(text: Column, items: tuple[tuple[str, str], ...], window: int) -> Colu
     return find(text)
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[tuple]:
-    """Items of each block as (id, text); ids that are NULL read ``null``."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> tuple[int, Iterator[tuple]]:
+    """The number of blocks, and items of each block as (id, text), collected when asked for;
+    ids that are NULL read ``null``."""
     items = benchmark.filter(F.col(text_col).isNotNull()).select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
         F.col(text_col).alias("t"),
     ).distinct()
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n = 1 + total // BLOCK_CHARS
-    block = F.pmod(F.xxhash64("item", "t"), F.lit(n))
-    for b in range(n):
-        yield tuple(sorted(map(tuple, items.filter(block == b).collect())))
+
+    def collected(block: DataFrame) -> tuple:
+        return tuple(sorted(map(tuple, block.collect())))
+
+    if n == 1:
+        return n, iter([collected(items)])
+    spark, path = benchmark.sparkSession, work_path(benchmark.sparkSession, "items")
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "t"), F.lit(n)))
+    dealt.repartition("block").write.partitionBy("block").parquet(path)
+    every = spark.read.schema("item string, t string, block long").parquet(path)
+    return n, (
+        collected(every.filter(F.col("block") == b).select("item", "t")) for b in range(n)
+    )
 
 
 def with_leaks(
@@ -180,9 +193,9 @@ def with_leaks(
     words match nothing; NULL texts have no words; ids of items are text, repeated ids count
     once. Repeated documents each get their result, and empty tables give no rows or no spans.
     """
-    blocks = list(_blocks(benchmark, item_col, item_text_col))
-    if len(blocks) == 1:
-        return docs.withColumn(out, _leak(F.col(text_col), blocks[0], window))
+    n, blocks = _blocks(benchmark, item_col, item_text_col)
+    if n == 1:
+        return docs.withColumn(out, _leak(F.col(text_col), next(blocks), window))
     row = unused(docs, "row_number")
     marked = saved(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     passes = [

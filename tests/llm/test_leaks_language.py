@@ -82,6 +82,21 @@ def test_leaks(spark, docs, monkeypatch, block):
     }
 
 
+def test_blocks_of_items_come_one_at_a_time(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 20)
+    done, frame = [], type(spark.range(1))
+    collect, saved = frame.collect, decontaminate.saved
+    monkeypatch.setattr(frame, "collect", lambda df: done.append("collect") or collect(df))
+    monkeypatch.setattr(
+        decontaminate, "saved", lambda df, name, **o: done.append(name) or saved(df, name, **o)
+    )
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    decontaminate.with_leaks(docs([*enumerate(TEXTS)]), items)
+    n = done.count("leaks")
+    passes = [x for x in done if x in ("collect", "leaks")][-2 * n:]  # the sum comes before
+    assert n > 2 and passes == ["collect", "leaks"] * n
+
+
 def test_leaks_of_nothing(spark, docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontaminate.with_leaks(docs([]), items).count() == 0
