@@ -6,7 +6,11 @@ transducers make the latter and keep, for every character, the source span it ca
 * characters: homoglyphs and full-width forms to ASCII, one for one; invisible ones vanish;
 * words: ``[at]``, ``(dot)``, ``x at y dot z``, and spelled digits (``plus one five five``).
 
-A span found in the normalised text is mapped back and added unless a base span of its kind
+The words transducer runs twice. The wide one also takes a bare ``at`` before a dotted domain,
+``plus`` before a numeral, single spelled digits, and gaps of any length; as it may join a
+number to its neighbours, it adds to what the strict one finds and replaces nothing.
+
+A span found in a normalised text is mapped back and added unless a base span of its kind
 covers it. Base spans always stay.
 """
 
@@ -121,13 +125,31 @@ _WORDS = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 _IN_RUN = re.compile(rf"{_DIGIT}|dot", re.IGNORECASE | re.ASCII)
+# The wide transducer takes gaps by possessive repeats from where they begin, so that long ones
+# stay linear. Between two spelled digits they close, beside a numeral they become one blank.
+_BRACKET = r"[\[({{<]\s*+(?:{})\s*+[\])}}>]"
+_AT, _DOT = _BRACKET.format("at|@"), _BRACKET.format(r"dot|\.")
+_LABEL = r"[a-z0-9-]{1,63}"
+_ANY_DOT = rf"(?:\.|\s++dot\s++|\s*+{_DOT}\s*+)"
+_SPELLED = rf"(?<![a-z_]){_DIGIT}(?![a-z_])"
+_WIDE = re.compile(
+    rf"(?P<gone>[{INVISIBLE}]+)"
+    rf"|(?P<at>(?:(?<!\s)\s++)?{_AT}\s*+"
+    rf"|(?<=[a-z0-9._%+-])\s++at\s++"
+    rf"(?={_LABEL}\s++dot\s++{_LABEL}|(?:{_LABEL}{_ANY_DOT}){{1,9}}[a-z]{{2,63}}(?![a-z0-9-])))"
+    rf"|(?P<dot>(?:(?<!\s)\s++)?{_DOT}\s*+|(?<=[a-z0-9-])\s++dot\s++(?=[a-z0-9-]))"
+    rf"|(?P<plus>\bplus(?:\s*+(?=[0-9])|\s++(?={_SPELLED})))"
+    rf"|(?P<blank>(?<=[0-9])\s++(?={_SPELLED}))"
+    rf"|(?P<digit>{_SPELLED})(?:[\s-]++(?={_SPELLED})|(?P<gap>\s++)(?=[0-9]))?",
+    re.IGNORECASE | re.ASCII,
+)
 _VALUE = {word: str(i) for i, word in enumerate(DIGITS)} | {"dot": "."}
 
 
 class Normalised:
     """A normalised text and the source span of each of its characters, kept by pieces."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, words: re.Pattern[str] = _WORDS):
         folded = source.translate(FOLD) if not source.isascii() else source
         self._at: list[int] = []      # where a piece begins in the normalised text
         self._from: list[tuple[int, int, bool]] = []  # its source span; copied one for one?
@@ -141,14 +163,18 @@ class Normalised:
                 parts.append(text)
                 length += len(text)
 
-        for m in _WORDS.finditer(folded):
+        for m in words.finditer(folded):
             add(folded[done:m.start()], done, m.start(), True)
             done = m.end()
             if m.lastgroup == "run":
                 for d in _IN_RUN.finditer(folded, m.start(), m.end()):
                     add(_VALUE[d.group().lower()], d.start(), d.end(), False)
+            elif m.lastgroup in ("digit", "gap"):
+                add(_VALUE[m["digit"].lower()], *m.span("digit"), False)
+                if m["gap"]:
+                    add(" ", *m.span("gap"), False)
             elif m.lastgroup != "gone":
-                add({"at": "@", "dot": ".", "plus": "+"}[m.lastgroup], m.start(), m.end(), False)
+                add({"at": "@", "dot": ".", "plus": "+", "blank": " "}[m.lastgroup], m.start(), m.end(), False)
         add(folded[done:], done, len(folded), True)
         self.text = "".join(parts)
 
@@ -162,13 +188,16 @@ class Normalised:
         return start, a + end - self._at[last] if copied else b
 
 
-# Every match of the words transducer on a text without foreign characters has one of these.
-_BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at|@|dot|\.)\s{0,3}[\])}>]", re.IGNORECASE | re.ASCII)
-_NUMBERS = re.compile(rf"\b{_DIGIT}[\s-]{{1,3}}{_DIGIT}", re.ASCII)
+# Every match of the words transducers on a text without foreign characters has one of these,
+# but for spelled digits that stand alone.
+_BRACKETED = re.compile(_BRACKET.format(r"at|@|dot|\."), re.IGNORECASE | re.ASCII)
+_NUMBERS = re.compile(rf"(?<![a-z_]){_DIGIT}[\s().-]*+(?:[0-9]|{_DIGIT})", re.ASCII)
+_AMONG = re.compile(rf"[0-9][\s().-]*+{_DIGIT}(?![a-z_])", re.ASCII)
+_AT_DOMAIN = re.compile(rf"\sat\s++{_LABEL}\.[a-z0-9-]", re.ASCII)
 
 
 def disguised(text: str) -> bool:
-    """Whether either transducer may change the text; False only if neither does."""
+    """Whether a transducer may change the text so that more is found; else False, nearly always."""
     if not text.isascii() and _FOLDED.search(text):
         return True
     lower = text.lower()
@@ -177,6 +206,8 @@ def disguised(text: str) -> bool:
         or "plus" in lower
         or _BRACKETED.search(text) is not None
         or _NUMBERS.search(lower) is not None
+        or _AMONG.search(lower) is not None
+        or _AT_DOMAIN.search(lower) is not None
     )
 
 
@@ -184,15 +215,15 @@ def find(text: str | None) -> list[tuple[int, int, int, bool]]:
     """(kind, start, end, base) of all spans by kind, start and end; NULL counts as empty."""
     text = text or ""
     base = base_spans(text)
-    out = [(*s, True) for s in base]
-    if disguised(text):
-        normal = Normalised(text)
+    out = {(*s, True) for s in base}
+    for words in (_WORDS, _WIDE) if disguised(text) else ():
+        normal = Normalised(text, words)
         for kind, a, b in base_spans(normal.text):
             a, b = normal.source_span(a, b)
             # Base spans of a kind do not overlap, so only the last one up to here can cover it.
             last = bisect_right(base, (kind, a, len(text))) - 1
             if last < 0 or base[last][0] != kind or base[last][2] < b:
-                out.append((kind, a, b, False))
+                out.add((kind, a, b, False))
     return sorted(out)
 
 

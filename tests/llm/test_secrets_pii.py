@@ -112,6 +112,37 @@ def test_disguises_are_mapped_back(text, kind, plain):
     assert [(s[0], text[s[1]:s[2]]) for s in spans] == [(kind, plain)]
 
 
+@pytest.mark.parametrize("text,kind,plain", [
+    ("mail john at example.com now", 0, "john at example.com"),
+    ("mail john at mail.example dot com.", 0, "john at mail.example dot com"),
+    ("mail john at example [dot] com.au", 0, "john at example [dot] com.au"),
+    ("call plus 44 20 7946 0958!", 3, "plus 44 20 7946 0958"),
+    ("call +1 555 five 12 3456 now", 3, "+1 555 five 12 3456"),
+    ("pay 4111 one111 1111 111      one.", 2, "4111 one111 1111 111      one"),
+    ("pay 4111 1111     one one one one 1111", 2, "4111 1111     one one one one 1111"),
+    ("john      at      example      dot      com", 0, "john      at      example      dot      com"),
+    ("john [     at     ] example.com", 0, "john [     at     ] example.com"),
+    ("at 192 dot 168 dot one dot 1", 1, "192 dot 168 dot one dot 1"),
+    # What a neighbour would spoil stays found.
+    ("one ４111 1111 1111 1111", 2, "４111 1111 1111 1111"),
+])
+def test_mixed_disguises_are_mapped_back(text, kind, plain):
+    spans = [s for s in pii.find(text) if not s[3]]
+    assert [(s[0], text[s[1]:s[2]]) for s in spans] == [(kind, plain)]
+
+
+def test_prose_of_numbers_gains_nothing():
+    for text in ("we met at 5.30 and at noon. Then two left", "one 2 three, 12 plus 5 is seven", "at v1.2"):
+        assert pii.find(text) == []
+
+
+def test_wide_gaps_are_linear():
+    for unit in ("one" + " " * 50, "a at b" + " " * 50, "[" + " " * 50, "1" + " " * 50 + "plus ", "at a.b.c.d "):
+        pii.find(unit * 5_000)
+    for text in (" " * 300_000 + "dot", "a" + " " * 300_000 + "at b", "one" + " " * 300_000, "[ " * 100_000):
+        pii.find(text)
+
+
 def test_clean_texts_gain_nothing_and_base_spans_stay():
     rng = random.Random(8)
     words = ["at", "dot", "one", "plus", "the", "a@b.cd", "1.2.3.4", "[at", "é", "а", "Ａ", "\n"]
