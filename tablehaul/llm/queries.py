@@ -213,8 +213,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Limits that get a row although no document may have that length, and the quantiles that are
+#: listed at the lengths they fall on.
+CONTEXT_LIMITS = tuple(2 ** n for n in range(21))
+QUANTILES = (0.0, 0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0)
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_histogram.limit_totals(
-        token_histogram.length_histogram(documents(spark, sf_dir), TOKENIZER)
+    histogram = token_histogram.length_histogram(documents(spark, sf_dir), TOKENIZER)
+    totals = token_histogram.limit_totals(token_histogram.with_limits(histogram, CONTEXT_LIMITS))
+    points = token_histogram.quantiles(totals, QUANTILES).groupBy("tokens").agg(
+        F.array_sort(F.collect_list("point")).alias("quantiles")
+    )
+    return totals.join(points, F.col("context_limit") == F.col("tokens"), "left").select(
+        *totals.columns, F.coalesce("quantiles", F.array().cast("array<double>")).alias("quantiles")
     )

@@ -45,8 +45,16 @@ def length_histogram(docs: DataFrame, tokenizer_file: str, text_col: str = "text
     return saved(lengths.groupBy("tokens").agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
 
 
+def with_limits(histogram: DataFrame, limits: Sequence[int]) -> DataFrame:
+    """The histogram with a row of no documents for each of the limits that is not a length."""
+    asked = F.explode(F.array(*[F.lit(n).cast("long") for n in limits])).alias("tokens")
+    spark = histogram.sparkSession
+    more = spark.range(1).select(asked, F.lit(0).cast("long").alias("n_docs"))
+    return histogram.unionByName(more).groupBy("tokens").agg(F.sum("n_docs").alias("n_docs"))
+
+
 def limit_totals(histogram: DataFrame) -> DataFrame:
-    """One row per length that occurs, taken as a context limit, with exact totals.
+    """One row per length of the histogram, taken as a context limit, with exact totals.
 
     ``docs_within`` and ``tokens_within`` count documents of at most that length, ``docs_over``
     and ``tokens_over`` the longer ones, and ``truncated_tokens`` is what remains of all
@@ -99,7 +107,8 @@ def truncated_total(totals: DataFrame, limit: int) -> DataFrame:
 
 def quantiles(totals: DataFrame, points: Sequence[float]) -> DataFrame:
     """``point, tokens``: the least length that at least this share of the documents has or is
-    below (a point of 0 gives the shortest). No rows for an empty histogram."""
+    below (a point of 0 gives the shortest). No rows for a histogram without documents."""
+    totals = totals.filter(F.col("n_docs") > 0)
     asked = F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("point")
     rows = totals.select(asked, "context_limit", "docs_within", "docs_over")
     reached = F.col("docs_within") >= F.col("point") * (F.col("docs_within") + F.col("docs_over"))

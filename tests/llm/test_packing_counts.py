@@ -113,6 +113,24 @@ def test_histogram_of_nothing(docs):
     assert token_histogram.quantiles(totals, [0.5]).count() == 0
 
 
+def test_query_has_other_limits_and_quantiles(spark):
+    sf = f"{DATA}/sf0.001"
+    encoder = tokens.Encoder(TOKENIZER)
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    lengths = sorted(len(encoder.whole(t)) for t in texts)
+    rows = {r.context_limit: r for r in QUERIES["op10_token_counts"](spark, sf).collect()}
+    powers = {2 ** n for n in range(21)}
+    assert set(rows) == set(lengths) | powers and not powers <= set(lengths)
+    for limit, r in rows.items():
+        assert r.n_docs == lengths.count(limit)
+        assert r.docs_within == sum(n <= limit for n in lengths)
+        assert r.truncated_tokens == sum(min(n, limit) for n in lengths)
+    points = {p: n for n, r in rows.items() for p in r.quantiles}
+    assert len(points) == 11 == sum(len(r.quantiles) for r in rows.values())
+    for p, n in points.items():
+        assert n == next(x for i, x in enumerate(lengths, 1) if i >= p * len(lengths))
+
+
 def test_histogram_query(spark):
     sf = f"{DATA}/sf0.001"
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
