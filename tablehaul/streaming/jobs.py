@@ -23,6 +23,8 @@ from tablehaul.sources.layout import (
 
 BATCH = "batch_id"
 LOG_BUCKETS = 256
+#: Events of a bucket that one task writes, about.
+BUCKET_ROWS = 500_000
 #: Batches of the event log that are merged into its compacted part at once.
 FOLD_EVERY = 16
 
@@ -157,6 +159,18 @@ def stream_events_tail(
     return trigger.start()
 
 
+def _write_buckets(events: DataFrame, path: str) -> None:
+    """Write events into the folders of their buckets, one task for each ``BUCKET_ROWS`` counted
+    in a bucket, so that a run with very many events is shared by several tasks."""
+    counted = events.groupBy("bucket").count().collect()
+    tasks = F.lit(1)
+    for bucket, n in counted:
+        if n > BUCKET_ROWS:
+            tasks = F.when(F.col("bucket") == bucket, -(-n // BUCKET_ROWS)).otherwise(tasks)
+    salt = F.pmod(F.xxhash64("id"), tasks)
+    events.repartition("bucket", salt).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
 def _fold_log(spark: SparkSession, log: str, batch_id: int) -> None:
     """Merge the log's batches into its compacted part, sorted into the same run buckets.
 
@@ -166,7 +180,7 @@ def _fold_log(spark: SparkSession, log: str, batch_id: int) -> None:
     folded = newest_version(spark, f"{log}/folded")[0] if batch_id >= FOLD_EVERY else -1
     events = _log_events(spark, log, batch_id)
     path = f"{log}/folded/data-{batch_id}"
-    events.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    _write_buckets(events, path)
     announced = spark.createDataFrame([(batch_id, path)], "version bigint, path string")
     announced.coalesce(1).write.mode("overwrite").parquet(f"{log}/folded/versions/n={batch_id}")
     drop_versions(spark, f"{log}/folded")
@@ -200,9 +214,7 @@ def stream_progress_kpis(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         path = f"{log}/batches/{BATCH}={batch_id}"
-        batch.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy(
-            "bucket"
-        ).parquet(path)
+        _write_buckets(batch.withColumn("bucket", bucket), path)
         written = spark.read.schema("run_id string, bucket int").parquet(path)
         touched = written.select("run_id").distinct()
         buckets = [r["bucket"] for r in written.select("bucket").distinct().collect()]

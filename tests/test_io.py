@@ -479,3 +479,25 @@ def test_sketches_and_inventory_are_close_to_exact(spark):
     for r in q["table_inventory"](spark, tables).collect():
         df = spark.read.parquet(f"{tables}/{r.table_name}.parquet")
         assert (r.rows, r.columns) == (df.count(), len(df.columns)) and r.bytes > 0
+
+
+def test_hot_run_is_written_by_several_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(jobs, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(jobs, "FOLD_EVERY", 1)
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"  # tasks as small as these are merged
+    monkeypatch.setattr(session, "_RUNTIME_SETTINGS", {**session._RUNTIME_SETTINGS, merge: "false"})
+    hot = F.col("id") < 1000
+    events = spark.range(1200).withColumn("bucket", F.when(hot, 7).otherwise(F.col("id") % 5).cast("int"))
+    try:
+        session.prepare(spark)
+        jobs._write_buckets(events, f"{folder}/batches/{jobs.BATCH}=0")
+        jobs._fold_log(spark, folder, 0)
+        for path in (f"{folder}/batches/{jobs.BATCH}=0", f"{folder}/folded/data-0"):
+            rows = spark.read.parquet(path)
+            assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, events.collect()))
+            files = rows.select("bucket", F.input_file_name()).distinct().groupBy("bucket").count()
+            found = {r["bucket"]: r["count"] for r in files.collect()}
+            assert found.pop(7) > 1 and set(found.values()) == {1} and len(found) == 5
+    finally:
+        monkeypatch.undo()
+        session.prepare(spark)
