@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehaul.llm import (
-    chat, decontaminate, exact_dedup, langid, packing, pii, secrets, simhash, token_histogram, warc,
+    chat, decontaminate, exact_dedup, langid, merkle, packing, pii, secrets, simhash, token_histogram,
+    warc,
 )
 from tablehaul.llm.common import documents, table
 from tablehaul.session import work_path
@@ -229,3 +230,86 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.join(points, F.col("context_limit") == F.col("tokens"), "left").select(
         *totals.columns, F.coalesce("quantiles", F.array().cast("array<double>")).alias("quantiles")
     )
+
+
+_LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _sql_field(name: str, value: str | None = None) -> str:
+    value = value or f"{name}::VARCHAR"
+    return f"coalesce(strlen({value}) || ':' || ({value}), '-')"
+
+
+def _sql_leaf(**instead: str) -> str:
+    return "sha256(" + " || ".join(_sql_field(c, instead.get(c)) for c in _LEAF_FIELDS) + ")"
+
+
+def _sql_tree(name: str, leaves: str) -> str:
+    """Nodes of the trees over ``leaves`` (tree, idx, n, digest), and each one's siblings."""
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS level, idx, n, digest FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM {name} WHERE n > 1 GROUP BY tree, level, n, idx // 3
+), {name}_siblings AS (
+  SELECT tree, level, idx,
+    coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {name} WHERE n > 1 WINDOW run AS (PARTITION BY tree, level, idx // 3 ORDER BY idx)
+)"""
+
+
+@query("op12_merkle_manifest", f"""
+WITH RECURSIVE checked AS (
+  SELECT *, 4294967295 - list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(
+      list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))
+    )
+  ) AS crc FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id) AS row,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS idx,
+    count(*) OVER (PARTITION BY tree) AS n
+  FROM (
+    SELECT doc_id, source AS tree, {_sql_leaf()} AS digest,
+      CASE WHEN crc % 2 = 0 THEN {_sql_leaf(text="replace(text, chr(10), '')")} ELSE {_sql_leaf()} END AS shown
+    FROM checked
+  )
+), {_sql_tree("up", "leaves")}, subroots AS (
+  SELECT 0 AS tree, tree AS source, digest, count(*) OVER () AS n,
+    row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS idx
+  FROM up WHERE n = 1
+), {_sql_tree("top", "subroots")}, folded AS (
+  SELECT row, tree, idx, 0 AS level, shown, '' AS proof, false AS done FROM leaves
+  UNION ALL
+  SELECT f.row, f.tree, f.idx // 3, f.level + 1, sha256(s.before || f.shown || s.after),
+    f.proof || s.before || s.after, false
+  FROM folded f JOIN up_siblings s
+    ON f.tree IS NOT DISTINCT FROM s.tree AND f.level = s.level AND f.idx = s.idx
+), at_subroot AS (
+  SELECT row, tree, arg_max(shown, level) AS shown, arg_max(proof, level) AS proof
+  FROM folded GROUP BY row, tree
+), folded_on AS (
+  SELECT f.row, r.idx, 0 AS level, f.shown, f.proof
+  FROM at_subroot f JOIN subroots r ON f.tree IS NOT DISTINCT FROM r.source
+  UNION ALL
+  SELECT f.row, f.idx // 3, f.level + 1, sha256(s.before || f.shown || s.after),
+    f.proof || s.before || s.after
+  FROM folded_on f JOIN top_siblings s ON f.level = s.level AND f.idx = s.idx
+), at_root AS (
+  SELECT row, arg_max(shown, level) AS shown, arg_max(proof, level) AS proof FROM folded_on GROUP BY row
+)
+SELECT l.doc_id, l.digest AS leaf, r.digest AS subroot, t.digest AS root,
+  sha256(a.proof) AS proof_sha256, a.shown AS folded_root, a.shown = t.digest AS verified
+FROM leaves l JOIN at_root a USING (row)
+JOIN subroots r ON l.tree IS NOT DISTINCT FROM r.source
+CROSS JOIN (SELECT digest FROM top WHERE n = 1) t
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", *_LEAF_FIELDS)
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    without_lines = F.replace("text", F.lit("\n"), F.lit(""))
+    found = merkle.manifest(docs, _LEAF_FIELDS, "doc_id", "source", even, {"text": without_lines})
+    return found.drop("grp").withColumnRenamed("id", "doc_id")
