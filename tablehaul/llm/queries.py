@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehaul.llm import (
-    chat, decontaminate, exact_dedup, langid, merkle, packing, pii, secrets, simhash, token_histogram,
+    chat, decontaminate, exact_dedup, keyed_ids, langid, merkle, packing, pii, secrets, simhash, token_histogram,
     warc,
 )
 from tablehaul.llm.common import documents, table
 from tablehaul.session import work_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -313,3 +314,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     without_lines = F.replace("text", F.lit("\n"), F.lit(""))
     found = merkle.manifest(docs, _LEAF_FIELDS, "doc_id", "source", even, {"text": without_lines})
     return found.drop("grp").withColumnRenamed("id", "doc_id")
+
+
+@query("op13_keyed_ids")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = keyed_ids.keyed(documents(spark, sf_dir), BYTE_TOKENIZER, with_ids=False)
+    return found.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
