@@ -59,111 +59,97 @@ def _byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-class ByteEncoder:
-    """Ids under one byte-level tokenizer file, packed as little-endian numbers.
+class WordMemory:
+    """What is known of the words of texts, as packed numbers, each word encoded once.
 
-    ``special_text``: special-token strings inside texts are ordinary text, not their ids.
+    ``by_chunk``: texts may be cut at single blanks, and ``by_word``: plain chunks at their words.
+    Texts with one of the ``special`` strings are taken whole.
     """
 
-    def __init__(self, path: str, special_text: bool = False):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+    by_chunk = by_word = True
+    special: list[str] = []
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = special_text
-        with open(path, encoding="utf-8") as f:
-            settings = json.load(f)
-        before = settings["pre_tokenizer"] or {}
-        self.by_chunk = (
-            settings["normalizer"] is None and before.get("type") == "ByteLevel"
-            and before.get("use_regex", True) and not before.get("add_prefix_space")
-        )
-        self.special = [] if special_text else [t["content"] for t in settings["added_tokens"]]
-        most = max([*self.tokenizer.get_vocab().values(), 0])
-        self.dtype = np.dtype("<u2" if most < 1 << 16 else "<u4")
-        self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.table = str.maketrans({chr(b): c for b, c in enumerate(self.letters)})
-        self.structs = [struct.Struct(f"<{n}{'H' if most < 1 << 16 else 'I'}") for n in range(LONG)]
-        #: Ids of words behind a blank, without it, and of other words.
+    def __init__(self):
+        #: Numbers of words behind a blank, without it, and of other words.
         self.behind: dict[str, bytes] = {}
         self.others: dict[str, bytes] = {}
 
-    def _pack(self, ids: list[int]) -> bytes:
-        n = len(ids)
-        return self.structs[n].pack(*ids) if n < LONG else np.array(ids, self.dtype).tobytes()
+    def encoded_word(self, word: str, blank: str) -> bytes:
+        """Numbers of one word of the tokenizer's pattern, behind a blank or nothing."""
+        raise NotImplementedError
 
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def encoded(self, text: str) -> bytes:
+        """Numbers of any text that can be taken by itself."""
+        raise NotImplementedError
+
+    def forget(self) -> None:
+        """Begin anew where the memory is full."""
+        for memory in (self.behind, self.others):
+            if len(memory) > MEMORY:
+                memory.clear()
 
     def word(self, word: str, blank: str) -> bytes:
-        """Ids of one word of the tokenizer's pattern, behind a blank or nothing."""
         known = self.behind if blank else self.others
-        ids = known.get(word)
-        if ids is None:
-            written = word if word.isalpha() and word.isascii() else (
-                word.encode().decode("latin-1").translate(self.table)
-            )
-            ids = self._pack([t.id for t in self.model.tokenize(
-                self.letters[32] + written if blank else written
-            )])
+        found = known.get(word)
+        if found is None:
+            found = self.encoded_word(word, blank)
             if len(word) < LONG:
-                known[word] = ids
-        return ids
+                known[word] = found
+        return found
 
     def chunk(self, chunk: str, blank: str) -> bytes:
-        """Ids of a chunk behind a blank or nothing."""
-        if not PLAIN.fullmatch(chunk):
-            return self._pack(self.whole(blank + chunk))
+        """Numbers of a chunk behind a blank or nothing."""
+        if not self.by_word or not PLAIN.fullmatch(chunk):
+            return self.encoded(blank + chunk)
         first, *rest = WORD.findall(chunk)
-        ids = self.word(first, blank)
-        return ids + b"".join([self.word(w, "") for w in rest]) if rest else ids
-
-    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Remember the words among new chunks, and return the ids of all others."""
-        known, tokenize, blank = self.behind, self.model.tokenize, self.letters[32]
-        structs, others, ids = self.structs, {}, self.chunk
-        ends = {s: self.word(s, "") for s in ".,;:!?"}
-        mixed = []
+        found = self.word(first, blank)
+        return found + b"".join([self.word(w, "") for w in rest]) if rest else found
+
+    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Remember the words among new chunks, and return what is found of all others."""
+        known, word, others, mixed = self.behind, self.encoded_word, {}, []
+        ends = {s: self.word(s, "") for s in ".,;:!?"} if self.by_word else {}
         for c in chunks:
-            if c.isalpha() and c.isascii() and len(c) < LONG:
-                tokens = [t.id for t in tokenize(blank + c)]
-                known[c] = structs[len(tokens)].pack(*tokens)
+            if ends and c.isalpha() and c.isascii() and len(c) < LONG:
+                known[c] = word(c, " ")
             else:
                 mixed.append(c)
         for c in mixed:
-            word = c[:-1]
-            if c[-1] in ends and word.isalpha() and word.isascii():  # the commonest mixture
-                others[c] = self.word(word, " ") + ends[c[-1]]
+            start = c[:-1]
+            if c[-1:] in ends and start.isalpha() and start.isascii():  # the commonest mixture
+                others[c] = self.word(start, " ") + ends[c[-1]]
             else:
-                found = ids(c, " ")
+                found = self.chunk(c, " ")
                 if c not in known:
                     others[c] = found
         return others
 
-    def packed(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as numbers of ``dtype``."""
+    def packed(self, texts: list[str], behind: bool = False) -> list[bytes]:
+        """The numbers of each text; ``behind``: of each text behind a blank."""
         known = self.behind
-        for memory in (known, self.others):
-            if len(memory) > MEMORY:
-                memory.clear()
+        self.forget()
         split: list[list[str] | None] = []
         for t in texts:
-            special = not self.by_chunk or any(s in t for s in self.special)
-            split.append(None if special else t.split(" "))
-        firsts = [own.pop(0) if own else "" for own in split]
+            whole = not self.by_chunk or any(s in t for s in self.special)
+            split.append(None if whole else t.split(" "))
+        firsts = [own.pop(0) if own and not behind else "" for own in split]
         missing = set().union(*(own for own in split if own)).difference(known)
         odd = {c for c in missing if not c or c[0].isspace()}
-        if odd or "" in firsts:
+        if odd or not behind and "" in firsts:
             for i, own in enumerate(split):
-                if own is not None and (not firsts[i] or not odd.isdisjoint(own)):
+                if own is None or behind and odd.isdisjoint(own):
+                    continue
+                if behind:
+                    split[i] = blank_chunks(texts[i])
+                elif not firsts[i] or not odd.isdisjoint(own):
                     firsts[i], *split[i] = blank_chunks(texts[i])
             missing = set().union(*(own for own in split if own)).difference(known)
-        passing = self._learn(missing)
+        passing = self.learn(missing)
         known.update(passing)
         out = []
         for text, first, own in zip(texts, firsts, split):
             if own is None:
-                out.append(self._pack(self.whole(text)))
+                out.append(self.encoded(f" {text}" if behind else text))
             else:
                 first = self.chunk(first, "") if first else b""
                 out.append(first + b"".join(map(known.__getitem__, own)))
@@ -172,6 +158,52 @@ class ByteEncoder:
         return out
 
 
+class ByteEncoder(WordMemory):
+    """Ids under one byte-level tokenizer file, packed as little-endian numbers.
+
+    ``special_text``: special-token strings inside texts are ordinary text, not their ids.
+    """
+
+    def __init__(self, path: str, special_text: bool = False):
+        super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = special_text
+        with open(path, encoding="utf-8") as f:
+            settings = json.load(f)
+        before = settings["pre_tokenizer"] or {}
+        self.by_chunk = (
+            settings["normalizer"] is None and before.get("type") == "ByteLevel"
+            and before.get("use_regex", True) and not before.get("add_prefix_space")
+        )
+        self.special = [] if special_text else [t["content"] for t in settings["added_tokens"]]
+        most = max([*self.tokenizer.get_vocab().values(), 0])
+        self.dtype = np.dtype("<u2" if most < 1 << 16 else "<u4")
+        self.structs = [struct.Struct(f"<{n}{'H' if most < 1 << 16 else 'I'}") for n in range(LONG)]
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.table = str.maketrans({chr(b): c for b, c in enumerate(self.letters)})
+
+    def pack(self, ids: list[int]) -> bytes:
+        n = len(ids)
+        return self.structs[n].pack(*ids) if n < LONG else np.array(ids, self.dtype).tobytes()
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def word_ids(self, word: str, blank: str) -> list[int]:
+        if not (word.isalpha() and word.isascii()):
+            word = word.encode().decode("latin-1").translate(self.table)
+        return [t.id for t in self.model.tokenize(self.letters[32] + word if blank else word)]
+
+    def encoded_word(self, word: str, blank: str) -> bytes:
+        return self.pack(self.word_ids(word, blank))
+
+    def encoded(self, text: str) -> bytes:
+        return self.pack(self.whole(text))
+
+
 def byte_encoder(path: str) -> ByteEncoder:
     """The encoder of a tokenizer file in a Python worker."""
     return worker_model(("byte encoder", path), lambda: ByteEncoder(path))

@@ -9,14 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablehaul.llm import (
-    chat, decontaminate, exact_dedup, keyed_ids, langid, merkle, packing, pii, secrets, simhash, token_histogram,
-    warc,
+    alignment, chat, decontaminate, exact_dedup, keyed_ids, langid, merkle, packing, pii, secrets, simhash,
+    token_histogram, warc,
 )
 from tablehaul.llm.common import documents, table
 from tablehaul.session import work_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -233,6 +234,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(documents(spark, sf_dir), BYTE_TOKENIZER, PIECE_TOKENIZER)
+
+
 _LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
