@@ -12,8 +12,10 @@ from pyspark.sql.types import StructType
 
 from tablehaul import fixed_values as fv
 from tablehaul.operators.conform import append_columns, row_transform
+from tablehaul.operators.joins import estimated_bytes
 from tablehaul.sources.files import stage_export, stage_path
 from tablehaul.sources.ledger import Ledger
+from tablehaul.sources.load import LEAST_STEPS, stream_load
 
 RESULT = (
     "table_name string, strategy string, source_rows bigint, target_rows bigint, "
@@ -46,7 +48,7 @@ class Migration:
 
     Every copy overwrites its folder, so running a migration again repeats no row. A failing
     table ends the run; the tables after it stay pending. With a ``ledger`` path the run
-    leaves its events there.
+    leaves its events there, also while a staged table is loaded.
     """
 
     def __init__(
@@ -106,18 +108,18 @@ class Migration:
         return self.spark.createDataFrame(rows, RESULT)
 
     def _register(self, plan: TablePlan) -> bool:
-        """Announce a table with its strategy and rows; returns whether it is staged.
+        """Announce a table with its strategy; returns whether it is staged.
 
-        A count that fails is only a warning here: the copy will tell.
+        Only a table whose strategy is left open is counted, since the copy counts the rows
+        anyway. A count that fails is only a warning here: the copy will tell.
         """
-        try:
-            total = plan.source.count()
-        except Exception as e:  # noqa: BLE001
-            total = None
-            self.ledger.add("log", table=plan.name, error=f"row count failed: {e}")
-        staged = plan.strategy == "staged" or (
-            plan.strategy == "auto" and (total or 0) > fv.STAGE_ROWS_THRESHOLD
-        )
+        total = None
+        if plan.strategy == "auto":
+            try:
+                total = plan.source.count()
+            except Exception as e:  # noqa: BLE001
+                self.ledger.add("log", table=plan.name, error=f"row count failed: {e}")
+        staged = plan.strategy == "staged" or (total or 0) > fv.STAGE_ROWS_THRESHOLD
         self.ledger.add(
             "table_registered", table=plan.name, total_rows=total, strategy=_named(staged)
         )
@@ -160,15 +162,23 @@ class Migration:
         phase("unloading")
         seen = Observation()
         source = plan.source.observe(seen, F.count(F.lit(1)).alias("rows"))
-        stats = stage_export(source, self.stage, self.run_id, plan.name).first()
-        size = {"total_bytes": stats["total_bytes"]}
+        # An estimate is enough to cut a small table into some files; a large one has many anyway.
+        rows = estimated_bytes(plan.source) // max(1, plan.source._jdf.schema().defaultSize())
+        per_file = max(1, min(rows // (4 * LEAST_STEPS), 2**31 - 1))
+        stats = stage_export(source, self.stage, self.run_id, plan.name, rows_per_file=per_file).first()
+        size = {"total_bytes": stats["total_bytes"], "total_rows": seen.get["rows"]}
         phase("staged", file_count=stats["file_count"], **size)
         phase("loading", **size)
-        self.ledger.add("bytes_progress", table=plan.name, bytes_done=0, **size)
-        self.ledger.flush()
-        staged = self.spark.read.parquet(stage_path(self.stage, self.run_id, plan.name))
-        plan.shaped(staged).write.mode("overwrite").parquet(self._path(plan))
-        self.ledger.add("bytes_progress", table=plan.name, bytes_done=stats["total_bytes"], **size)
+
+        def progress(rows: int, done: int) -> None:
+            self.ledger.add("bytes_progress", table=plan.name, bytes_done=done, rows=rows, **size)
+            self.ledger.flush()
+
+        progress(0, 0)
+        stream_load(
+            self.spark, stage_path(self.stage, self.run_id, plan.name), self._path(plan),
+            plan.shaped, stats["file_count"], stats["total_bytes"], progress,
+        )
         phase("validating")
         return seen.get["rows"], stats["total_bytes"]
 
