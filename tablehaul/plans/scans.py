@@ -50,6 +50,52 @@ def scan_pipe_delimited(t: Tables) -> DataFrame:
     return read.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
+#: How customers are written by key: whole, without end, short, with a word for the balance, with
+#: a further field, and with a quote in the name, which is ordinary text there.
+LINE_FORMS = ["whole", "no end", "short", "word", "long", "quote"]
+
+
+@query("scan_pipe_rejects", """
+    SELECT outcome, CAST(count(*) AS BIGINT) AS "rows", CAST(sum(c_custkey) AS BIGINT) AS keys,
+           CAST(sum(balance) AS DOUBLE) AS balance
+    FROM (SELECT c_custkey, CASE c_custkey % 6 WHEN 2 THEN '3 fields instead of 5'
+                   WHEN 3 THEN 'c_acctbal: ''n/a'' is no decimal(12,2)'
+                   WHEN 4 THEN '6 fields instead of 5' ELSE 'row' END AS outcome,
+                 CASE WHEN c_custkey % 6 IN (0, 1, 5) THEN c_acctbal END AS balance
+          FROM customer_v) GROUP BY outcome""")
+def scan_pipe_rejects(t: Tables) -> DataFrame:
+    """Lines of several forms read without quoting: rows, and a table of rejected lines."""
+    root = work_path(t.spark, "customer-lines")
+    customers = t.customer().select(
+        "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"),
+        "c_mktsegment",
+    )
+    form = F.element_at(F.array(*map(F.lit, LINE_FORMS)), (F.col("c_custkey") % 6 + 1).cast("int"))
+    text = {c: F.col(c).cast("string") for c in customers.columns}
+    name = F.when(form == "quote", F.concat(F.lit('"'), text["c_name"])).otherwise(text["c_name"])
+    balance = F.when(form == "word", "n/a").otherwise(text["c_acctbal"])
+    head = F.concat_ws("|", text["c_custkey"], name, text["c_nationkey"])
+    line = (
+        F.when(form == "short", F.concat(head, F.lit("|")))
+        .when(form == "no end", F.concat_ws("|", head, balance, "c_mktsegment"))
+        .when(form == "long", F.concat_ws("|", head, balance, "c_mktsegment", F.lit("more|")))
+        .otherwise(F.concat_ws("|", head, balance, "c_mktsegment", F.lit("")))
+    )
+    customers.select(line).write.text(f"{root}/lines")
+    rows = files.read_pipe_delimited(
+        t.spark, f"{root}/lines", customers.schema, quote="", rejects=f"{root}/rejects"
+    )
+    bad = t.spark.read.parquet(f"{root}/rejects")
+    key = F.split("line", r"\|")[0].cast("long")
+    both = rows.select(F.lit("row").alias("outcome"), "c_custkey", "c_acctbal").unionByName(
+        bad.select(F.col("reason").alias("outcome"), key.alias("c_custkey")), allowMissingColumns=True
+    )
+    return both.groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("c_custkey").alias("keys"),
+        F.sum("c_acctbal").cast("double").alias("balance"),
+    )
+
+
 def _slices_sql(view: str, key: str, with_rows: bool) -> str:
     return f"""
     WITH b AS (SELECT min({key}) AS lo, max({key}) AS hi FROM {view}),

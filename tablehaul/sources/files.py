@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tablehaul.operators.conform import append_columns
 
 TRAILING = "_after_last_delimiter"
+REASON = "_reject_reason"
 
 
 def scan_query(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
@@ -22,10 +24,101 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def read_pipe_delimited(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Headerless ``|``-separated text whose lines end with a delimiter."""
-    padded = StructType([*schema.fields, StructField(TRAILING, StringType())])
-    return spark.read.csv(path, schema=padded, sep="|", encoding="ISO-8859-1").drop(TRAILING)
+def scan_delimited(
+    spark: SparkSession, path: str, schema: StructType, quote: str = '"', sep: str = "|",
+    encoding: str = "ISO-8859-1",
+) -> tuple[DataFrame, DataFrame]:
+    """Headerless delimited text as (rows, rejects).
+
+    Lines may end with a delimiter. Rejects are the lines that do not fit: ``file, line, reason``,
+    for lines with another number of fields, a quote that is not closed, or a value that its
+    column's type cannot hold. Every line is in exactly one of both. ``quote=""`` takes quotes as
+    ordinary characters. Empty fields are NULL, and empty lines are skipped.
+    """
+    return _told_lines(spark, path, schema, quote, sep, encoding)[1:]
+
+
+def _told_lines(
+    spark: SparkSession, path: str, schema: StructType, quote: str, sep: str = "|",
+    encoding: str = "ISO-8859-1",
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All lines with the reason against them, the rows, and the rejects."""
+    names = schema.names
+    line, file, behind, bare, values, wrong = (
+        _unused(names, n) for n in ("_line", "_file", "_behind", "_bare", "_values", "_wrong")
+    )
+    options = {
+        "sep": sep, "quote": quote, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": line,
+    }
+    corrupt = StructField(line, StringType())
+    # What stands behind the last delimiter is no truth value, so anything there is corrupt.
+    padded = StructType([*schema.fields, StructField(TRAILING, BooleanType()), corrupt])
+    read = (
+        spark.read.options(**options).csv(path, schema=padded, encoding=encoding)
+        .withColumn(file, F.col("_metadata.file_path"))
+    )
+    # Lines that Spark calls corrupt are looked at once more, as texts: with a field behind the
+    # last delimiter, which has to be empty, or without one.
+    texts = [StructField(n, StringType()) for n in names]
+
+    def again(*fields: StructField) -> Column:
+        return F.from_csv(line, StructType([*texts, *fields, corrupt]).toDDL(), options)
+
+    told = read.withColumns({behind: again(StructField(TRAILING, StringType())), bare: again()})
+    ended = F.col(behind)[line].isNull() & F.col(behind)[TRAILING].isNull()
+    told = told.withColumn(values, F.when(F.col(line).isNull(), None).otherwise(
+        F.when(ended, F.struct(*[F.col(behind)[n] for n in names]))
+        .when(F.col(bare)[line].isNull(), F.struct(*[F.col(bare)[n] for n in names]))
+    ))
+    told = told.withColumn(wrong, F.array_compact(F.array(*[
+        F.when(
+            F.col(values)[n].isNotNull() & F.col(n).isNull(),
+            F.format_string(f"{n}: '%s' is no {f.dataType.simpleString()}", F.col(values)[n]),
+        )
+        for n, f in zip(names, schema.fields)
+    ])))
+    parts = F.size(F.split(line, re.escape(sep)))
+    parts = F.when(F.endswith(F.col(line), F.lit(sep)), parts - 1).otherwise(parts)
+    open_quote = F.lit(False)
+    if quote:
+        quotes = F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))
+        open_quote = F.pmod(quotes, F.lit(2)) == 1
+    told = told.withColumn(REASON, F.when(
+        F.col(line).isNull(),
+        F.when(F.col(TRAILING).isNotNull(), F.lit(f"{len(names) + 1} fields instead of {len(names)}")),
+    ).when(open_quote, "a quote is not closed").when(
+        F.col(values).isNull(), F.format_string(f"%d fields instead of {len(names)}", parts)
+    ).when(F.size(wrong) > 0, F.array_join(wrong, "; ")))
+    shown = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n in (*names, TRAILING)]
+    rejects = told.filter(F.col(REASON).isNotNull()).select(
+        F.col(file).alias("file"), F.coalesce(line, F.concat_ws(sep, *shown)).alias("line"),
+        F.col(REASON).alias("reason"),
+    )
+    return told, told.filter(F.col(REASON).isNull()).select(*names), rejects
+
+
+def _unused(names: list[str], name: str) -> str:
+    taken = {n.lower() for n in names}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def read_pipe_delimited(
+    spark: SparkSession, path: str, schema: StructType, quote: str = '"', rejects: str | None = None,
+) -> DataFrame:
+    """Headerless ``|``-separated text whose lines may end with a delimiter.
+
+    With a ``rejects`` folder, lines that do not fit are written there as a table of ``file, line,
+    reason`` and left out. Without one, a query that reads such a line fails with its reason.
+    """
+    told, rows, bad = _told_lines(spark, path, schema, quote)
+    if rejects is None:
+        message = F.concat(F.lit("bad line: "), F.col(REASON))
+        fits = F.when(F.col(REASON).isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+        return told.filter(fits).select(*schema.names)
+    bad.write.mode("overwrite").parquet(rejects)
+    return rows
 
 
 def write_pipe_delimited(df: DataFrame, path: str) -> None:
