@@ -137,10 +137,21 @@ def bytes_rate(events: DataFrame) -> DataFrame:
     )
 
 
+#: Events that may say how many rows a table has.
+TELL_TOTALS = ("table_registered", "phase_started", "bytes_progress", "table_done")
+
+
 def registered_totals(events: DataFrame) -> DataFrame:
-    """``run_id, table, total_rows`` of every table from its last registration."""
-    known = parsed(events.filter("kind = 'table_registered'"), "table", "total_rows")
-    return known.groupBy("run_id", "table").agg(F.max_by("total_rows", "id").alias("total_rows"))
+    """``run_id, table, total_rows`` of every registered table.
+
+    A registration need not know the rows; the last event of the table that does decides.
+    """
+    known = parsed(events.filter(F.col("kind").isin(*TELL_TOTALS)), "table", "total_rows")
+    told = F.when(F.col("total_rows").isNotNull(), F.col("id"))
+    return known.groupBy("run_id", "table").agg(
+        F.max_by("total_rows", told).alias("total_rows"),
+        F.count_if(F.col("kind") == "table_registered").alias("_registered"),
+    ).filter("_registered > 0").drop("_registered")
 
 
 def run_tables(events: DataFrame, totals: DataFrame) -> DataFrame:
