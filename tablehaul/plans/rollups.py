@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.catalog import Tables
+from tablehaul.functions.scalars import yyyymm
 from tablehaul.operators.change import cdc_apply as apply_changes
 from tablehaul.operators.change import dedup_latest as newest_rows
 from tablehaul.operators.rollup import (
-    Rollup, rollup_build as build, rollup_compact as compact, rollup_merge as merge,
+    Rollup, rollup_build as build, rollup_merge as merge,
 )
 from tablehaul.plans.specs import DAILY_STATS, ORDER_SUMMARY
 from tablehaul.registry import query
 from tablehaul.session import work_path
+from tablehaul.sources.buckets import BucketedTable
 from tablehaul.sources.layout import current_version, replace_version
+from tablehaul.sources.states import compact_folders
 
 SUMMARY_SQL = """
     SELECT order_day, o_orderpriority, CAST(order_count AS BIGINT) AS order_count,
@@ -103,8 +108,15 @@ def rollup_backfill(t: Tables) -> DataFrame:
 
 @query("rollup_compact", SUMMARY_SQL)
 def rollup_compact(t: Tables) -> DataFrame:
-    """State rows of several inserts folded to one row per key."""
-    return shown(compact(batches(t), ORDER_SUMMARY))
+    """State rows of several inserts in month folders; only months in which keys repeat are
+    folded, one row per key, and written again."""
+    path = work_path(t.spark, "rollup-compact")
+    by_month = batches(t).withColumn("ym", yyyymm("order_day"))
+    by_month.repartition("ym").write.partitionBy("ym").parquet(path)
+    compact_folders(t.spark, path, ORDER_SUMMARY, "ym")
+    folded = t.spark.read.parquet(path)
+    # Nothing is merged by the reader any more.
+    return shown(folded.drop("ym"))
 
 
 @query("rollup_refresh_full", SUMMARY_SQL)
@@ -144,3 +156,15 @@ def balance_as_double(df: DataFrame) -> DataFrame:
 @query("cdc_apply", CDC_SQL)
 def cdc_apply(t: Tables) -> DataFrame:
     return balance_as_double(apply_changes(t.cdc_base(), t.changes(), ["key"], "version", "op"))
+
+
+@query("cdc_apply_stored", CDC_SQL)
+def cdc_apply_stored(t: Tables) -> DataFrame:
+    """The same changes applied to a stored table in two batches, the later versions first."""
+    root = work_path(t.spark, "cdc-stored")
+    table = BucketedTable(t.spark, f"cdc_{uuid.uuid4().hex[:8]}", root, ["key"], "version")
+    table.create(t.cdc_base())
+    late = F.col("version") % 3 == 0
+    for part in (t.changes().filter(late), t.changes().filter(~late)):
+        table.apply(part, "op")
+    return balance_as_double(table.read())

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.catalog import AS_OF_EVENTS, Tables, ts_lit
+from tablehaul.functions.scalars import yyyymm
 from tablehaul.operators import progress
 from tablehaul.plans.ledger import KPIS_SQL, ROWS_PER_BATCH
 from tablehaul.plans.rollups import CDC_SQL, SUMMARY_SQL, balance_as_double, shown
 from tablehaul.plans.specs import ORDER_SUMMARY
 from tablehaul.registry import query
 from tablehaul.session import work_path
+from tablehaul.sources.buckets import BucketedTable
 from tablehaul.streaming import jobs
 
 
@@ -41,7 +45,18 @@ def stream_rollup(t: Tables) -> DataFrame:
 
 @query("stream_cdc", CDC_SQL)
 def stream_cdc(t: Tables) -> DataFrame:
+    """Changes applied to a stored table, of which each batch rewrites the buckets it touches."""
     root = work_path(t.spark, "stream-cdc")
+    table = BucketedTable(t.spark, f"cdc_{uuid.uuid4().hex[:8]}", f"{root}/table", ["key"], "version")
+    table.create(t.cdc_base())
+    jobs.stream_cdc_table(arriving(t).changes(), table, "op", f"{root}/checkpoint").awaitTermination()
+    return balance_as_double(table.read())
+
+
+@query("stream_cdc_log", CDC_SQL)
+def stream_cdc_log(t: Tables) -> DataFrame:
+    """The newest changes kept as a log, which readers merge into the base table."""
+    root = work_path(t.spark, "stream-cdc-log")
     jobs.stream_cdc(
         arriving(t).changes(), ["key"], "version", "op", f"{root}/log", f"{root}/checkpoint"
     ).awaitTermination()
@@ -54,7 +69,8 @@ def stream_cdc(t: Tables) -> DataFrame:
 def stream_refresh_lagged(t: Tables) -> DataFrame:
     root = work_path(t.spark, "stream-refresh")
     jobs.stream_refresh_lagged(
-        arriving_orders(t), ORDER_SUMMARY, root, f"{root}/checkpoint", lag=None
+        arriving_orders(t), ORDER_SUMMARY, root, f"{root}/checkpoint", lag=None,
+        folder=yyyymm("order_day"),
     ).awaitTermination()
     return shown(jobs.read_refreshed(t.spark, root))
 

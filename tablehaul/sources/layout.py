@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablehaul.functions.scalars import hashable_columns, yyyymm
 from tablehaul.session import delete_path
@@ -117,3 +119,77 @@ def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
 def current_version(spark: SparkSession, root: str) -> DataFrame:
     """The newest announced version of a table written by ``replace_version``."""
     return newest_version(spark, root)[1]
+
+
+FOLDER = "_folder"
+ANNOUNCED = "version bigint, folder string, path string"
+
+
+def _announced(spark: SparkSession, root: str) -> list:
+    """All announcements of a foldered table, one row per version and folder; few versions stay."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/versions")
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return []
+    return spark.read.schema(ANNOUNCED).parquet(f"{root}/versions").collect()
+
+
+def newest_folders(spark: SparkSession, root: str, below: int | None = None) -> dict[str, str]:
+    """Folder names and paths of the newest version written by ``replace_folders``, or of the
+    newest one below a number."""
+    rows = [r for r in _announced(spark, root) if below is None or r["version"] < below]
+    newest = max((r["version"] for r in rows), default=None)
+    return {r["folder"]: r["path"] for r in rows if r["version"] == newest and r["path"]}
+
+
+def read_folders(
+    spark: SparkSession, root: str, schema: StructType, below: int | None = None,
+    only: list[str] | None = None,
+) -> DataFrame:
+    """Rows of the newest version (see ``newest_folders``); ``only``: of these folders."""
+    folders = newest_folders(spark, root, below)
+    paths = [p for f, p in folders.items() if only is None or f in set(only)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def replace_folders(df: DataFrame, root: str, version: int, touched: list[str]) -> None:
+    """A new version of a table in which only the ``touched`` folders are written anew.
+
+    ``df`` has the rows of those folders and says which in a string column ``_folder``. All other
+    folders are those of the newest version before, referenced and not copied. As with
+    ``replace_version``, readers follow the announcements and a version may be written again.
+    """
+    spark = df.sparkSession
+    data = f"{root}/data-{version}-{uuid.uuid4().hex[:8]}"
+    # Any text may name a folder; the file system sees its hash.
+    placed = df.withColumn(FOLDER, F.sha1(FOLDER))
+    # Rebalancing gives small folders one file and shares a large one among tasks.
+    placed.hint("rebalance", FOLDER).write.mode("overwrite").partitionBy(FOLDER).parquet(data)
+    written = _children(spark, data)
+    place = {f: f"{FOLDER}={hashlib.sha1(f.encode()).hexdigest()}" for f in touched}
+    kept = {f: p for f, p in newest_folders(spark, root, below=version).items() if f not in place}
+    kept |= {f: f"{data}/{p}" for f, p in place.items() if p in written}
+    # A version of no folder is announced too.
+    rows = [(version, f, p) for f, p in sorted(kept.items())] or [(version, None, None)]
+    announced = spark.createDataFrame(rows, ANNOUNCED)
+    announced.coalesce(1).write.mode("overwrite").parquet(f"{root}/versions/n={version}")
+
+
+def _children(spark: SparkSession, path: str) -> set[str]:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in store.listStatus(at)} if store.exists(at) else set()
+
+
+def drop_folders(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Delete all but the newest versions and the folders that only those held."""
+    rows = _announced(spark, root)
+    numbers = sorted({r["version"] for r in rows}, reverse=True)
+    held = {r["path"] for r in rows if r["version"] in numbers[:keep] and r["path"]}
+    used = {p.rsplit("/", 1)[0] for p in held}
+    old = {r["path"] for r in rows if r["path"]} - held
+    for path in {p if p.rsplit("/", 1)[0] in used else p.rsplit("/", 1)[0] for p in old}:
+        delete_path(spark, path)
+    for number in numbers[keep:]:
+        delete_path(spark, f"{root}/versions/n={number}")

@@ -9,16 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablehaul.operators.change import cdc_apply, dedup_latest, latest_changes
 from tablehaul.operators.progress import kpis, parsed_once, run_states, run_tables
 from tablehaul.operators.rollup import Rollup, rollup_build, rollup_compact, rollup_merge
-from tablehaul.session import delete_path, work_tables
+from tablehaul.session import delete_path, saved, work_tables
+from tablehaul.sources.buckets import BucketedTable
 from tablehaul.sources.layout import (
-    current_version, drop_versions, newest_version, replace_version,
+    FOLDER, current_version, drop_folders, drop_versions, newest_version, read_folders,
+    replace_folders, replace_version,
 )
 
 BATCH = "batch_id"
@@ -120,31 +122,55 @@ def read_cdc(
     return cdc_apply(base, read_batches(spark, log), keys, version, op)
 
 
+def stream_cdc_table(
+    changes: DataFrame, table: BucketedTable, op: str, checkpoint: str, every: str | None = None,
+) -> StreamingQuery:
+    """Apply each batch of changes to a stored table; only the buckets it touches are rewritten.
+
+    A batch that runs again finds nothing newer than what it has stored.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        with work_tables(batch.sparkSession):
+            table.apply(batch, op)
+
+    return _start(changes, handle, checkpoint, every)
+
+
 def stream_refresh_lagged(
-    stream: DataFrame, spec: Rollup, root: str, checkpoint: str, lag: str | None = "1 hour"
+    stream: DataFrame, spec: Rollup, root: str, checkpoint: str, lag: str | None = "1 hour",
+    folder: Column | None = None,
 ) -> StreamingQuery:
     """A table that is at most ``lag`` behind: new states, then a new version of the result.
 
-    Each batch merges its states with the compacted states of the batches before it, so its
-    work follows the number of keys, not the age of the stream.
+    ``folder`` is computed from the rollup's keys (such as a day or month) and cuts states and
+    results into folders. A batch merges its states with those of the folders it touches and
+    writes these folders only; a version references all others as they are. Without it everything
+    lies in one folder. So a batch's work follows the folders it touches, not the table.
     """
     states, table = f"{root}/states", f"{root}/table"
+    named = F.lit("all") if folder is None else F.coalesce(folder.cast("string"), F.lit(""))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark, new = batch.sparkSession, rollup_build(batch, spec)
-        if batch_id > 0:
-            new = new.unionByName(newest_version(spark, states, below=batch_id)[1])
-        replace_version(rollup_compact(new, spec), states, batch_id)
-        replace_version(rollup_merge(current_version(spark, states), spec), table, batch_id)
+        spark = batch.sparkSession
+        with work_tables(spark):
+            new = saved(rollup_build(batch, spec), "batch-states")
+            touched = [r[0] for r in new.select(named.alias(FOLDER)).distinct().collect()]
+            old = read_folders(spark, states, new.schema, below=batch_id, only=touched)
+            both = saved(rollup_compact(new.unionByName(old), spec), "folder-states")
+            replace_folders(both.withColumn(FOLDER, named), states, batch_id, touched)
+            result = rollup_merge(both, spec)
+            replace_folders(result.withColumn(FOLDER, named), table, batch_id, touched)
+            if batch_id == 0:  # readers learn the columns from it
+                result.limit(0).write.mode("overwrite").parquet(f"{root}/columns")
         # A batch that runs again needs the version before it, so two stay.
-        drop_versions(spark, states)
-        drop_versions(spark, table)
+        drop_folders(spark, states)
+        drop_folders(spark, table)
 
     return _start(stream, handle, checkpoint, lag)
 
 
 def read_refreshed(spark: SparkSession, root: str) -> DataFrame:
-    return current_version(spark, f"{root}/table")
+    return read_folders(spark, f"{root}/table", spark.read.parquet(f"{root}/columns").schema)
 
 
 def stream_events_tail(
