@@ -92,9 +92,9 @@ WITH turns AS (
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
 )
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
     AS loss_sha256,
   sum(24 + length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|')))::BIGINT
     AS formatted_chars
@@ -111,7 +111,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         for role, turn in _EXTRA_TURNS
     ])
     turns = turns.unionByName(spark.range(1).select(F.explode(extra).alias("e")).select("e.*"))
-    read = chat.read_back(chat.format_conversations(chat.as_events(turns)))
+    read = chat.read_back(chat.format_conversations(chat.as_streamed_events(turns)))
     lines = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
@@ -120,7 +120,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_sha256(lines).alias("turns_sha256"),
         F.length("loss_text").cast("long").alias("loss_chars"),
         hex_sha256(F.col("loss_text")).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+        "formatted_chars",
     )
 
 

@@ -1,4 +1,5 @@
 import io
+import time
 import zlib
 
 import pytest
@@ -46,6 +47,7 @@ EVENTS = [
     (1, 2, 9, "message", "tool", "x"), (1, 2, 10, "message", "tool", "y"), (1, 2, 10, "message", "tool", "y"),
     (2, 0, 1, "delta", "assistant", "no start"), (2, None, None, "message", None, None),
     (None, 0, 1, "message", "assistant", "z" * 100_000), (None, 0, 1, "delta", None, "<\\|\\<|\\\\|"),
+    (4, 0, 1, "message", "\x00n", "\x00"), (4, 1, 1, "message", "\\bn\\n\n\\", "q"), (4, 2, 1, "message", "<\\|<|", ""),
     (3, 0, 1, "message", "we\\n\nird<|im_start|>\\", "a\nb"), (3, 1, 2, "message", "assistant", "<" + "\\" * 9 + "|é語😀"),
 ]
 
@@ -68,6 +70,45 @@ def test_events_are_folded_rendered_and_read_back(spark):
     assert chat.format_conversations(df.limit(0)).count() == 0
 
 
+TURNS = [
+    (1, 0, "user", "What?"), (1, 1, "assistant", "a long answer, " * 20), (1, 1, "assistant", "b"),
+    (1, 1, "assistant", "b"), (1, None, None, None), (2, 0, "assistant", "xé😀"), (None, 3, "tool", "y"),
+]
+
+
+def test_streamed_logs_fold_to_the_same_turns(spark):
+    turns = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    log = chat.as_streamed_events(turns)
+    assert {r["op"] for r in log.collect()} == {"message", "delta", "edit", "regenerate"}
+    assert log.count() == 6 * len(TURNS)
+    shown = [
+        {r["conv_id"]: [(t["role"], t["text"]) for t in r["turns"]] for r in
+         chat.read_back(chat.format_conversations(events)).collect()}
+        for events in (log, chat.as_events(turns))
+    ]
+    assert shown[0] == shown[1]
+    assert shown[0][1] == [("", ""), ("user", "What?"), ("assistant", "a long answer, " * 20),
+                           ("assistant", "b"), ("assistant", "b")]
+
+
+@pytest.mark.parametrize("shape", ["turns", "one slot"])
+def test_time_is_linear_in_a_conversation(spark, shape):
+    def seconds(n):
+        events = spark.range(n).select(
+            F.lit(1).alias("conv_id"), (F.lit(0) if shape == "one slot" else F.col("id")).alias("slot"),
+            F.col("id").alias("seq"), F.lit("message").alias("op"), F.lit("assistant").alias("role"),
+            F.concat(F.lit("some text "), "id").alias("text"),
+        )
+        start = time.perf_counter()
+        row = chat.read_back(chat.format_conversations(events)).select(F.size("turns"), F.length("loss_text")).first()
+        assert row[0] == n and row[1] > 10 * n
+        return time.perf_counter() - start
+
+    seconds(100)
+    small, large = (min(seconds(n) for _ in range(2)) for n in (10_000, 60_000))
+    assert large < small * 6 ** 1.3
+
+
 def test_chat_plan_is_native(spark):
     text = QUERIES["op3_chat_format"](spark, f"{DATA}/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text and "ExistingRDD" not in text
