@@ -138,22 +138,48 @@ def plain_phrases(text, sample):
     return count
 
 
-@pytest.mark.parametrize("size", [1, 50, 1024])
+@pytest.mark.parametrize("size", [1, 2, 7, 50, 1024])
 def test_phrases_are_longest_matches(monkeypatch, size):
+    """Blocks and parts change nothing: the phrases are those of whole texts."""
     monkeypatch.setattr(langid, "BLOCK", size)
     rng = random.Random(4)
     make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
-    samples = {"x": make("abc ", 500), "y": make("cde ", 300), "z": make("ab", 3)}
+    samples = {"x": make("abc ", 500), "y": make("cde ", 300), "z": make("ab", 3), "w": "ab" * 200 + "c" * 90}
     parser = langid.CrossParser(samples)
     code = {p: parser.alphabet.encode(t) for p, t in samples.items()}
-    texts = [make("abcdef ", rng.randrange(1, 400)) for _ in range(40)]
+    texts = [make("abcdef ", rng.randrange(1, 400)) for _ in range(40)] + ["ab" * 150, "c" * 80 + "ab" * 90]
     pieces = [parser.alphabet.encode(t) for t in texts]
-    got = parser.phrases(pieces)
-    for i, lang in enumerate(parser.languages):
-        sample = code[lang].tobytes()
-        for j, piece in enumerate(pieces):
-            blocks = [piece[a:a + size].tobytes() for a in range(0, len(piece), size)]
-            assert got[i, j] == sum(plain_phrases(b, sample) for b in blocks)
+    want = [[plain_phrases(p.tobytes(), code[x].tobytes()) for p in pieces] for x in parser.languages]
+    assert parser.phrases(pieces)[0].tolist() == want
+    for most in (1, 3, 90):
+        for j, text in enumerate(texts[-12:], len(texts) - 12):
+            total, n = parser._long(text.lower(), most)
+            assert n == len(pieces[j]) and total.tolist() == [w[j] for w in want]
+
+
+def test_numerals_are_no_letters(spark, docs):
+    samples = {"en": "the cat and the dog " * 40}
+    texts = ["½ ²", "①", "Ⅷ", "٣", "x²", "ª", "ⅷ 12", "\u0301", "_"]
+    found = docs([*enumerate(texts)]).select(
+        "doc_id", langid.identified(F.col("text"), samples)["lang"].alias("lang"),
+        langid.has_letter(F.col("text")).alias("speaks"),
+    )
+    got = {texts[r.doc_id]: (r.lang, r.speaks) for r in found.collect()}
+    assert {t for t in texts if got[t] == ("en", True)} == {"x²", "ª"}
+    assert all(got[t] == ("und", False) for t in texts if t not in ("x²", "ª"))
+
+
+def test_labels_are_bounded_by_frequency(spark):
+    rows = [(i, f"text {chr(97 + i % 26)} of {lang}", lang) for i in range(40) for lang in ("aa", "bb", "cc")[:1 + i % 3]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.warns(UserWarning, match="1 rare labels with 13 rows"):
+        assert list(langid.samples_of(df, most_labels=2)) == ["aa", "bb"]
+
+
+def test_samples_of_many_texts_come_from_below_a_threshold(spark):
+    df = spark.range(20_000).selectExpr("id AS doc_id", "concat('word', id, ' here') AS text", "'en' AS lang")
+    one, two = (langid.samples_of(df.repartition(n)) for n in (2, 7))
+    assert one == two and one["en"].count("here") == langid.SAMPLE_ROWS
 
 
 def test_every_letter_of_the_samples_has_its_own_code(monkeypatch):
@@ -177,7 +203,7 @@ def test_every_letter_of_the_samples_has_its_own_code(monkeypatch):
         pieces = [parser.alphabet.encode(t) for t in texts]
         own = {x: "".join(map(chr, parser.alphabet.encode(t))) for x, t in samples.items()}
         want = [[plain_phrases("".join(map(chr, p)), own[x]) for p in pieces] for x in parser.languages]
-        assert parser.phrases(pieces).tolist() == want
+        assert parser.phrases(pieces)[0].tolist() == want
         assert parser.identify(texts[-4:])[0] == ["zh", "ja", "EL", "en"]
 
 
