@@ -62,33 +62,51 @@ FACTS = (
     "table_name string, rows long, total decimal(38,4), first timestamp_ntz, last timestamp_ntz, "
     "nulls long, error string"
 )
-#: Tables whose facts are read at the same time.
+#: Tables whose facts are read at the same time when not all can be read together.
 AT_ONCE = 4
 
 
-def _side(spark: SparkSession, checks: list[TableCheck], which: str) -> DataFrame:
-    """Facts of all tables of one side, one row each.
+def _reason(error: Exception) -> str:
+    if isinstance(error, PySparkException):
+        return error.getCondition() or type(error).__name__
+    java = error.java_exception
+    reason = java.getCondition() if hasattr(java, "getCondition") else None
+    return reason or java.getClass().getSimpleName()
 
-    Every table is read by a job of its own: one that cannot be opened or read becomes an
-    error row and leaves the others alone.
+
+def _both_sides(spark: SparkSession, checks: list[TableCheck]) -> DataFrame:
+    """Facts of all tables and sides, one row each, from one job.
+
+    A table that cannot be opened becomes an error row at once. When the job fails, each table and
+    side is read by a job of its own, so that only what is damaged becomes an error row.
     """
-    def facts(check: TableCheck) -> tuple:
+    opened, rows = [], []
+
+    def failed(check: TableCheck, which: str, error: Exception) -> tuple:
+        return which, check.name, None, None, None, None, None, f"{which}: {_reason(error)}"
+
+    for check in checks:
+        for which in ("source", "target"):
+            try:
+                own = _facts(getattr(check, which)(), check).select(F.lit(which).alias("side"), "*")
+                opened.append((check, which, own))
+            except (PySparkException, Py4JJavaError) as e:
+                rows.append(failed(check, which, e))
+
+    def alone(part: tuple) -> tuple:
+        check, which, own = part
         try:
-            return tuple(_facts(getattr(check, which)(), check).first())
-        except PySparkException as e:
-            reason = e.getCondition() or type(e).__name__
-        except Py4JJavaError as e:  # failures of tasks
-            java = e.java_exception
-            reason = java.getCondition() if hasattr(java, "getCondition") else None
-            reason = reason or java.getClass().getSimpleName()
-        return check.name, None, None, None, None, None, f"{which}: {reason}"
-
-    with ThreadPoolExecutor(AT_ONCE) as pool:
-        rows = list(pool.map(facts, checks))
-    return spark.createDataFrame(rows, FACTS).select(
-        "table_name", *[F.col(c).alias(f"{which}_{c}")
-                        for c in ("rows", "total", "first", "last", "nulls", "error")]
-    )
+            return tuple(own.first())
+        except (PySparkException, Py4JJavaError) as e:  # failures of tasks
+            return failed(check, which, e)
+
+    if opened:
+        try:
+            rows += map(tuple, _union([own for _, _, own in opened]).collect())
+        except (PySparkException, Py4JJavaError):
+            with ThreadPoolExecutor(AT_ONCE) as pool:
+                rows += pool.map(alone, opened)
+    return spark.createDataFrame(rows, f"side string, {FACTS}")
 
 
 def compare_tables(
@@ -102,9 +120,12 @@ def compare_tables(
     if done is not None:
         names = {r["table_name"] for r in done.select("table_name").distinct().collect()}
         checks = [c for c in checks if c.name in names]
-    return _side(spark, checks, "source").join(
-        _side(spark, checks, "target"), "table_name", "full"
-    )
+    facts = ("rows", "total", "first", "last", "nulls", "error")
+    found = _both_sides(spark, checks)
+    return found.groupBy("table_name").agg(*[
+        F.max(F.when(F.col("side") == which, F.col(c))).alias(f"{which}_{c}")
+        for which in ("source", "target") for c in facts
+    ])
 
 
 def row_count_parity(facts: DataFrame) -> DataFrame:
@@ -224,28 +245,77 @@ def result_compare_tolerant(
     ).filter("difference IS NOT NULL")
 
 
-def row_hash_compare(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+#: Buckets of keys whose digests are compared before any row is sorted by key.
+HASH_BUCKETS = 1 << 16
+_LOW = 0x1FFFFF
+
+
+def _row_hash(df: DataFrame, columns: list[str]) -> Column:
+    """Hash of a row's values and of which of them are NULL."""
+    values = hashable_columns(df.select(*columns))
+    nulls = [
+        reduce(Column.__add__, [F.when(F.col(c).isNull(), 1 << i).otherwise(0).cast("long") for i, c in enumerate(part)])
+        for part in (columns[a:a + 60] for a in range(0, len(columns), 60))
+    ]
+    return F.xxhash64(*values, *nulls)
+
+
+def _digest(hashed: str) -> list[Column]:
+    """Sums of a hash in three parts of at most 22 bits, which leaves room for 2^41 rows."""
+    h = F.col(hashed)
+    return [
+        F.sum(F.shiftrightunsigned(h, 42)),
+        F.sum(F.shiftrightunsigned(h, 21).bitwiseAND(F.lit(_LOW))), F.sum(h.bitwiseAND(F.lit(_LOW))),
+    ]
+
+
+def differing_buckets(
+    source: DataFrame, target: DataFrame, keys: list[str], buckets: int = HASH_BUCKETS
+) -> list[int]:
+    """Buckets of keys whose rows differ in number or digest.
+
+    Both sides are folded to one row per bucket before anything is shuffled; at most ``buckets``
+    numbers come to the driver, and none where the sides agree.
+    """
+    columns = sorted(source.columns)
+    bucket = F.pmod(F.xxhash64(*hashable_columns(source.select(*keys))), F.lit(buckets)).cast("int")
+
+    def folded(df: DataFrame, side: str) -> DataFrame:
+        return df.select(
+            bucket.alias("bucket"), _row_hash(df, columns).alias("_hash"), F.lit(side).alias("side")
+        ).groupBy("bucket", "side").agg(F.struct(F.count(F.lit(1)), *_digest("_hash")).alias("digest"))
+
+    both = folded(source, "source").unionByName(folded(target.select(*source.columns), "target"))
+    sides = {s: F.max(F.when(F.col("side") == s, F.col("digest"))) for s in ("source", "target")}
+    differs = ~sides["source"].eqNullSafe(sides["target"])
+    return [r[0] for r in both.groupBy("bucket").agg(differs.alias("d")).filter("d").select("bucket").collect()]
+
+
+def row_hash_compare(
+    source: DataFrame, target: DataFrame, keys: list[str], buckets: int = HASH_BUCKETS
+) -> DataFrame:
     """Keys whose rows differ between the two sides.
 
-    The rows of a key are folded into a count and sums of hashes before the join, so
-    repeated keys compare as multisets and a hot key is one row per side. NULLs are
-    hashed apart from empty values.
+    Digests of key buckets are compared first, and only rows of buckets that differ are compared
+    by key, so two tables that agree are read once and none of their rows is shuffled. The rows of
+    a key are folded into a count and sums of hashes before the join, so repeated keys compare as
+    multisets and a hot key is one row per side. NULLs are hashed apart from empty values.
     """
+    differing = differing_buckets(source, target, keys, buckets)
+    if not differing:
+        return source.sparkSession.createDataFrame(
+            [], source.select(*keys, F.lit("").alias("difference")).schema
+        )
     columns = sorted(source.columns)
+    wanted = source.sparkSession.createDataFrame([(b,) for b in differing], "_bucket int")
 
     def folded(df: DataFrame, side: str) -> DataFrame:
-        values = hashable_columns(df.select(*columns))
-        parts = [p for c, v in zip(columns, values) for p in (v, F.col(c).isNull())]
-        # The hash is summed in three parts of at most 22 bits, which leaves room for 2^41
-        # rows of one key.
-        mask = F.lit(0x1FFFFF)
-        bits = [
-            F.shiftrightunsigned("_hash", 42),
-            F.shiftrightunsigned("_hash", 21).bitwiseAND(mask), F.col("_hash").bitwiseAND(mask),
-        ]
-        return df.select(*keys, F.xxhash64(*parts).alias("_hash")).groupBy(*keys).agg(
-            F.count(F.lit(1)).alias(f"{side}_rows"),
-            F.struct(*[F.sum(b) for b in bits]).alias(f"{side}_hash"),
+        hashed = df.select(*keys, _row_hash(df, columns).alias("_hash"))
+        if 2 * len(differing) < buckets:
+            own = F.pmod(F.xxhash64(*hashable_columns(df.select(*keys))), F.lit(buckets)).cast("int")
+            hashed = hashed.withColumn("_bucket", own).join(F.broadcast(wanted), "_bucket", "left_semi")
+        return hashed.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias(f"{side}_rows"), F.struct(*_digest("_hash")).alias(f"{side}_hash")
         )
 
     # The target's keys get names of their own: both sides may come from one table.
