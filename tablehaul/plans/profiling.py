@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.catalog import Tables
-from tablehaul.operators import profile
-from tablehaul.registry import query
+from tablehaul.operators import discover, profile
+from tablehaul.registry import all_queries, query
 
 PROFILED = {
     "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
@@ -106,6 +106,46 @@ def fk_inclusion(t: Tables) -> DataFrame:
     })
 
 
+#: Columns that may be keys, by table.
+KEY_COLUMNS = {
+    "region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"],
+    "events": ["event_id", "user_id", "event_type", "props"],
+}
+TEXTS = ("name", "mktsegment", "brand", "type", "status", "priority", "flag", "props")
+
+
+def _values_sql(table: str, column: str) -> str:
+    family = "text" if column.endswith(TEXTS) else "integer"
+    return f"""SELECT '{table}' AS t, '{column}' AS c, '{family}' AS f, CAST({column} AS VARCHAR) AS k,
+        count(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY {column}"""
+
+
+@query("fk_discovery", f"""
+    WITH vals AS ({" UNION ALL ".join(_values_sql(t, c) for t, cs in KEY_COLUMNS.items() for c in cs)}),
+    cols AS (SELECT t, c, count(*) AS d, max(n) AS most FROM vals GROUP BY t, c),
+    pairs AS (SELECT a.t AS ct, a.c AS cc, b.t AS pt, b.c AS pc, count(*) AS shared
+              FROM vals a JOIN vals b ON a.f = b.f AND a.k = b.k AND a.t <> b.t GROUP BY ALL),
+    fk AS (SELECT ct, cc, pt, pc, shared / p.d AS coverage
+           FROM pairs JOIN cols c ON c.t = ct AND c.c = cc JOIN cols p ON p.t = pt AND p.c = pc
+           WHERE shared = c.d AND p.most = 1 AND shared / p.d >= {discover.COVERAGE}
+             AND (c.most > 1 OR shared = p.d)
+           QUALIFY row_number() OVER (PARTITION BY ct, cc ORDER BY coverage DESC, pt, pc) = 1),
+    roles AS (SELECT t, CASE WHEN t IN (SELECT ct FROM fk) AND t IN (SELECT pt FROM fk) THEN 'both'
+                             WHEN t IN (SELECT ct FROM fk) THEN 'fact' ELSE 'dimension' END AS role
+              FROM (SELECT DISTINCT t FROM cols))
+    SELECT ct AS child_table, cc AS child_column, pt AS parent_table, pc AS parent_column,
+           round(coverage, 6) AS coverage, a.role AS child_role, b.role AS parent_role
+    FROM fk JOIN roles a ON a.t = ct JOIN roles b ON b.t = pt""")
+def fk_discovery(t: Tables) -> DataFrame:
+    """Keys and roles of all given tables, found among all pairs of columns."""
+    return discover.foreign_keys({n: t.raw(n) for n in KEY_COLUMNS})
+
+
 @query("partition_sizes", """
     SELECT CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS month,
            CAST(count(*) AS BIGINT) AS "rows",
@@ -129,3 +169,30 @@ def order_by_key_hint(t: Tables) -> DataFrame:
     return profile.sort_key_hint(
         t.lineitem(), ["l_orderkey", "l_partkey", "l_shipdate", "l_returnflag"]
     )
+
+
+#: Registered queries on lines whose plans show how columns are used.
+WORKLOAD = (
+    "wh_delivery_latency_exact", "wh_delivery_latency_trunc", "wh_delivery_latency_boundary",
+    "wh_part_revenue", "op_join_range", "op_agg_basic", "op_rollup", "op_cube",
+)
+#: Column, and the number of these queries that filter, join and group by it, as the SQL has it.
+USED = [
+    ("l_shipdate", 4, 1, 1), ("l_partkey", 0, 1, 1), ("l_orderkey", 0, 1, 1), ("l_linenumber", 0, 0, 3),
+    ("l_returnflag", 0, 0, 3), ("l_linestatus", 0, 0, 2),
+]
+
+
+@query("order_by_key_use", f"""
+    WITH d AS ({" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, {f} AS filters, {j} AS joins, {g} AS groups FROM lineitem_v"
+        for c, f, j, g in USED)})
+    SELECT CAST(row_number() OVER (ORDER BY distinct_values, column_name) AS INTEGER) AS position,
+           column_name, distinct_values, CAST(filters AS BIGINT) AS filters,
+           CAST(joins AS BIGINT) AS joins, CAST(groups AS BIGINT) AS groups FROM d""")
+def order_by_key_use(t: Tables) -> DataFrame:
+    """The sort key of lines from the columns that the registered queries use."""
+    known = all_queries()
+    use = discover.column_use([known[k].build(t) for k in WORKLOAD], t.lineitem())
+    columns = [r["column_name"] for r in use.collect()]  # names only
+    return profile.sort_key_hint(t.lineitem(), columns).join(use, "column_name")

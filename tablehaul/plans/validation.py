@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablehaul import fixed_values as fv
 from tablehaul.catalog import Tables
-from tablehaul.operators import validate
+from tablehaul.operators import align, validate
 from tablehaul.operators.validate import TableCheck
 from tablehaul.registry import query
 
@@ -175,6 +175,25 @@ def result_compare_tolerant(t: Tables) -> DataFrame:
     )
 
 
+@query("result_compare_unkeyed", """
+    WITH s AS (SELECT l_returnflag, l_shipdate, l_quantity, l_extendedprice * 1.0 AS price FROM lineitem_v),
+    -- Noise is far below the tolerance, and what is changed lies far above it.
+    changed AS (SELECT l_returnflag, l_shipdate, l_quantity, price FROM s
+                WHERE l_quantity = 7 AND l_returnflag = 'R')
+    SELECT 'source' AS only_in, l_returnflag, CAST(count(*) AS BIGINT) AS "rows" FROM changed GROUP BY 2
+    UNION ALL SELECT 'target', l_returnflag, count(*) FROM changed GROUP BY 2""")
+def result_compare_unkeyed(t: Tables) -> DataFrame:
+    """Lines without their keys against a copy with rounding noise and some prices of the other sign."""
+    lines = t.lineitem().select(
+        "l_returnflag", "l_shipdate", "l_quantity", F.col("l_extendedprice").cast("double").alias("price")
+    )
+    noise = F.lit(1.0) + (F.pmod(F.xxhash64("l_shipdate", "price"), F.lit(7)) - 3) * 1e-12
+    changed = (F.col("l_quantity") == 7) & (F.col("l_returnflag") == "R")
+    copy = lines.withColumn("price", F.when(changed, -F.col("price")).otherwise(F.col("price") * noise))
+    found = align.result_compare_unkeyed(lines, copy, {"price": 1e-9})
+    return found.groupBy("only_in", "l_returnflag").agg(F.sum("surplus").alias("rows"))
+
+
 @query("row_hash_compare", """
     SELECT coalesce(s.l_orderkey, c.l_orderkey) AS l_orderkey,
            coalesce(s.l_linenumber, c.l_linenumber) AS l_linenumber, 'changed' AS difference
