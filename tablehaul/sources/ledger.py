@@ -9,6 +9,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablehaul.operators.validate import validation_summary
 from tablehaul.session import saved, stored_bytes
 
 EVENT = "id bigint, run_id string, ts timestamp_ntz, kind string, payload_json string"
@@ -47,6 +48,30 @@ class Ledger:
         self._waiting = []
 
 
+class ValidationFailed(RuntimeError):
+    """A validation found tables that differ or cannot be read."""
+
+
+def record_validation(parity: DataFrame, ledger: Ledger, raise_on_mismatch: bool = False) -> dict[str, int]:
+    """Leave a validation in the run's ledger: a row event per table, then its summary.
+
+    ``parity`` has ``table_name, matched, error`` (see ``row_count_parity``) and is computed once.
+    The summary counts matched, mismatched, errored and all tables; the run counts as validated
+    when it is written. With ``raise_on_mismatch`` anything but a full match raises afterwards.
+    """
+    rows = saved(parity, "validation")
+    ledger.append_rows(rows, "validation_row")
+    summary = validation_summary(rows).first().asDict()
+    for kind in ("validation_done", "step_validated"):
+        ledger.add(kind, **summary)
+    ledger.flush()
+    if raise_on_mismatch and summary["matched"] < summary["total"]:
+        raise ValidationFailed(
+            f"run {ledger.run_id}: {summary['mismatched']} tables differ, {summary['errored']} failed"
+        )
+    return summary
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENT).parquet(path)
 

@@ -5,8 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tablehaul.operators import align, discover, validate
+from tablehaul.operators import align, discover, progress, validate
 from tablehaul.operators.validate import TableCheck
+from tablehaul.sources import ledger
 from tests.test_plans import plan
 
 
@@ -106,6 +107,24 @@ def test_a_damaged_file_spoils_only_its_own_row(spark, folder):
     assert got["gone"]["target_rows"] == 2000 and got["gone"]["error"] == "source: PATH_NOT_FOUND"
 
 
+def test_a_validation_leaves_its_summary_in_the_ledger(spark, folder):
+    def checks(target):
+        return [TableCheck("t", lambda: spark.range(5), lambda: spark.range(target)),
+                TableCheck("u", lambda: spark.range(2), lambda: spark.range(2))]
+
+    book = ledger.Ledger(spark, f"{folder}/ledger", "r")
+    parity = validate.row_count_parity(validate.compare_tables(spark, checks(5)))
+    assert ledger.record_validation(parity, book, True) == {"matched": 2, "mismatched": 0, "errored": 0, "total": 2}
+    parity = validate.row_count_parity(validate.compare_tables(spark, checks(4)))
+    assert ledger.record_validation(parity, book)["mismatched"] == 1
+    with pytest.raises(ledger.ValidationFailed, match="1 tables differ, 0 failed"):
+        ledger.record_validation(parity, book, raise_on_mismatch=True)
+    events = ledger.read_ledger(spark, f"{folder}/ledger")
+    kinds = [r["kind"] for r in events.orderBy("id").collect()]
+    assert kinds == ["validation_row", "validation_row", "validation_done", "step_validated"] * 3
+    assert progress.milestones(events).filter("kind = 'step_validated'").count() == 3
+
+
 # ---- without keys ----------------------------------------------------------------------------
 
 COLUMNS = "name string, x double, y double"
