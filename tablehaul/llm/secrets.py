@@ -5,6 +5,10 @@ is a Parquet table with one row per scanned pair of blob and rule version, which
 findings of that pair. A scan reads only pairs that the ledger lacks, appends them, and joins
 the findings of the wanted rule versions back to all paths. Rows are complete in themselves:
 a failed or repeated scan leaves pairs to scan again or twice, never half-known ones.
+
+Texts of any length are scanned whole, in time linear in their length. A table without rows adds
+nothing to the ledger and has no result. Columns beside the two that are named count for nothing,
+whatever their names.
 """
 
 from __future__ import annotations
