@@ -1,11 +1,14 @@
 import hashlib
 import random
+import re
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from tablehaul.llm import components, exact_dedup, simhash
+from tablehaul.llm.queries import QUERIES
+from tests.parity import DATA
 
 ROWS = [
     (1, "same"), (2, "same"), (9, "same"), (3, None), (4, ""), (5, "other"), (5, "other"),
@@ -163,3 +166,35 @@ def test_components(spark):
     want |= {101 + i: 100 for i in range(50)} | {200 + i: 200 for i in range(41)}
     assert got == want
     assert components.connected_components(df.limit(0)).count() == 0
+
+
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_registered_simhash_query_against_all_pairs(spark, sf):
+    folder = f"{DATA}/{sf}"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    prints = {i: plain_fingerprint(t) for i, t in texts.items()}
+    least = {i: i for i in texts}
+
+    def find(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    ids = sorted(texts)
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            if (prints[i] ^ prints[j]).bit_count() <= 2:
+                a, b = find(i), find(j)
+                least[max(a, b)] = min(a, b)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op7_simhash"](spark, folder).collect()}
+    assert got == {i: (f"{prints[i]:016x}", find(i)) for i in ids}
+    assert any(find(i) != i for i in ids)
