@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablehaul.functions.scalars import hashable_columns
 from tablehaul.session import saved
 
 SLOT_ROWS = 2_000_000
@@ -83,21 +84,23 @@ def neighbour(
 ) -> DataFrame:
     """Add ``<step>_<column>``: the value in the previous or next row of the same keys.
 
-    ``order`` is unique within ``keys`` and never NULL.
+    NULL comes first in the order. Rows with the same position are put in order by a hash of the
+    whole row, so the answer is the same every time and for any number of slots.
     """
     shift = F.lag if step == "previous" else F.lead
 
     def with_neighbours(part: DataFrame, by: list[str]) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy(order)
+        window = Window.partitionBy(*by).orderBy("_place")
         return part.withColumns({f"{step}_{c}": shift(c).over(window) for c in columns})
 
-    stored = saved(df, "ordered")
+    place = F.struct(F.col(order), F.xxhash64(*hashable_columns(df)))
+    stored = saved(df.withColumn("_place", place), "ordered")
     if (slots := slots_of(stored, slot_rows)) == 1:
-        return with_neighbours(stored, keys)
-    cut = _with_slots(stored, keys, order, slots).withColumn("_extra", F.lit(False))
+        return with_neighbours(stored, keys).drop("_place")
+    cut = _with_slots(stored, keys, "_place", slots).withColumn("_extra", F.lit(False))
     # The last (or first) row of a slot is the extra row of the following (or preceding) one.
     edge = (F.max_by if step == "previous" else F.min_by)(
-        F.struct(*dict.fromkeys([order, *columns])), F.col(order)
+        F.struct("_place", *columns), F.col("_place")
     )
     edges = (
         cut.groupBy(*keys, "_slot").agg(edge.alias("_edge"))
@@ -106,7 +109,7 @@ def neighbour(
         .select(*keys, "_slot", "_edge.*", F.lit(True).alias("_extra"))
     )
     placed = with_neighbours(cut.unionByName(edges, allowMissingColumns=True), [*keys, "_slot"])
-    return placed.filter(~F.col("_extra")).drop("_slot", "_extra")
+    return placed.filter(~F.col("_extra")).drop("_slot", "_extra", "_place")
 
 
 def exact_percentiles(

@@ -61,6 +61,17 @@ def test_neighbour(spark, slot_rows, step):
     assert got == want
 
 
+@pytest.mark.parametrize("step", ["previous", "next"])
+def test_neighbours_of_tied_rows_do_not_depend_on_slots(spark, step):
+    rows = [("k", i // 4, i % 3) for i in range(60)] + [("k", None, 7), ("k", None, 8)]
+    df = spark.createDataFrame(rows, "key string, id int, v int")
+    got = [
+        sorted(map(str, neighbour(part, ["key"], "id", ["v"], step, slot_rows).collect()))
+        for part in (df, df.repartition(5)) for slot_rows in (5, 1000)
+    ]
+    assert got[0] == got[1] == got[2] == got[3] and "_place" not in got[0][0]
+
+
 @pytest.mark.parametrize("slot_rows", [10**9, 50, 20])
 def test_percentiles(spark, slot_rows):
     rnd = random.Random(3)
