@@ -25,6 +25,7 @@ import math
 import re
 import warnings
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -121,6 +122,21 @@ def suffix_automaton(codes: list[int]) -> tuple[int, np.ndarray]:
     return len(steps), np.array(rows, np.int64).reshape(-1, 3)
 
 
+class _Blocks(NamedTuple):
+    """Blocks of texts, and what is known of their phrases, by language."""
+
+    codes: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    owner: np.ndarray
+    #: Place of a block in order of size, and where a step begins among the marks of beginnings.
+    rank: np.ndarray
+    row: np.ndarray
+    begun: np.ndarray
+    state: np.ndarray
+    found: np.ndarray
+
+
 class CrossParser:
     """Phrase counts of texts against the sample of each language."""
 
@@ -205,67 +221,74 @@ class CrossParser:
         inside = np.arange(n) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         start = (np.cumsum(lengths) - lengths)[owner] + inside * BLOCK
         size = np.minimum(BLOCK, lengths[owner] - inside * BLOCK)
+        # Blocks stand in order of size, so those that are still open are always the first ones.
         order = np.argsort(-size, kind="stable")
-        active = np.searchsorted(-size[order], -np.arange(1, BLOCK + 1), side="right")
-        # All blocks as if a phrase began with each; ``begun`` marks the beginnings by character.
-        begun = np.zeros((len(self.roots), len(codes)), bool)
-        state = np.zeros((len(self.roots), n), np.int32)
-        for j in range(int(size.max())):
-            own = order[:active[j]]
-            at = start[own] + j
-            c = codes[at]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.arange(n)
+        active = np.searchsorted(-size[order], -np.arange(1, int(size.max()) + 1), side="right")
+        row = np.cumsum(active) - active
+        first_at = start[order]
+        # All blocks as if a phrase began with each; ``begun`` marks the beginnings, step by step.
+        begun = np.empty((len(self.roots), len(codes)), bool)
+        state = np.empty((len(self.roots), n), np.int32)
+        found = np.ones((len(self.roots), n), np.int64)
+        for j, k in enumerate(active):
+            c = codes[first_at[:k] + j]
             first = self._begin(c)
             if j == 0:
-                state[:, own] = first
-                begun[:, at] = True
+                state[:] = first
+                begun[:, :k] = True
                 continue
-            to = self._step(state[:, own], c, first)
+            to = self._step(state[:, :k], c, first)
             ended = to < 0
-            begun[:, at] = ended
-            state[:, own] = np.where(ended, first, to)
+            begun[:, row[j]:row[j] + k] = ended
+            found[:, :k] += ended
+            state[:, :k] = np.where(ended, first, to)
         # Blocks that a phrase reaches into, by language, with the state in which it does.
         follows = np.flatnonzero(inside > 0)
         language = np.repeat(np.arange(len(self.roots)), len(follows))
         block = np.tile(follows, len(self.roots))
-        entering = state[language, block - 1]
+        entering = state[language, rank[block - 1]]
         for i, states in (entered or {}).items():
             if lengths[i]:
                 head = int(np.searchsorted(owner, i))
                 language = np.concatenate([language, np.arange(len(self.roots))])
                 block = np.concatenate([block, np.full(len(self.roots), head)])
                 entering = np.concatenate([entering, states])
+        texts = _Blocks(codes, start, size, owner, rank, row, begun, state, found)
         while len(block):
-            language, block, entering = self._go_on(codes, begun, state, start, size, owner, language, block, entering)
-        per_block = np.add.reduceat(begun, start, axis=1, dtype=np.int64)
+            language, block, entering = self._go_on(texts, language, block, entering)
         for i in range(len(counts)):
-            counts[i] = np.bincount(owner, weights=per_block[i], minlength=len(pieces))
+            counts[i] = np.bincount(owner[order], weights=found[i], minlength=len(pieces))
         last = np.flatnonzero(np.diff(owner, append=-1))
-        ends[:, owner[last]] = state[:, last]
+        ends[:, owner[last]] = state[:, rank[last]]
         return counts, ends
 
-    def _go_on(self, codes, begun, state, start, size, owner, language, block, entering) -> tuple:
-        """Carry open phrases into their blocks, and correct ``begun`` there, until both ways begin
-        a phrase at the same character. Those that never do change the block's last state; they
-        are returned for the block behind it, where there is one of the same text."""
+    def _go_on(self, own: _Blocks, language: np.ndarray, block: np.ndarray, entering: np.ndarray) -> tuple:
+        """Carry open phrases into their blocks, and correct what is known of these, until both
+        ways begin a phrase at the same character. Those that never do change the block's last
+        state; they are returned for the block behind it, where there is one of the same text."""
         beyond = []
         now = entering
-        for j in range(BLOCK):
+        for j in range(len(own.row)):
             if not len(block):
                 break
-            at = start[block] + j
-            c = codes[at]
+            c = own.codes[own.start[block] + j]
             first = self._begin(c, language)
             to = self._step(now, c, first)
             ended = to < 0
-            agreed = ended & begun[language, at]
-            begun[language, at] = ended
+            at, place = own.row[j] + own.rank[block], own.rank[block]
+            before = own.begun[language, at]
+            own.begun[language, at] = ended
+            own.found[language, place] += ended.astype(np.int64) - before
             now = np.where(ended, first, to)
-            over = ~agreed & (size[block] == j + 1)
+            agreed = ended & before
+            over = ~agreed & (own.size[block] == j + 1)
             if over.any():
-                changed = over & (state[language, block] != now)
-                state[language[changed], block[changed]] = now[changed]
-                behind = np.minimum(block + 1, len(owner) - 1)
-                on = changed & (behind > block) & (owner[behind] == owner[block])
+                changed = over & (own.state[language, place] != now)
+                own.state[language[changed], place[changed]] = now[changed]
+                behind = np.minimum(block + 1, len(own.owner) - 1)
+                on = changed & (behind > block) & (own.owner[behind] == own.owner[block])
                 beyond.append((language[on], behind[on], now[on]))
             left = ~agreed & ~over
             language, block, now = language[left], block[left], now[left]
