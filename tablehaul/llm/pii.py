@@ -3,7 +3,8 @@
 Identifiers are found twice: in the text as it is (base spans) and in a normalised text. Two
 transducers make the latter and keep, for every character, the source span it came from:
 
-* characters: homoglyphs and full-width forms to ASCII, one for one; invisible ones vanish;
+* characters: homoglyphs, other forms (full-width, mathematical, enclosed) and letters with marks
+  to ASCII, one for one; marks of their own and invisible characters vanish;
 * words: ``[at]``, ``(dot)``, ``x at y dot z``, and spelled digits (``plus one five five``).
 
 The words transducer runs twice. The wide one also takes a bare ``at`` before a dotted domain,
@@ -11,7 +12,8 @@ The words transducer runs twice. The wide one also takes a bare ``at`` before a
 number to its neighbours, it adds to what the strict one finds and replaces nothing.
 
 A span found in a normalised text is mapped back and added unless a base span of its kind
-covers it. Base spans always stay.
+covers it. Base spans always stay. Texts of any length are searched whole, in time linear in their
+length; repeated rows are searched as they come, and an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -45,18 +47,45 @@ DIGITS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight"
 INVISIBLE = "­​‌‍⁠﻿"
 
 
-def _one_for_one() -> dict[int, str]:
-    table = {ord(k): v for k, v in LOOKALIKES.items()}
-    table |= {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
+#: Ways in which Unicode says that a character is another one in a different form. Raised and
+#: lowered digits are left out: they are footnotes rather than disguises.
+FORMS = ("<font>", "<circle>", "<wide>", "<narrow>", "<noBreak>", "<compat>", "<square>")
+
+
+def _one_for_one() -> dict[int, str | None]:
+    """Characters that stand for one ASCII character; marks and invisible ones for none.
+
+    Foreign decimal digits, other forms of a character, and letters with marks follow from the
+    Unicode tables; only look-alikes of other scripts are listed by hand.
+    """
+    table: dict[int, str | None] = {ord(k): v for k, v in LOOKALIKES.items()}
     for c in range(0x80, 0x1FC00):
-        d = unicodedata.decimal(chr(c), None)
-        if d is not None:
-            table.setdefault(c, str(d))
-    return table
+        char = chr(c)
+        form, _, rest = unicodedata.decomposition(char).rpartition("> ")
+        plain = unicodedata.normalize("NFKD", char)
+        bare = "".join(x for x in plain if not unicodedata.combining(x))
+        digit = unicodedata.decimal(char, None)
+        if unicodedata.combining(char):
+            table.setdefault(c, None)
+        elif digit is not None:
+            table.setdefault(c, str(digit))
+        elif len(bare) == 1 and " " <= bare <= "~" and (rest and not form or f"{form}>" in FORMS):
+            table.setdefault(c, bare)
+    return table | {ord(c): None for c in INVISIBLE}
+
+
+FOLD_ALL = _one_for_one()
+FOLD = {c: v for c, v in FOLD_ALL.items() if v is not None}
+GONE = "".join(chr(c) for c, v in FOLD_ALL.items() if v is None)
+_FOREIGN = frozenset(map(chr, FOLD_ALL))
+
 
+def folded(text: str) -> str:
+    """The text with foreign characters folded and marks dropped; a text has few different ones."""
+    for c in _FOREIGN.intersection(set(text)):
+        text = text.replace(c, FOLD_ALL[ord(c)] or "")
+    return text
 
-FOLD = _one_for_one()
-_FOLDED = re.compile(f"[{''.join(map(chr, FOLD))}{INVISIBLE}]")
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -115,9 +144,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 _DIGIT = f"(?:{'|'.join(DIGITS)})"
 _OPEN, _CLOSE = r"[\[({<]\s{0,3}", r"\s{0,3}[\])}>]"
 _WORDS = re.compile(
-    rf"(?P<gone>[{INVISIBLE}]+)"
+    rf"(?P<gone>[{GONE}]+)"
     rf"|(?P<at>\s{{0,3}}{_OPEN}(?:at|@){_CLOSE}\s{{0,3}}"
-    r"|(?<=[a-z0-9._%+-])\s{1,3}at\s{1,3}(?=[a-z0-9-]{1,63}(?:\s{1,3}dot\s{1,3}[a-z0-9-]{1,63})))"
+    r"|(?<=[a-z0-9._%+-])\s{1,3}at\s{1,3}(?=[a-z0-9-]++\s{1,3}dot\s{1,3}[a-z0-9-]))"
     rf"|(?P<dot>\s{{0,3}}{_OPEN}(?:dot|\.){_CLOSE}\s{{0,3}}"
     r"|(?<=[a-z0-9-])\s{1,3}dot\s{1,3}(?=[a-z0-9-]))"
     rf"|(?P<plus>\bplus\s{{1,3}}(?={_DIGIT}\b))"
@@ -129,14 +158,14 @@ _IN_RUN = re.compile(rf"{_DIGIT}|dot", re.IGNORECASE | re.ASCII)
 # stay linear. Between two spelled digits they close, beside a numeral they become one blank.
 _BRACKET = r"[\[({{<]\s*+(?:{})\s*+[\])}}>]"
 _AT, _DOT = _BRACKET.format("at|@"), _BRACKET.format(r"dot|\.")
-_LABEL = r"[a-z0-9-]{1,63}"
+_LABEL = r"[a-z0-9-]++"
 _ANY_DOT = rf"(?:\.|\s++dot\s++|\s*+{_DOT}\s*+)"
 _SPELLED = rf"(?<![a-z_]){_DIGIT}(?![a-z_])"
 _WIDE = re.compile(
-    rf"(?P<gone>[{INVISIBLE}]+)"
+    rf"(?P<gone>[{GONE}]+)"
     rf"|(?P<at>(?:(?<!\s)\s++)?{_AT}\s*+"
     rf"|(?<=[a-z0-9._%+-])\s++at\s++"
-    rf"(?={_LABEL}\s++dot\s++{_LABEL}|(?:{_LABEL}{_ANY_DOT}){{1,9}}[a-z]{{2,63}}(?![a-z0-9-])))"
+    rf"(?={_LABEL}\s++dot\s++{_LABEL}|(?:{_LABEL}{_ANY_DOT})+[a-z]{{2,}}+(?![a-z0-9-])))"
     rf"|(?P<dot>(?:(?<!\s)\s++)?{_DOT}\s*+|(?<=[a-z0-9-])\s++dot\s++(?=[a-z0-9-]))"
     rf"|(?P<plus>\bplus(?:\s*+(?=[0-9])|\s++(?={_SPELLED})))"
     rf"|(?P<blank>(?<=[0-9])\s++(?={_SPELLED}))"
@@ -188,35 +217,62 @@ class Normalised:
         return start, a + end - self._at[last] if copied else b
 
 
-# Every match of the words transducers on a text without foreign characters has one of these,
-# but for spelled digits that stand alone.
+# Every match of the words transducers on folded text has one of these, but for spelled digits
+# that stand alone. Plain substrings are looked for first, so that most texts need no pattern.
 _BRACKETED = re.compile(_BRACKET.format(r"at|@|dot|\."), re.IGNORECASE | re.ASCII)
 _NUMBERS = re.compile(rf"(?<![a-z_]){_DIGIT}[\s().-]*+(?:[0-9]|{_DIGIT})", re.ASCII)
 _AMONG = re.compile(rf"[0-9][\s().-]*+{_DIGIT}(?![a-z_])", re.ASCII)
-_AT_DOMAIN = re.compile(rf"\sat\s++{_LABEL}\.[a-z0-9-]", re.ASCII)
+_AT_DOMAIN = re.compile(rf"at\s++{_LABEL}\.[a-z0-9-]", re.ASCII)
+_PLUS = re.compile(r"\bplus[\s0-9]", re.ASCII)
+_WORD_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz_")
 
 
-def disguised(text: str) -> bool:
-    """Whether a transducer may change the text so that more is found; else False, nearly always."""
-    if not text.isascii() and _FOLDED.search(text):
-        return True
+def _whole_word(lower: str, word: str) -> bool:
+    """Whether a word stands without a letter beside it."""
+    at = lower.find(word)
+    while at >= 0:
+        end = at + len(word)
+        if not (at and lower[at - 1] in _WORD_LETTERS) and lower[end:end + 1] not in _WORD_LETTERS:
+            return True
+        at = lower.find(word, at + 1)
+    return False
+
+
+def _in_words(text: str) -> bool:
+    """Whether the words transducers may change a text without foreign characters."""
     lower = text.lower()
     return (
-        "dot" in lower
-        or "plus" in lower
-        or _BRACKETED.search(text) is not None
-        or _NUMBERS.search(lower) is not None
-        or _AMONG.search(lower) is not None
-        or _AT_DOMAIN.search(lower) is not None
+        "dot" in lower and _whole_word(lower, "dot")
+        or "plus" in lower and _PLUS.search(lower) is not None
+        or any(b in text for b in "[({<") and _BRACKETED.search(text) is not None
+        or any(m.start() and lower[m.start() - 1].isspace() for m in _AT_DOMAIN.finditer(lower))
+        or any(_whole_word(lower, d) for d in DIGITS)
+        and (_NUMBERS.search(lower) is not None or _AMONG.search(lower) is not None)
     )
 
 
+def disguised(text: str, base: list[tuple[int, int, int]]) -> bool:
+    """Whether a transducer may change the text so that more is found; else False, nearly always.
+
+    ``base`` are the text's base spans. Foreign characters matter only if the folded text has
+    other identifiers.
+    """
+    if not text.isascii():
+        plain = folded(text)
+        if plain != text and [(k, text[a:b]) for k, a, b in base] != [
+            (k, plain[a:b]) for k, a, b in base_spans(plain)
+        ]:
+            return True
+        text = plain
+    return _in_words(text)
+
+
 def find(text: str | None) -> list[tuple[int, int, int, bool]]:
     """(kind, start, end, base) of all spans by kind, start and end; NULL counts as empty."""
     text = text or ""
     base = base_spans(text)
     out = {(*s, True) for s in base}
-    for words in (_WORDS, _WIDE) if disguised(text) else ():
+    for words in (_WORDS, _WIDE) if disguised(text, base) else ():
         normal = Normalised(text, words)
         for kind, a, b in base_spans(normal.text):
             a, b = normal.source_span(a, b)
