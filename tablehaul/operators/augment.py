@@ -84,12 +84,31 @@ def hash_sample(df: DataFrame, key: str, size: int) -> DataFrame:
     return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(size)
 
 
+#: Cells of a grid that one number marks.
+_WORD = 62
+
+
 def missing_grid(keys: DataFrame, axes: dict[str, Column], existing: DataFrame) -> DataFrame:
     """Every key combined with literal axes, less the combinations already present.
 
-    The axes are short literal arrays, so they are exploded per row rather than joined.
+    The axes are short literal arrays, so they are exploded per row rather than joined. What is
+    present becomes marks in a few numbers per key: keys are joined instead of combinations, by
+    sorting, since the size of exploded rows is unknown to Spark and no task may hold all of them.
     """
-    grid = keys
+    at = F.lit(0).cast("long")
+    known = F.lit(True)
+    for name, values in axes.items():
+        place = F.array_position(values, F.col(name))  # NULL or 0: no such place
+        at, known = at * F.size(values) + place - 1, known & (place > 0)
+    word, mark = F.floor(at / _WORD), F.call_function("shiftleft", F.lit(1).cast("long"), (at % _WORD).cast("int"))
+    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    taken = (
+        existing.repartition(parts, *keys.columns).filter(known)
+        .groupBy(*keys.columns, word.alias("_word")).agg(F.bit_or(mark).alias("_marks"))
+        .groupBy(*keys.columns).agg(F.map_from_entries(F.collect_list(F.struct("_word", "_marks"))).alias("_taken"))
+    )
+    grid = keys.repartition(parts, *keys.columns).join(taken.hint("merge"), keys.columns, "left")
     for name, values in axes.items():
         grid = grid.withColumn(name, F.explode(values))
-    return grid.join(existing, grid.columns, "left_anti")
+    present = F.try_element_at("_taken", word).bitwiseAND(mark) != 0
+    return grid.filter(~F.coalesce(present, F.lit(False))).select(*keys.columns, *axes)

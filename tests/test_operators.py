@@ -213,6 +213,21 @@ def test_missing_grid(spark):
     out = augment.missing_grid(keys, {"w": F.array(F.lit("x"), F.lit("y"))}, have)
     assert values(out) == [(1, "y"), (2, "x"), (2, "y")]
 
+def test_missing_grid_joins_keys_and_never_broadcasts_rows(spark, folder):
+    keys = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k int, j string")
+    rows = [(1, "a", "x", 0), (1, "a", "x", 0), (1, "a", "y", 69), (1, "a", "z", 1), (1, "a", "x", 70),
+            (2, None, "x", 0), (3, "c", None, 1), (3, "c", "x", 62), (3, "b", "x", 63), (3, "c", "y", None)]
+    spark.createDataFrame(rows, "k int, j string, w string, n long").write.parquet(folder + "/have")
+    have = spark.read.parquet(folder + "/have")  # a table of known, small size
+    axes = {"w": F.array(*[F.lit(v) for v in ("x", "y", None, "x")]), "n": F.sequence(F.lit(0), F.lit(69))}
+    out = augment.missing_grid(keys, axes, have)
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    grid = keys.withColumn("w", F.explode(axes["w"])).withColumn("n", F.explode(axes["n"]))
+    want = grid.join(have, grid.columns, "left_anti")
+    assert out.columns == want.columns and out.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    assert out.count() == 4 * 4 * 70 - 2 * 3 - 2
+
 
 # ---- profiling --------------------------------------------------------------------
 
