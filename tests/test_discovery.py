@@ -1,5 +1,6 @@
 """Keys, roles and column use; digests of buckets; comparisons in one job and without keys."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -158,6 +159,51 @@ def test_surplus_copies_are_counted(spark):
     assert unkeyed(spark, [], []) == []
 
 
+def test_clusters_inside_a_partition_are_paired_where_they_lie(spark, monkeypatch):
+    """Only clusters at the ends of partitions, and very long ones, are dealt once more."""
+    source = [("ab"[i % 2], 10.0 * (i + 1), 1.0) for i in range(200)]
+    target = [(n, x * (1 + 4e-7), y) for n, x, y in source[1:]] + [("c", 1.0, 1.0)]
+    counts, real = [], align.saved
+
+    def counted(df, name, **options):
+        stored = real(df, name, **options)
+        if name == "clusters":
+            counts.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(align, "saved", counted)
+    want = [("source", 1, *source[0]), ("target", 1, *target[-1])]
+    assert unkeyed(spark, source, target, slot_rows=100) == want
+    assert counts.pop() <= 2 + 2 * 4 * 2  # of 400 rows
+
+
+@pytest.mark.parametrize("held_rows", [0, 1, 5, 100_000])
+def test_clusters_of_any_length_are_paired_alike(spark, held_rows):
+    rnd = random.Random(5)
+    source = [(rnd.choice("ab"), k * 1000.0 + rnd.randrange(8) * 4e-4, rnd.choice([1.0, 2.0]))
+              for k in range(1, 9) for _ in range(rnd.randrange(1, 30))]
+    target = [(n, x + rnd.randrange(3) * 2e-4, y) for n, x, y in source if rnd.random() < 0.9]
+    want = unkeyed(spark, source, target, slot_rows=500_000, held_rows=100_000)
+    assert unkeyed(spark, source, target, slot_rows=17, held_rows=held_rows) == want
+    count = {side: sum(r[1] for r in want if r[0] == side) for side in ("source", "target")}
+    assert len(source) - count["source"] == len(target) - count["target"] > 0
+
+
+def test_exact_columns_of_any_kind_are_told_apart(spark):
+    kinds = "a string, b string, c array<string>, d struct<p:int,q:int>, t timestamp_ntz, x double"
+    at = dt.datetime(2024, 1, 1)
+    rows = [("k", None, ["u", None], (1, None), at, 5.0), (None, "k", ["u"], (None, 1), at, 5.0),
+            ("k", "", None, None, None, 5.0)]
+    noisy = [(*r[:-1], 5.0 * (1 + 1e-9)) for r in rows]
+    source = spark.createDataFrame(rows, kinds)
+    assert align.result_compare_unkeyed(source, spark.createDataFrame(noisy, kinds), {"x": 1e-6}).count() == 0
+    for other in ([(None, "k", *noisy[0][2:])], [("k", None, ["u"], *noisy[0][3:])],
+                  [(*noisy[0][:3], (None, 1), *noisy[0][4:])], [("k", None, *noisy[2][2:])],
+                  [(*noisy[0][:4], at + dt.timedelta(microseconds=1), 5.0)]):
+        found = align.result_compare_unkeyed(source, spark.createDataFrame(other, kinds), {"x": 1e-6})
+        assert found.count() == 4
+
+
 def test_a_chain_longer_than_a_partition_is_paired_in_order(spark):
     values = [100 * (1 + 4e-7) ** i for i in range(60)]
     source, target = ([("a", v * (1 + e), 0.0) for v in values] for e in (0, 9e-7))
