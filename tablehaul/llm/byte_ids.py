@@ -10,6 +10,7 @@ scripts, are encoded by the whole tokenizer.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -109,23 +110,44 @@ class WordMemory:
         """Remember the words among new chunks, and return what is found of all others."""
         known, word, others, mixed = self.behind, self.encoded_word, {}, []
         ends = {s: self.word(s, "") for s in ".,;:!?"} if self.by_word else {}
+        line = self.word("\n", "") if ends else b""
+
+        def simple(part: str, blank: str) -> bytes | None:
+            """A word of ASCII letters with a sign behind it or none, the commonest mixture."""
+            end = ends.get(part[-1:], b"")
+            start = part[:-1] if end else part
+            return self.word(start, blank) + end if start.isalpha() and start.isascii() else None
+
         for c in chunks:
             if ends and c.isalpha() and c.isascii() and len(c) < LONG:
                 known[c] = word(c, " ")
             else:
                 mixed.append(c)
         for c in mixed:
-            start = c[:-1]
-            if c[-1:] in ends and start.isalpha() and start.isascii():  # the commonest mixture
-                others[c] = self.word(start, " ") + ends[c[-1]]
-            else:
+            found = None
+            if ends:
+                first, cut, rest = c.partition("\n")
+                found = simple(first, " ")
+                if cut and found is not None:  # the end of one line and the beginning of the next
+                    after = simple(rest, "")
+                    found = None if after is None else found + line + after
+            if found is None:
                 found = self.chunk(c, " ")
-                if c not in known:
-                    others[c] = found
+            if c not in known:
+                others[c] = found
         return others
 
     def packed(self, texts: list[str], behind: bool = False) -> list[bytes]:
         """The numbers of each text; ``behind``: of each text behind a blank."""
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here is cyclic, and the lists are long
+        try:
+            return self._packed(texts, behind)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _packed(self, texts: list[str], behind: bool) -> list[bytes]:
         known = self.behind
         self.forget()
         split: list[list[str] | None] = []

@@ -1,3 +1,4 @@
+import gc
 import os
 import random
 import zlib
@@ -46,6 +47,24 @@ def test_remembered_words_change_no_id(tokenizer, special_text):
     tokenizer.encode_special_tokens = False
 
 
+def test_words_beside_line_breaks_are_read_without_patterns_or_collections(tokenizer, monkeypatch):
+    encoder, seen, passes = ByteEncoder(PATH), [], []
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("abcdeI", k=rnd.randrange(1, 9))) + rnd.choice(["", "", ".", ",", "\nThe", ".\nIt,"])
+             for _ in range(20_000)]
+    text = " ".join(words) + " a\n\nb a\n b\n"
+    real = encoder.chunk
+    monkeypatch.setattr(encoder, "chunk", lambda c, blank: seen.append(c) or real(c, blank))
+    watch = lambda phase, info: passes.append(phase)
+    gc.callbacks.append(watch)
+    try:
+        (ids,) = encoder.packed([text])
+    finally:
+        gc.callbacks.remove(watch)
+    assert np.frombuffer(ids, encoder.dtype).tolist() == ids_of(tokenizer, text)[:-1]
+    assert len(seen) <= 4 and passes == [] and gc.isenabled()
+
+
 def test_chunks_join_to_the_text():
     for text in ("", " ", "a", " a", "a b", "a  b", "a \n b", "a b ", "  a   b c"):
         assert " ".join(blank_chunks(text)) == text
