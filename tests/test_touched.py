@@ -170,6 +170,19 @@ def test_only_days_with_repeated_keys_are_folded(spark, folder):
     assert compact_folders(spark, path, SPEC, "day") == [] and files_below(path) == after
 
 
+def test_folded_decimals_keep_the_type_of_the_table(spark, folder):
+    spec = Rollup(["day"], {"n": "1"}, {"total": "x"}, {"mean": "x"})
+    rows = spark.range(6).selectExpr("concat('d', id % 3) AS day", "CAST(id + 0.25 AS DECIMAL(12,2)) AS x")
+    path = f"{folder}/states"
+    rollup_build(rows, spec).write.partitionBy("day").parquet(path)
+    rollup_build(rows.filter("day = 'd1'"), spec).write.mode("append").partitionBy("day").parquet(path)
+    assert compact_folders(spark, path, spec, "day") == ["d1"]
+    kinds = {tuple(spark.read.parquet(f"{path}/day=d{i}").dtypes) for i in range(3)}
+    assert len(kinds) == 1 and dict(kinds.pop())["total"] == "decimal(22,2)"
+    got = {r["day"]: (r["n"], float(r["total"])) for r in spark.read.parquet(path).collect()}
+    assert got == {"d0": (2, 3.5), "d1": (4, 11.0), "d2": (2, 7.5)}
+
+
 def test_a_batch_that_touches_one_day_writes_one_day(spark, folder):
     root, source = f"{folder}/refresh", f"{folder}/in"
 
