@@ -50,6 +50,8 @@ GAMMA = 2.0
 #: Bytes of a payload read at a time, and ids of one Arrow batch of the output.
 PART = 1 << 22
 BATCH_ROWS = 2_000
+#: Characters of text encoded at a time.
+CHARS = 8_000_000
 #: Estimates above this are Catalyst's mark for tables of unknown size.
 UNKNOWN = 1 << 60
 
@@ -220,7 +222,7 @@ def _writer(tokenizer_file: str, folder: str, end_id: int):
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             at = 0
-            for own in bundles(t or "" for t in texts):
+            for own in bundles((t or "" for t in texts), CHARS):
                 if shard is None:
                     shard = ShardWriter(*stores.opened(folder), tokens.dtype)
                 for ids in tokens.packed(own):

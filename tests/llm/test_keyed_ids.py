@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tablehaul.llm import keyed_ids, queries, stores
+from tablehaul.llm import byte_ids, keyed_ids, queries, stores
 from tablehaul.llm.byte_ids import ByteEncoder, blank_chunks
 from tests.parity import DATA
 
@@ -65,6 +65,39 @@ def test_words_beside_line_breaks_are_read_without_patterns_or_collections(token
     assert len(seen) <= 4 and passes == [] and gc.isenabled()
 
 
+def test_units_of_any_kind_are_encoded_once(tokenizer, monkeypatch):
+    """Chunks with apostrophes, signs or other scripts and runs of white space included."""
+    encoder, rnd = ByteEncoder(PATH), random.Random(5)
+    parts = ["don't", "ready.\nThen,", "中文", "x́", "été!", "12a", "  if", "\n\n\tb", "·", "\u2009c", "end. \n"]
+    texts = [" ".join(rnd.choices(parts, k=30)) for _ in range(50)]
+    encoder.packed(texts[:40])
+    seen, real = [], encoder.tokenizer
+    monkeypatch.setattr(encoder, "whole", lambda text: seen.append(text) or real.encode(text).ids)
+    again = encoder.packed(texts[:40][::-1])
+    assert seen == []
+    assert [np.frombuffer(i, encoder.dtype).tolist() for i in again[::-1] + encoder.packed(texts[40:])] == [
+        ids_of(tokenizer, t)[:-1] for t in texts
+    ]
+
+
+@pytest.mark.parametrize("units,block", [(1, 2), (200, 1 << 18), (1 << 20, 7)])
+def test_what_is_forgotten_or_long_changes_no_id(tokenizer, monkeypatch, units, block):
+    monkeypatch.setattr(byte_ids, "UNITS", units)
+    monkeypatch.setattr(byte_ids, "BLOCK", block)
+    encoder, rnd = ByteEncoder(PATH), random.Random(6)
+    odd = ["'", "’", "٣", "é", "×", "÷", "ɐ", "한", "😀", "\u3000", "\u200b", "\u1680", "\r\n", "\x0b", "\x00", "'ll"]
+    pieces = [*PARTS, *odd, "zé" * 40, "word's" * 12]
+    for _ in range(20):
+        texts = ["".join(rnd.choices(pieces, k=rnd.randrange(14))) for _ in range(60)]
+        assert [np.frombuffer(i, encoder.dtype).tolist() for i in encoder.packed(texts)] == [
+            ids_of(tokenizer, t)[:-1] for t in texts
+        ]
+        assert all(len(u) < byte_ids.LONG for u in encoder.units.to_pylist())
+    assert encoder.packed([]) == [] and encoder.packed(["", ""]) == [b"", b""]
+    (ids,) = encoder.packed(["a  b"], behind=True)
+    assert np.frombuffer(ids, encoder.dtype).tolist() == ids_of(tokenizer, " a  b")[:-1]
+
+
 def test_chunks_join_to_the_text():
     for text in ("", " ", "a", " a", "a b", "a  b", "a \n b", "a b ", "  a   b c"):
         assert " ".join(blank_chunks(text)) == text
